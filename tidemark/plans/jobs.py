@@ -8,13 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.model import TableSpec
 from tidemark.operators.decode import decode_changes, split_dead_letters
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.offsets import next_offsets
 from tidemark.operators.totals import RUN_LOG
+from tidemark.session import small_frame
 from tidemark.sources import files
 from tidemark.sources.catalog import publish
 from tidemark.sources.offset_log import OffsetLog
@@ -56,10 +57,11 @@ def apply_messages(
 ) -> StateTable:
     """Decode, keep the latest change per key, and apply it to the table."""
     table = bronze.table(spark, spec)
+    split = bronze.dead_letters is not None
     changes = decode_changes(
-        messages, spec.columns, bronze.image_policy, keep_value=bronze.dead_letters is not None
+        messages, spec.columns, bronze.image_policy, keep_value=split, filtered=split
     )
-    if bronze.dead_letters:
+    if split:
         changes, dead = split_dead_letters(changes, spec.keys)
         dead.select(
             "kafka_topic", "kafka_partition", "kafka_offset", "value", "reason"
@@ -139,5 +141,4 @@ def run_tables(
 
 
 def run_log(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
-    names = [field.split()[0] for field in RUN_LOG.split(", ")]
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], RUN_LOG)
+    return small_frame(spark, rows, T.StructType.fromDDL(RUN_LOG))

@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import operators as op
-from tidemark.functions.moments import micros_of, millis_of
 from tidemark.operators.decode import dead_letter_reason
 from tidemark.operators.offsets import document_positions, offsets_map
 from tidemark.plans import oracles, samples
@@ -82,7 +81,7 @@ def cdc_parse_strict_image(spark, sf_dir):
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log with some payloads replaced by the kinds of damage seen in practice."""
     payload = F.col("payload")
-    kind = F.col("event_id") % 17
+    kind = F.col("offset") % 17
     value = (
         F.when(kind == 0, F.substring(payload, 1, 30))
         .when(kind == 1, "null")
@@ -96,13 +95,17 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.event_messages(spark, sf_dir, value=value)
 
 
-@_query(
-    """SELECT CAST(user_id % 4 AS INTEGER) AS p, event_id AS o,
-              CASE WHEN event_id % 17 < 4 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
-              CASE WHEN event_id % 17 < 4 THEN 'missing_key'
-                   WHEN event_id % 17 = 6 THEN 'unknown_operation' ELSE 'applied' END AS outcome
-       FROM events WHERE event_id % 17 NOT IN (4, 5)"""
-)
+_DAMAGE_SQL = """WITH messages AS (SELECT *, event_id % 17 AS kind FROM events),
+changes AS (
+  SELECT CAST(user_id % 4 AS INTEGER) AS p, event_id AS o,
+         CASE WHEN kind < 4 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+         CASE WHEN kind < 4 THEN 'missing_key' WHEN kind = 6 THEN 'unknown_operation'
+              ELSE 'applied' END AS outcome
+  FROM messages WHERE kind NOT IN (4, 5))
+"""
+
+
+@_query(_DAMAGE_SQL + "SELECT p, o, user_id, outcome FROM changes")
 def cdc_malformed_quarantine(spark, sf_dir):
     changes = op.decode_changes(_damaged(spark, sf_dir), samples.USERS.columns)
     return changes.select(
@@ -114,12 +117,14 @@ def cdc_malformed_quarantine(spark, sf_dir):
 
 
 @_query(
-    """SELECT CASE WHEN event_id % 17 < 4 THEN 'missing_key' ELSE 'unknown_operation' END AS reason,
-              CAST(user_id % 4 AS INTEGER) AS p, count(*) AS n, max(event_id) AS last_offset
-       FROM events WHERE event_id % 17 IN (0, 1, 2, 3, 6) GROUP BY ALL"""
+    _DAMAGE_SQL
+    + """SELECT outcome AS reason, p, count(*) AS n, max(o) AS last_offset
+         FROM changes WHERE outcome <> 'applied' GROUP BY ALL"""
 )
 def cdc_dead_letters(spark, sf_dir):
-    changes = op.decode_changes(_damaged(spark, sf_dir), samples.USERS.columns, keep_value=True)
+    changes = op.decode_changes(
+        _damaged(spark, sf_dir), samples.USERS.columns, keep_value=True, filtered=True
+    )
     _, dead = op.split_dead_letters(changes, samples.USERS.keys)
     return dead.groupBy("reason", F.col("kafka_partition").alias("p")).agg(
         F.count("*").alias("n"), F.max("kafka_offset").alias("last_offset")
@@ -264,11 +269,13 @@ base AS (SELECT * FROM first_changes WHERE NOT is_deleted)
 {oracles.merged('base', 'second_changes', _LINE, 'l_orderkey, l_linenumber')}"""
 )
 def merge_composite_key(spark, sf_dir):
-    changes = _lines(spark, sf_dir)
-    cut = millis_of(F.lit("1999-01-01").cast("timestamp_ntz"))
+    messages = samples.lineitem_messages(spark, sf_dir)
     keys = samples.LINEITEM.keys
-    first = op.latest_per_key(changes.where(F.col("cdc_timestamp_ms") < cut), keys)
-    second = op.latest_per_key(changes.where(F.col("cdc_timestamp_ms") >= cut), keys)
+    early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    first, second = (
+        op.latest_per_key(op.decode_changes(messages.where(run), samples.LINEITEM.columns), keys)
+        for run in (early, ~early)
+    )
     return _line_rows(op.merge(_live(first), second, keys, mode="upsert_delete"))
 
 
@@ -395,16 +402,11 @@ _SNAPSHOT_LABELS = {
 }
 
 
-def _snapshot(spark, sf_dir, spec: TableSpec, topic: str | None = None) -> DataFrame:
-    rows = samples.typed_rows(spark, sf_dir, spec)
-    return op.snapshot_events(rows, spec.keys, topic or spec.name, ts_ms=F.lit(1))
-
-
 def _load_snapshots(spark, sf_dir) -> tuple[Bronze, DataFrame]:
     root = new_folder(spark, "full-load")
     log = MessageLog(files.join(root, "log"))
     for spec in _SNAPSHOT_SPECS:
-        log.write(_snapshot(spark, sf_dir, spec))
+        log.write(samples.snapshot_messages(spark, sf_dir, spec))
     bronze = Bronze(files.join(root, "bronze"))
     specs = (*_SNAPSHOT_SPECS, samples.LINEITEM)  # nothing was captured for the last one
     return bronze, run_tables(spark, specs, lambda s: run_full(spark, s, log, bronze))
@@ -522,7 +524,7 @@ def _order_rows(rows: DataFrame) -> DataFrame:
 
 @_query(f"SELECT {_ORDER}, 'READ' AS operation_type FROM orders")
 def capture_snapshot(spark, sf_dir):
-    messages = _snapshot(spark, sf_dir, samples.ORDERS)
+    messages = samples.snapshot_messages(spark, sf_dir, samples.ORDERS)
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns))
 
 
@@ -547,7 +549,9 @@ def capture_diff(spark, sf_dir):
     new = orders.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")).withColumn(
         "o_orderstatus", F.when(closed, "F").otherwise(F.col("o_orderstatus"))
     )
-    messages = op.diff_events(old, new, samples.ORDERS.keys, "orders", ts_ms=F.lit(2))
+    log = MessageLog(new_folder(spark, "diff"))
+    log.write(op.diff_events(old, new, samples.ORDERS.keys, "orders", ts_ms=F.lit(2)))
+    messages = log.read(spark, "orders")
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns, "strict"))
 
 
@@ -674,7 +678,7 @@ _SMALL_ORDERS = TableSpec(
 def dq_decimal(spark, sf_dir):
     """Bronze text that does not fit the declared type."""
     changes = op.decode_changes(
-        _snapshot(spark, sf_dir, samples.ORDERS), _SMALL_ORDERS.columns
+        samples.snapshot_messages(spark, sf_dir, samples.ORDERS), _SMALL_ORDERS.columns
     )
     return op.row_violations(changes, _SMALL_ORDERS)
 
@@ -801,7 +805,7 @@ def csv_load_free_text(spark, sf_dir):
         "doc_id",
         "lang",
         F.md5(F.col("text").cast("binary")).alias("text_md5"),
-        F.length("text").alias("n_chars"),
+        F.length("text").cast("bigint").alias("n_chars"),
     )
 
 
@@ -811,13 +815,15 @@ def csv_load_free_text(spark, sf_dir):
 @_query(f"SELECT {_ORDER}, 'READ' AS operation_type FROM orders")
 def silver_typed(spark, sf_dir):
     """Bronze text of all orders, latest version per key, typed."""
-    changes = op.decode_changes(_snapshot(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns)
+    changes = op.decode_changes(samples.snapshot_messages(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns)
     return _order_rows(op.latest_per_key(changes, samples.ORDERS.keys).drop("is_deleted"))
 
 
 def _dirty_orders(spark, sf_dir) -> DataFrame:
     """Bronze orders with text in some amounts and dates, as a hand-edited source would have."""
-    changes = op.decode_changes(_snapshot(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns)
+    changes = op.decode_changes(
+        samples.snapshot_messages(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns, filtered=True
+    )
     cancelled, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
     return changes.withColumn(
         "o_totalprice",

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.encode import encoded
 from tidemark.functions.moments import millis_of
 from tidemark.model import TableSpec
+from tidemark.operators.capture import snapshot_events
+from tidemark.session import new_folder
 
 # The second run of the two-run queries starts here.
 CUT = "2024-01-30 12:00:00"
@@ -58,6 +62,23 @@ def typed_rows(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
+# Change logs written by this process: (application, tables, name) -> folder.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _topic(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A change log as a consumer meets it: stored messages, not the plan that made them.
+
+    It is written once per application, to the shared folder, and stands for a topic.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN:
+        folder = new_folder(spark, f"topic-{name}")
+        build().write.parquet(folder)
+        _WRITTEN[key] = folder
+    return spark.read.parquet(_WRITTEN[key])
+
+
 def event_messages(
     spark: SparkSession, sf_dir: str, topic: Column | None = None, value: Column | None = None
 ) -> DataFrame:
@@ -65,8 +86,20 @@ def event_messages(
 
     A signup creates, a view reads, an error deletes and the rest update. Every seventh
     update sets the value to NULL. Four partitions by user; the event number is the offset.
+    ``topic`` and ``value`` may replace the stored ones; ``event_type``, ``user_id`` and
+    ``payload`` are at their disposal.
     """
-    events = table(spark, sf_dir, "events")
+    stored = _topic(spark, sf_dir, "events", lambda: _event_changes(table(spark, sf_dir, "events")))
+    return stored.select(
+        (F.lit("events") if topic is None else topic).alias("topic"),
+        "partition",
+        "offset",
+        (F.col("payload") if value is None else value).alias("value"),
+        (F.col("ts") < F.lit(CUT).cast("timestamp_ntz")).alias("first_run"),
+    )
+
+
+def _event_changes(events: DataFrame) -> DataFrame:
     op = (
         F.when(F.col("event_type") == "signup", "c")
         .when(F.col("event_type") == "view", "r")
@@ -75,40 +108,50 @@ def event_messages(
     )
     image = F.struct("user_id", "event_type", "value")
     cleared = F.struct("user_id", "event_type", F.lit(None).cast("double").alias("value"))
-    after = F.when((F.col("op") == "u") & (F.col("event_id") % 7 == 0), cleared).when(
-        F.col("op") != "d", image
-    )
-    envelope = F.struct(
-        F.when(F.col("op").isin("u", "d"), image).alias("before"),
-        after.alias("after"),
-        F.col("op"),
-        millis_of(F.col("ts")).alias("ts_ms"),
-    )
-    text = F.to_json(envelope, {"ignoreNullFields": "false"})
-    messages = events.withColumn("op", op).withColumn("payload", text)
-    return messages.select(
-        (F.lit("events") if topic is None else topic).alias("topic"),
+    after = F.when((op == "u") & (F.col("event_id") % 7 == 0), cleared).when(op != "d", image)
+    return events.select(
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        (F.col("payload") if value is None else value).alias("value"),
-        (F.col("ts") < F.lit(CUT).cast("timestamp_ntz")).alias("first_run"),
+        "ts",
+        "event_type",
+        "user_id",
+        _envelope(F.when(op.isin("u", "d"), image), after, op, millis_of(F.col("ts"))).alias("payload"),
     )
 
 
+def _envelope(before: Column, after: Column, op: Column, ts_ms: Column) -> Column:
+    fields = F.struct(
+        before.alias("before"), after.alias("after"), op.alias("op"), ts_ms.alias("ts_ms")
+    )
+    return F.to_json(fields, {"ignoreNullFields": "false"})
+
+
 def lineitem_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as a change to its (order, line); later ship dates are newer versions."""
-    rows = typed_rows(spark, sf_dir, LINEITEM)
-    image = F.struct(*[encoded(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema])
-    op = F.when(F.col("l_returnflag") == "R", "d").otherwise("u")
-    envelope = F.struct(
-        image.alias("before"),
-        F.when(op != "d", image).alias("after"),
-        op.alias("op"),
-        millis_of(F.col("l_shipdate")).alias("ts_ms"),
-    )
-    return rows.select(
-        F.lit("lineitem").alias("topic"),
-        (F.col("l_suppkey") % 4).cast("int").alias("partition"),
-        F.col("l_partkey").alias("offset"),
-        F.to_json(envelope, {"ignoreNullFields": "false"}).alias("value"),
+
+    def changes() -> DataFrame:
+        rows = typed_rows(spark, sf_dir, LINEITEM)
+        image = F.struct(*[encoded(F.col(f.name), f.dataType).alias(f.name) for f in rows.schema])
+        op = F.when(F.col("l_returnflag") == "R", "d").otherwise("u")
+        version = millis_of(F.col("l_shipdate"))
+        return rows.select(
+            F.lit("lineitem").alias("topic"),
+            (F.col("l_suppkey") % 4).cast("int").alias("partition"),
+            F.col("l_partkey").alias("offset"),
+            _envelope(image, F.when(op != "d", image), op, version).alias("value"),
+            "l_shipdate",
+        )
+
+    return _topic(spark, sf_dir, "lineitem", changes)
+
+
+def snapshot_messages(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
+    """The initial snapshot of a driver table as messages of its topic."""
+    return _topic(
+        spark,
+        sf_dir,
+        spec.name,
+        lambda: snapshot_events(
+            typed_rows(spark, sf_dir, spec), spec.keys, spec.name, ts_ms=F.lit(1)
+        ),
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources import files
 
@@ -41,3 +43,9 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh, not yet existing path below the shared folder."""
     return files.join(shared_folder(spark), "tidemark", f"{purpose}-{uuid.uuid4().hex}")
+
+
+def small_frame(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
+    """A few driver-side rows as a DataFrame, without starting a Python worker for them."""
+    text = F.lit(json.dumps(list(rows)))
+    return spark.range(1).select(F.inline(F.from_json(text, T.ArrayType(schema))))

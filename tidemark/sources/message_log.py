@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.session import small_frame
 from tidemark.sources.kafka import MESSAGE
 
 SCHEMA = "topic STRING, partition INT, offset BIGINT, value STRING"
@@ -60,9 +61,13 @@ def within(
         return messages
     start = start or {}
     partitions = sorted(end or start)
-    bounds = spark.createDataFrame(
-        [(p, start.get(p, 0), (end or {}).get(p)) for p in partitions],
-        "partition INT, _from BIGINT, _until BIGINT",
+    bounds = small_frame(
+        spark,
+        [
+            {"partition": p, "_from": start.get(p, 0), "_until": (end or {}).get(p)}
+            for p in partitions
+        ],
+        T.StructType.fromDDL("partition INT, _from BIGINT, _until BIGINT"),
     )
     if end:
         messages = messages.where(F.col("offset") >= min(start.get(p, 0) for p in partitions))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -51,7 +50,8 @@ class OffsetLog:
 
     def save(self, topic: str, offsets: dict[int, int]) -> None:
         document = json.dumps({topic: {str(p): offsets[p] for p in sorted(offsets)}})
-        row = [(document, datetime.now(timezone.utc))]
-        saved = self.spark.createDataFrame(row, T.StructType(SCHEMA.fields[1:])).coalesce(1)
+        saved = self.spark.range(1, numPartitions=1).select(
+            F.lit(document).alias("offsets"), F.current_timestamp().alias("timestamp")
+        )
         # A folder per topic: tables that are loaded at the same time do not share an output.
         saved.write.mode("append").parquet(files.join(self.path, f"topic={topic}"))
