@@ -11,6 +11,7 @@ from tidemark.functions.moments import millis_of
 from tidemark.model import TableSpec
 from tidemark.operators.capture import snapshot_events
 from tidemark.session import new_folder
+from tidemark.sources.message_log import ROW_GROUP_BYTES
 
 # The second run of the two-run queries starts here.
 CUT = "2024-01-30 12:00:00"
@@ -74,7 +75,7 @@ def _topic(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN:
         folder = new_folder(spark, f"topic-{name}")
-        build().write.parquet(folder)
+        build().write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
         _WRITTEN[key] = folder
     return spark.read.parquet(_WRITTEN[key])
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.session import small_frame
 from tidemark.sources.kafka import MESSAGE
 
+# Decoding costs far more than reading, so row groups are small: a file is then split over
+# several tasks.
+ROW_GROUP_BYTES = 8 << 20
+
 SCHEMA = "topic STRING, partition INT, offset BIGINT, value STRING"
 
 
@@ -21,7 +25,8 @@ class MessageLog:
 
     def write(self, messages: DataFrame, mode: str = "append") -> None:
         rows = messages.select(*MESSAGE[:3], F.col("value").cast("string"))
-        rows.write.mode(mode).partitionBy("topic").parquet(self.path)
+        writer = rows.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
+        writer.partitionBy("topic").parquet(self.path)
 
     def read(
         self,
