@@ -103,3 +103,53 @@ def test_publish_text_is_written_once(spark, tmp_path):
     assert not files.publish_text(spark, path, "other")
     assert files.read_text(spark, path) == "é"
     assert files.names(spark, str(tmp_path / "x")) == ["1.json"]
+
+
+def test_expired_snapshots_free_their_folders(spark, table, changes):
+    for version in range(1, 5):
+        table.apply(changes([("a", str(version), version, version, False)]))
+    table.expire(keep=2)
+    assert files.names(spark, f"{table.path}/snapshots") == ["000000002.json", "000000003.json"]
+    folders = [f for f in files.names(spark, f"{table.path}/data") if files.size(spark, f"{table.path}/data/{f}/") > 100]
+    assert len(folders) == 2
+    assert rows(table) == [("a", "4")]
+
+
+def test_staged_changes_are_removed(spark, table, changes):
+    from tidemark.session import shared_folder
+
+    def staged():
+        return {n for n in files.names(spark, f"{shared_folder(spark)}/tidemark") if n.startswith("changes-")}
+
+    before = staged()
+    for version in (1, 2):
+        table.apply(changes([("a", "x", version, version, False)]))
+    assert staged() == before
+
+
+def test_a_new_column_reads_as_null_in_old_rows(table, changes):
+    table.apply(changes([("a", "1", 1, 1, False), ("b", "1", 1, 1, False)]))
+    table.apply(changes([("b", "2", 2, 2, False)]).selectExpr("*", "'x' AS added"))
+    assert values(table.read(), "id", "v", "added") == [("a", "1", None), ("b", "2", "x")]
+    table.apply(changes([("a", "3", 3, 3, False)]).selectExpr("*", "'y' AS added"))
+    assert values(table.read(), "id", "v", "added") == [("a", "3", "y"), ("b", "2", "x")]
+
+
+def test_buckets_follow_the_shuffle(spark, tmp_path):
+    """After a shuffle on the key, a task holds one bucket, and a bucket one or few files."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import bucket_of
+    from tidemark.operators import latest_per_key
+
+    df = spark.range(0, 20_000, 1, 8).selectExpr(
+        "CAST(id % 5000 AS STRING) AS id", "CAST(id AS STRING) AS v", "id AS cdc_timestamp_ms",
+        "id AS kafka_offset", "0 AS kafka_partition", "false AS is_deleted",
+    )
+    shuffled = df.repartition(8, "id").select(F.spark_partition_id().alias("task"), bucket_of(["id"], 8).alias("b"))
+    assert shuffled.where("task <> b").isEmpty()
+    table = StateTable(spark, str(tmp_path / "aligned"), ["id"], buckets=8)
+    table.apply(latest_per_key(df, ["id"]))
+    assert table.count() == 5000
+    for folder in table.locations().values():
+        assert len([n for n in files.names(spark, folder) if n.endswith(".parquet")]) == 1

@@ -11,6 +11,7 @@ from tidemark.sources.catalog import register
 from tidemark.sources.csv import load_csv, read_csv
 from tidemark.sources.jdbc import jdbc_options
 from tidemark.sources.kafka import KafkaSource
+from tidemark.sources.row_level import RowLevelTable
 
 
 def test_registry(spark):
@@ -129,3 +130,14 @@ def test_jdbc_options():
 def test_working_folder_is_the_shared_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_merge_of_a_row_level_table_is_left_to_its_format(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf")
+    table = RowLevelTable(spark, "shelf.plain", ["id"], provider="parquet")
+    df = spark.sql("SELECT 'a' AS id, 1L AS cdc_timestamp_ms, false AS is_deleted")
+    assert table.apply(df)
+    assert table.exists() and table.count() == 1
+    # Parquet has no MERGE; the statement is complete up to that point.
+    with pytest.raises(Exception, match="(?i)merge"):
+        table.apply(df, "upsert_delete", guard_deletes=True)

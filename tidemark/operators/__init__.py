@@ -9,6 +9,7 @@ from tidemark.operators.quality import (
     duplicate_keys,
     key_violations,
     orphans,
+    reference_violations,
     row_violations,
     surrogate_key,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "of_topic",
     "offsets_document",
     "orphans",
+    "reference_violations",
     "route_topics",
     "row_violations",
     "run_totals",

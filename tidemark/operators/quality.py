@@ -5,7 +5,8 @@ Checks report ``(table_name, rule, column_name, violations)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -99,6 +100,26 @@ def orphans(
     return used.join(known, list(columns), "left_anti")
 
 
+def reference_violations(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]) -> DataFrame:
+    """FOREIGN KEY: rows without a parent, for every reference between the given tables."""
+    reports = []
+    for spec in specs:
+        for ref in spec.references:
+            if spec.name in tables and ref.parent in tables:
+                missing = orphans(
+                    tables[spec.name], ref.columns, tables[ref.parent], ref.parent_columns
+                )
+                reports.append(
+                    missing.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("violations")).select(
+                        F.lit(spec.name).alias("table_name"),
+                        F.lit(f"reference_{ref.parent}").alias("rule"),
+                        F.lit(",".join(ref.columns)).alias("column_name"),
+                        "violations",
+                    )
+                )
+    return reduce(DataFrame.unionByName, reports)
+
+
 # Above this many files the per-file starts are joined rather than broadcast.
 _BROADCAST_FILES = 100_000
 

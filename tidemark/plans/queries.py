@@ -17,7 +17,7 @@ from tidemark.plans import oracles, samples
 from tidemark.plans.gold import totals_by_window
 from tidemark.plans.jobs import Bronze, run_full, run_incremental, run_tables
 from tidemark.plans.silver import silver, silver_rejects
-from tidemark.model import TableSpec
+from tidemark.model import TABLES, TableSpec
 from tidemark.session import new_folder
 from tidemark.sources import files
 from tidemark.sources.catalog import publish, register
@@ -476,6 +476,91 @@ def stream_cdc_fanout(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+# The shop tables after a load: key, one text and one number of each table.
+_SHOP_COLUMNS = {
+    "customers": ("customer_id", "customer_city", "customer_zip_code_prefix"),
+    "sellers": ("seller_id", "seller_city", "seller_zip_code_prefix"),
+    "products": ("product_id", "product_category_name", "product_weight_g"),
+    "orders": ("order_id", "order_status", "customer_id"),
+    "order_items": ("order_id || ':' || order_item_id", "seller_id", "price"),
+    "order_payments": ("order_id || ':' || payment_sequential", "payment_type", "payment_value"),
+    "order_reviews": ("review_id", "md5(review_comment_message)", "review_score"),
+    "geolocation": ("geolocation_id", "geolocation_city", "geolocation_lat"),
+    "product_category_name_translation": (
+        "product_category_name",
+        "product_category_name_english",
+        "length(product_category_name)",
+    ),
+}
+
+_SHOP_SQL = """
+WITH newest_lines AS (
+  SELECT * FROM lineitem QUALIFY row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1),
+shop AS (
+  SELECT 'customers' AS table_name, CAST(c_custkey AS VARCHAR) AS key, c_mktsegment AS label,
+         CAST(c_nationkey AS DOUBLE) AS amount FROM customer
+  UNION ALL SELECT 'sellers', CAST(s_suppkey AS VARCHAR), s_name, s_nationkey FROM supplier
+  UNION ALL SELECT 'products', CAST(p_partkey AS VARCHAR), p_type, p_retailprice FROM part
+  UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_orderstatus, o_custkey FROM orders
+  UNION ALL SELECT 'order_items', l_orderkey || ':' || l_linenumber, CAST(l_suppkey AS VARCHAR),
+                   l_extendedprice FROM newest_lines
+  UNION ALL SELECT 'order_payments', o_orderkey || ':1', o_orderpriority, o_totalprice FROM orders
+  UNION ALL SELECT 'order_reviews', CAST(doc_id AS VARCHAR), md5(text), 1 + n_chars % 5 FROM documents
+  UNION ALL SELECT 'geolocation', CAST(event_id AS VARCHAR), event_type,
+                   CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) FROM events
+  UNION ALL SELECT 'product_category_name_translation', r_name, lower(r_name), length(r_name)
+            FROM region)
+SELECT table_name, key, label, amount FROM shop"""
+
+
+def _shop_log(spark, sf_dir, root: str) -> MessageLog:
+    log = MessageLog(files.join(root, "log"))
+    for name in TABLES:
+        log.write(samples.shop_messages(spark, sf_dir, name))
+    return log
+
+
+def _shop_state(spark, bronze: Bronze) -> DataFrame:
+    loaded = []
+    for name, (key, label, amount) in _SHOP_COLUMNS.items():
+        rows = silver(bronze.table(spark, TABLES[name]).read(), TABLES[name])
+        loaded.append(
+            rows.selectExpr(
+                f"'{name}' AS table_name",
+                f"CAST({key} AS STRING) AS key",
+                f"{label} AS label",
+                f"CAST({amount} AS DOUBLE) AS amount",
+            )
+        )
+    return reduce(DataFrame.unionByName, loaded)
+
+
+@_query(_SHOP_SQL)
+def shop_full_load(spark, sf_dir):
+    """All nine e-commerce tables, loaded in batch from their topics."""
+    root = new_folder(spark, "shop")
+    log, bronze = _shop_log(spark, sf_dir, root), Bronze(files.join(root, "bronze"))
+    log_rows = run_tables(
+        spark, list(TABLES.values()), lambda s: run_incremental(spark, s, log, bronze)
+    )
+    for row in log_rows.collect():  # one row per table
+        _expect_success(row.asDict())
+    return _shop_state(spark, bronze)
+
+
+@_query(_SHOP_SQL)
+def shop_stream(spark, sf_dir):
+    """The same through one stream over the nine topics."""
+    root = new_folder(spark, "shop-stream")
+    log = _shop_log(spark, sf_dir, root)
+    bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
+    start_changes(
+        log.stream(spark, list(TABLES)), files.join(root, "checkpoint"), bronze, TABLES, interval=None
+    ).awaitTermination()
+    return _shop_state(spark, bronze)
+
+
 # -- topics ----------------------------------------------------------------------------------
 
 
@@ -696,6 +781,25 @@ def dq_orphans(spark, sf_dir):
     return op.orphans(lines, ["l_orderkey"], kept, ["o_orderkey"])
 
 
+@_query(
+    """SELECT 'lineitem' AS table_name, 'reference_orders' AS rule, 'l_orderkey' AS column_name,
+              count(*) AS violations FROM lineitem
+       WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+       UNION ALL SELECT 'lineitem', 'reference_supplier', 'l_suppkey', count(*) FROM lineitem
+       WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+       UNION ALL SELECT 'orders', 'reference_customer', 'o_custkey', count(*) FROM orders
+       WHERE o_orderstatus <> 'P'
+         AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')"""
+)
+def dq_references(spark, sf_dir):
+    """Every declared reference, with the pending orders and one customer segment archived."""
+    tables = {t: samples.table(spark, sf_dir, t) for t in ("lineitem", "supplier")}
+    orders, customers = (samples.table(spark, sf_dir, t) for t in ("orders", "customer"))
+    tables["orders"] = orders.where(F.col("o_orderstatus") != "P")
+    tables["customer"] = customers.where(F.col("c_mktsegment") != "BUILDING")
+    return op.reference_violations(tables, [samples.LINEITEM, samples.ORDERS])
+
+
 @_query(
     """SELECT row_number() OVER () AS line_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
        FROM lineitem"""

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.encode import encoded
 from tidemark.functions.moments import millis_of
-from tidemark.model import TableSpec
+from tidemark.model import TABLES, Reference, TableSpec
 from tidemark.operators.capture import snapshot_events
 from tidemark.session import new_folder
 from tidemark.sources.message_log import ROW_GROUP_BYTES
@@ -25,6 +25,7 @@ ORDERS = TableSpec(
     """o_orderkey BIGINT NOT NULL, o_custkey BIGINT NOT NULL, o_orderstatus VARCHAR(1) NOT NULL,
        o_totalprice DECIMAL(10,2) NOT NULL, o_orderdate TIMESTAMP_NTZ NOT NULL,
        o_orderpriority VARCHAR(15)""",
+    references=(Reference(("o_custkey",), "customer", ("c_custkey",)),),
 )
 CUSTOMER = TableSpec(
     "customer",
@@ -50,6 +51,11 @@ LINEITEM = TableSpec(
        l_suppkey BIGINT NOT NULL, l_quantity DECIMAL(10,2) NOT NULL,
        l_extendedprice DECIMAL(10,2) NOT NULL, l_returnflag VARCHAR(1), l_shipdate TIMESTAMP_NTZ""",
     checks={"l_quantity": lambda quantity: quantity.between(1, 40)},
+    references=(
+        Reference(("l_orderkey",), "orders", ("o_orderkey",)),
+        Reference(("l_partkey",), "part", ("p_partkey",)),
+        Reference(("l_suppkey",), "supplier", ("s_suppkey",)),
+    ),
 )
 
 
@@ -60,7 +66,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def typed_rows(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
     """A driver table with the column types of its spec."""
     rows = table(spark, sf_dir, spec.name)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    return rows.select(
+        *[F.col(f.name).cast(_storage(f.dataType)).alias(f.name) for f in spec.schema.fields]
+    )
 
 
 # Change logs written by this process: (application, tables, name) -> folder.
@@ -156,3 +164,76 @@ def snapshot_messages(spark: SparkSession, sf_dir: str, spec: TableSpec) -> Data
             typed_rows(spark, sf_dir, spec), spec.keys, spec.name, ts_ms=F.lit(1)
         ),
     )
+
+
+def shop_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The nine captured e-commerce tables, filled from the driver's tables.
+
+    Line items repeat some (order, line) pairs: the later shipping date is the newer version.
+    """
+    epoch = "TIMESTAMP_NTZ '2020-01-01 00:00:00'"
+    sql = {
+        "customers": (
+            "customer",
+            """c_custkey, c_name, lpad(c_nationkey, 5, '0'), c_mktsegment, lpad(c_nationkey, 2, '0')""",
+        ),
+        "sellers": (
+            "supplier",
+            """s_suppkey, lpad(s_nationkey, 5, '0'), s_name, lpad(s_nationkey, 2, '0')""",
+        ),
+        "products": (
+            "part",
+            """p_partkey, p_type, length(p_name), length(p_brand), p_size,
+               CAST(p_retailprice AS DECIMAL(10,2)), p_size, p_size + 1, p_size + 2""",
+        ),
+        "orders": (
+            "orders",
+            """o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderdate + INTERVAL 1 HOUR,
+               CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + INTERVAL 2 DAY END,
+               CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 9 DAY END,
+               o_orderdate + INTERVAL 14 DAY""",
+        ),
+        "order_items": (
+            "lineitem",
+            """l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity""",
+        ),
+        "order_payments": ("orders", "o_orderkey, 1, o_orderpriority, 1, o_totalprice"),
+        "order_reviews": (
+            "documents",
+            f"""doc_id, doc_id, 1 + n_chars % 5, source, text, {epoch}, NULL""",
+        ),
+        "geolocation": (
+            "events",
+            """event_id, lpad(user_id, 5, '0'), CAST(value AS DECIMAL(10,2)), user_id, event_type, NULL""",
+        ),
+        "product_category_name_translation": ("region", "r_name, lower(r_name)"),
+    }
+    shop = {}
+    for name, (source, columns) in sql.items():
+        fields = TABLES[name].schema.fields
+        picked = spark.sql(f"SELECT {columns} FROM {{src}}", src=table(spark, sf_dir, source))
+        named = picked.toDF(*[f.name for f in fields])
+        shop[name] = named.select(
+            *[F.col(f.name).cast(_storage(f.dataType)).alias(f.name) for f in fields]
+        )
+    return shop
+
+
+def _storage(data_type: T.DataType) -> T.DataType:
+    """VARCHAR is a declaration; rows hold strings."""
+    return T.StringType() if isinstance(data_type, T.VarcharType) else data_type
+
+
+def shop_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The initial snapshot of one shop table as messages."""
+    spec = TABLES[name]
+
+    def build() -> DataFrame:
+        rows = shop_tables(spark, sf_dir)[name]
+        version, offset = F.lit(1), None
+        if name == "order_items":
+            version = millis_of(F.col("shipping_limit_date"))
+            offset = F.col("product_id").cast("bigint")
+        return snapshot_events(rows, spec.keys, name, ts_ms=version, offset=offset)
+
+    return _topic(spark, sf_dir, f"shop-{name}", build)

@@ -8,18 +8,23 @@ from tidemark.model import TableSpec
 from tidemark.sources import files
 
 
-def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
+def read_csv(
+    spark: SparkSession, path: str, spec: TableSpec, multi_line: bool = True
+) -> DataFrame | None:
     """The file's columns as text, or None when the file is missing.
 
     Every column is read as a string, so zip prefixes keep their leading zeros; empty fields
     are NULL. Quoted fields may contain line breaks and doubled quotes. Columns are found by
     header name, and a column that the file lacks (a generated key) is left out.
+
+    A file with ``multi_line`` is read by one task, because a line break may be inside quotes.
+    Turn it off for large files without such fields, and they are split.
     """
     if not files.exists(spark, path):
         return None
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
@@ -30,10 +35,15 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | Non
 
 
 def load_csv(
-    spark: SparkSession, path: str, spec: TableSpec, landing: str, mode: str = "append"
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    landing: str,
+    mode: str = "append",
+    multi_line: bool = True,
 ) -> int | None:
     """Land a seed file as Parquet; returns the stored row count, or None for a missing file."""
-    rows = read_csv(spark, path, spec)
+    rows = read_csv(spark, path, spec, multi_line)
     if rows is None:
         return None
     rows.write.mode(mode).parquet(landing)

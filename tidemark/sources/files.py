@@ -33,6 +33,12 @@ def size(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` and what is below it; a missing path is fine."""
+    fs, target = _open(spark, path)
+    fs.delete(target, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _open(spark, path)
     stream = fs.open(target)

@@ -38,7 +38,8 @@ class RowLevelTable:
         batch: tuple[str, int] | None = None,
     ) -> bool:
         if not self.exists():
-            self.overwrite(changes.where(~F.col("is_deleted")).drop("is_deleted"))
+            rows = changes.where(~F.col("is_deleted")).drop("is_deleted")
+            rows.writeTo(self.name).using(self.provider).create()
             return True
         if mode == "upsert":
             changes = changes.where(~F.col("is_deleted"))

@@ -3,7 +3,7 @@
 Rows are spread over hash buckets of their key. A commit writes the buckets it touches to a
 new folder and then publishes one small snapshot file that says which folder holds each
 bucket. Readers follow the newest snapshot, so they see a commit as a whole or not at all,
-and a failed job leaves folders that nothing points at.
+and a failed job leaves folders that nothing points at. Old snapshots stay until ``expire``.
 """
 
 from __future__ import annotations
@@ -35,6 +35,12 @@ class Snapshot:
     batches: dict[str, int]  # stream -> last micro-batch applied
 
 
+def _widened(schema: T.StructType, changes: T.StructType) -> T.StructType:
+    """The table's columns, then those that the changes bring along."""
+    added = [f for f in changes.fields if f.name not in schema.names and f.name != "is_deleted"]
+    return T.StructType([*schema.fields, *added])
+
+
 class StateTable:
     """One row per key. ``buckets`` is fixed when the table is created: about table size
     divided by the amount a merge may rewrite per touched key, at most a few ten thousand."""
@@ -48,10 +54,14 @@ class StateTable:
     # -- reading -------------------------------------------------------------------------
 
     def snapshot(self) -> Snapshot | None:
-        names = [n for n in files.names(self.spark, self._snapshots) if not n.startswith(".")]
-        if not names:
-            return None
-        content = json.loads(files.read_text(self.spark, files.join(self._snapshots, names[-1])))
+        names = self._names()
+        return self._load(names[-1]) if names else None
+
+    def _names(self) -> list[str]:
+        return [n for n in files.names(self.spark, self._snapshots) if not n.startswith(".")]
+
+    def _load(self, name: str) -> Snapshot:
+        content = json.loads(files.read_text(self.spark, files.join(self._snapshots, name)))
         return Snapshot(
             number=content["number"],
             schema=T.StructType.fromJson(content["schema"]),
@@ -79,15 +89,19 @@ class StateTable:
             raise FileNotFoundError(f"no table at {self.path}")
         return current
 
-    def _read(self, snapshot: Snapshot, buckets: set[int] | None = None) -> DataFrame:
+    def _read(
+        self, snapshot: Snapshot, buckets: set[int] | None = None, schema: T.StructType | None = None
+    ) -> DataFrame:
+        """``schema`` may add columns; rows written before them read as NULL there."""
+        schema = schema or snapshot.schema
         paths = [
             self._folder(folder, bucket)
             for bucket, folder in sorted(snapshot.folders.items())
             if buckets is None or bucket in buckets
         ]
         if not paths:
-            return self.spark.createDataFrame([], snapshot.schema)
-        return self.spark.read.schema(snapshot.schema).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     # -- writing -------------------------------------------------------------------------
 
@@ -117,23 +131,36 @@ class StateTable:
         # The merge needs the changes several times, and their size. A written table gives
         # both, and survives the loss of an executor.
         staged_at = new_folder(self.spark, "changes")
-        changes.write.parquet(staged_at)
-        staged = self.spark.read.schema(changes.schema).parquet(staged_at)
-        in_bucket = bucket_of(self.keys, self.buckets)
-        touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
-        small = files.size(self.spark, staged_at) <= self._broadcast_limit()
-        merged = merge(
-            self._read(current, touched),
-            staged,
-            self.keys,
-            mode,
-            guard_deletes,
-            form="split" if small else "outer",
-        )
-        # The split form writes straight from the table's own files, one bucket each.
-        self._commit(merged if small else self._clustered(merged), touched, current, batch)
+        try:
+            changes.write.parquet(staged_at)
+            staged = self.spark.read.schema(changes.schema).parquet(staged_at)
+            in_bucket = bucket_of(self.keys, self.buckets)
+            touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
+            small = files.size(self.spark, staged_at) <= self._broadcast_limit()
+            target = self._read(current, touched, _widened(current.schema, changes.schema))
+            merged = merge(
+                target, staged, self.keys, mode, guard_deletes, form="split" if small else "outer"
+            )
+            # The split form writes straight from the table's own files, one bucket each.
+            self._commit(merged if small else self._clustered(merged), touched, current, batch)
+        finally:
+            files.delete(self.spark, staged_at)
         return True
 
+    def expire(self, keep: int = 2) -> None:
+        """Drop all but the ``keep`` newest snapshots, and the folders only those used.
+
+        Folders that no snapshot names may belong to a running commit and stay.
+        """
+        names = self._names()
+        old, kept = names[:-keep], names[-keep:]
+        used = {item for n in kept for item in self._load(n).folders.items()}
+        unused = {item for n in old for item in self._load(n).folders.items()} - used
+        for bucket, folder in unused:
+            files.delete(self.spark, self._folder(folder, bucket))
+        for name in old:
+            files.delete(self.spark, files.join(self._snapshots, name))
+
     def _commit(
         self,
         rows: DataFrame,
