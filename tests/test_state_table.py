@@ -80,7 +80,7 @@ def test_two_writers_cannot_publish_the_same_snapshot(spark, table, changes):
     stale = table.snapshot()
     table.apply(changes([("a", "2", 2, 2, False)]))
     with pytest.raises(CommitConflict):
-        table._commit(table.read(), {0, 1, 2, 3}, stale, None)
+        table._commit(table.read(), 4, {0, 1, 2, 3}, stale, None)
     assert rows(table) == [("a", "2")]
 
 
@@ -153,3 +153,19 @@ def test_buckets_follow_the_shuffle(spark, tmp_path):
     assert table.count() == 5000
     for folder in table.locations().values():
         assert len([n for n in files.names(spark, folder) if n.endswith(".parquet")]) == 1
+
+
+def test_bucket_count_and_key_are_those_of_the_table(spark, table, changes):
+    table.apply(changes([(f"k{i}", "1", 1, i, False) for i in range(20)]))
+    again = StateTable(spark, table.path, ["id"], buckets=7)
+    again.apply(changes([(f"k{i}", "2", 2, i, False) for i in range(20)]))
+    assert again.snapshot().buckets == 4
+    assert rows(again) == sorted((f"k{i}", "2") for i in range(20))
+    with pytest.raises(ValueError, match="key"):
+        StateTable(spark, table.path, ["v"]).read()
+
+
+def test_default_bucket_count_is_the_shuffle_width(spark, tmp_path, changes):
+    table = StateTable(spark, str(tmp_path / "d"), ["id"])
+    table.apply(changes([("a", "1", 1, 1, False)]))
+    assert table.snapshot().buckets == 8

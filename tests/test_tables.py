@@ -141,3 +141,27 @@ def test_merge_of_a_row_level_table_is_left_to_its_format(spark):
     # Parquet has no MERGE; the statement is complete up to that point.
     with pytest.raises(Exception, match="(?i)merge"):
         table.apply(df, "upsert_delete", guard_deletes=True)
+
+
+class _Session:
+    """Only what the folder lookup asks for."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder)})()
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    assert shared_folder(_Session("spark://host", "hdfs://shared")) == "hdfs://shared"
+    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
+
+
+def test_typing_stays_in_generated_code(spark, tmp_path):
+    spec = TABLES["order_items"]
+    df = spark.createDataFrame([], ", ".join(f"{c} STRING" for c in spec.columns))
+    df.write.parquet(str(tmp_path / "t"))
+    plan = silver(spark.read.parquet(str(tmp_path / "t")), spec)._jdf.queryExecution().executedPlan().toString()
+    steps = [line for line in plan.splitlines() if "Project [" in line or "Filter (" in line]
+    assert steps and all("*(" in line for line in steps)

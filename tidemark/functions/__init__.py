@@ -11,7 +11,7 @@ from tidemark.functions.envelope import (
 from tidemark.functions.keys import all_equal, any_null, bucket_of
 from tidemark.functions.moments import micros_of, millis_of, moment_of
 from tidemark.functions.routing import table_of_topic
-from tidemark.functions.typed import cast_failures, typed
+from tidemark.functions.typed import cast_failures, fits, typed
 
 __all__ = [
     "all_equal",
@@ -21,6 +21,7 @@ __all__ = [
     "delete_flag",
     "encoded",
     "envelope_schema",
+    "fits",
     "has_payload",
     "micros_of",
     "millis_of",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, functions as F, types as T
 
 from tidemark.functions.moments import moment_of
@@ -27,14 +30,22 @@ def silver_type(spec: TableSpec, column: str) -> T.DataType:
     return T.DataType.fromDDL(override) if override else spec.schema[column].dataType
 
 
-def cast_failures(spec: TableSpec) -> Column:
-    """Names of the columns whose text is present but cannot be read as their type."""
-    failed = []
+def _broken(spec: TableSpec) -> dict[str, Column]:
+    """For each column with a type to fit: is its text present but unreadable?"""
+    broken = {}
     for name in spec.columns:
         data_type = silver_type(spec, name)
         if not isinstance(data_type, (T.StringType, T.VarcharType, T.CharType)):
-            broken = F.col(name).isNotNull() & typed(F.col(name), data_type).isNull()
-            failed.append(F.when(broken, F.lit(name)))
-    if not failed:
-        return F.array().cast("array<string>")
-    return F.array_compact(F.array(*failed))
+            broken[name] = F.col(name).isNotNull() & typed(F.col(name), data_type).isNull()
+    return broken
+
+
+def fits(spec: TableSpec) -> Column:
+    """Can every column of the row be read as its type?"""
+    return reduce(and_, [~b for b in _broken(spec).values()], F.lit(True))
+
+
+def cast_failures(spec: TableSpec) -> Column:
+    """Names of the columns whose text is present but cannot be read as their type."""
+    names = [F.when(broken, F.lit(name)) for name, broken in _broken(spec).items()]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")

@@ -33,7 +33,7 @@ class Bronze:
     """
 
     root: str
-    buckets: int = 16
+    buckets: int | None = None
     mode: str = "upsert"
     image_policy: str = "coalesce"
     guard_deletes: bool = False

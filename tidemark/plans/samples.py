@@ -11,6 +11,7 @@ from tidemark.functions.moments import millis_of
 from tidemark.model import TABLES, Reference, TableSpec
 from tidemark.operators.capture import snapshot_events
 from tidemark.session import new_folder
+from tidemark.sources import files
 from tidemark.sources.message_log import ROW_GROUP_BYTES
 
 # The second run of the two-run queries starts here.
@@ -81,7 +82,7 @@ def _topic(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     It is written once per application, to the shared folder, and stands for a topic.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _WRITTEN:
+    if key not in _WRITTEN or not files.exists(spark, _WRITTEN[key]):
         folder = new_folder(spark, f"topic-{name}")
         build().write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
         _WRITTEN[key] = folder

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions.typed import cast_failures, silver_type, typed
+from tidemark.functions.typed import cast_failures, fits, silver_type, typed
 from tidemark.model import TableSpec
 
 
 def silver(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows whose every value fits its type, typed."""
-    fits = bronze.where(F.size(cast_failures(spec)) == 0)
-    return fits.select(
+    return bronze.where(fits(spec)).select(
         *[typed(F.col(c), silver_type(spec, c)).alias(c) for c in spec.columns],
         *[c for c in bronze.columns if c not in spec.columns],
     )
@@ -19,5 +18,4 @@ def silver(bronze: DataFrame, spec: TableSpec) -> DataFrame:
 
 def silver_rejects(bronze: DataFrame, spec: TableSpec) -> DataFrame:
     """The other rows, as text, with the names of the columns that do not fit."""
-    failed = bronze.withColumn("cast_failures", cast_failures(spec))
-    return failed.where(F.size("cast_failures") > 0)
+    return bronze.where(~fits(spec)).withColumn("cast_failures", cast_failures(spec))

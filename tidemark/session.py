@@ -6,6 +6,7 @@ import json
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,9 +36,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors see")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -24,27 +24,39 @@ def register(
         spark.sql(f"CREATE TABLE {name} USING {provider} LOCATION '{path}'")
 
 
+_PUBLISHED = "tidemark.snapshot"
+
+
 def publish(spark: SparkSession, database: str, table: str, state: StateTable) -> None:
     """Point an external table, partitioned by bucket, at a state table's newest snapshot.
 
-    Two catalog statements whatever the number of buckets; the files stay where they are.
+    The files stay where they are; only the locations of changed buckets move, one after the
+    other, so a reader never misses a bucket but may see two commits side by side.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     name = _quoted(database, table)
-    if not spark.catalog.tableExists(name):
-        fields = state.read().schema.fields
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    snapshot = state.snapshot()
+    now, before = state.locations(), {}
+    if spark.catalog.tableExists(name):
+        properties = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        before = state.locations(int(properties[_PUBLISHED]))
+        known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    else:
+        known = set()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema)
         anchor = files.join(state.path, "published")
         spark.sql(
             f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet "
             f"PARTITIONED BY (bucket) LOCATION '{anchor}'"
         )
-    known = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    if known:
-        specs = ", ".join(f"PARTITION ({p})" for p in known)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
-    locations = state.locations()
-    if locations:
-        specs = " ".join(f"PARTITION (bucket={b}) LOCATION '{p}'" for b, p in locations.items())
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    added = " ".join(f"PARTITION (bucket={b}) LOCATION '{p}'" for b, p in now.items() if b not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    for bucket, path in now.items():
+        if bucket in known and before.get(bucket) != path:
+            spark.sql(f"ALTER TABLE {name} PARTITION (bucket={bucket}) SET LOCATION '{path}'")
+    emptied = ", ".join(f"PARTITION (bucket={b})" for b in known if b not in now)
+    if emptied:
+        spark.sql(f"ALTER TABLE {name} DROP {emptied}")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PUBLISHED}' = '{snapshot.number}')")
     spark.sql(f"REFRESH TABLE {name}")

@@ -30,6 +30,8 @@ class CommitConflict(RuntimeError):
 @dataclass(frozen=True)
 class Snapshot:
     number: int
+    keys: list[str]
+    buckets: int
     schema: T.StructType
     folders: dict[int, str]  # bucket -> commit folder
     batches: dict[str, int]  # stream -> last micro-batch applied
@@ -42,10 +44,16 @@ def _widened(schema: T.StructType, changes: T.StructType) -> T.StructType:
 
 
 class StateTable:
-    """One row per key. ``buckets`` is fixed when the table is created: about table size
-    divided by the amount a merge may rewrite per touched key, at most a few ten thousand."""
+    """One row per key.
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
+    ``buckets`` counts when the table is created, and stays: about table size divided by the
+    amount that a merge may rewrite per touched key, at most a few ten thousand. By default it
+    is the session's shuffle width.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None
+    ):
         self.spark = spark
         self.path = path
         self.keys = list(keys)
@@ -55,15 +63,26 @@ class StateTable:
 
     def snapshot(self) -> Snapshot | None:
         names = self._names()
-        return self._load(names[-1]) if names else None
+        if not names:
+            return None
+        newest = self._load(names[-1])
+        if newest.keys != self.keys:
+            raise ValueError(f"{self.path} has the key {newest.keys}, not {self.keys}")
+        return newest
 
     def _names(self) -> list[str]:
         return [n for n in files.names(self.spark, self._snapshots) if not n.startswith(".")]
 
+    @staticmethod
+    def _name(number: int) -> str:
+        return f"{number:09d}.json"
+
     def _load(self, name: str) -> Snapshot:
         content = json.loads(files.read_text(self.spark, files.join(self._snapshots, name)))
         return Snapshot(
             number=content["number"],
+            keys=content["keys"],
+            buckets=content["buckets"],
             schema=T.StructType.fromJson(content["schema"]),
             folders={int(b): folder for b, folder in content["folders"].items()},
             batches=content["batches"],
@@ -79,9 +98,14 @@ class StateTable:
         """Read from the Parquet footers; no column is scanned."""
         return self.read().count()
 
-    def locations(self) -> dict[int, str]:
-        """Folder of each bucket in the newest snapshot."""
-        return {b: self._folder(f, b) for b, f in self._current().folders.items()}
+    def locations(self, number: int | None = None) -> dict[int, str]:
+        """Folder of each bucket in the newest snapshot, or in an older one that still exists."""
+        if number is None:
+            folders = self._current().folders
+        else:
+            name = self._name(number)
+            folders = self._load(name).folders if name in self._names() else {}
+        return {b: self._folder(f, b) for b, f in folders.items()}
 
     def _current(self) -> Snapshot:
         current = self.snapshot()
@@ -107,8 +131,10 @@ class StateTable:
 
     def overwrite(self, rows: DataFrame, batch: tuple[str, int] | None = None) -> None:
         """Replace the whole content."""
-        everything = set(range(self.buckets))
-        self._commit(self._clustered(rows), everything, self.snapshot(), batch)
+        current = self.snapshot()
+        buckets = current.buckets if current else self.buckets or self._shuffle_width()
+        everything = set(range(buckets))
+        self._commit(self._clustered(rows, buckets), buckets, everything, current, batch)
 
     def apply(
         self,
@@ -134,7 +160,8 @@ class StateTable:
         try:
             changes.write.parquet(staged_at)
             staged = self.spark.read.schema(changes.schema).parquet(staged_at)
-            in_bucket = bucket_of(self.keys, self.buckets)
+            buckets = current.buckets
+            in_bucket = bucket_of(self.keys, buckets)
             touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
             small = files.size(self.spark, staged_at) <= self._broadcast_limit()
             target = self._read(current, touched, _widened(current.schema, changes.schema))
@@ -142,7 +169,8 @@ class StateTable:
                 target, staged, self.keys, mode, guard_deletes, form="split" if small else "outer"
             )
             # The split form writes straight from the table's own files, one bucket each.
-            self._commit(merged if small else self._clustered(merged), touched, current, batch)
+            merged = merged if small else self._clustered(merged, buckets)
+            self._commit(merged, buckets, touched, current, batch)
         finally:
             files.delete(self.spark, staged_at)
         return True
@@ -164,6 +192,7 @@ class StateTable:
     def _commit(
         self,
         rows: DataFrame,
+        buckets: int,
         touched: set[int],
         current: Snapshot | None,
         batch: tuple[str, int] | None,
@@ -172,7 +201,7 @@ class StateTable:
         folder = f"{number:09d}-{uuid.uuid4().hex}"
         target = files.join(self.path, "data", folder)
         (
-            rows.withColumn(_BUCKET, bucket_of(self.keys, self.buckets))
+            rows.withColumn(_BUCKET, bucket_of(self.keys, buckets))
             .write.partitionBy(_BUCKET)
             .parquet(target)
         )
@@ -184,6 +213,8 @@ class StateTable:
         kept = current.folders if current else {}
         content = {
             "number": number,
+            "keys": self.keys,
+            "buckets": buckets,
             "schema": json.loads(rows.schema.json()),
             "folders": {
                 **{str(b): f for b, f in kept.items() if b not in touched},
@@ -191,11 +222,11 @@ class StateTable:
             },
             "batches": {**(current.batches if current else {}), **(dict([batch]) if batch else {})},
         }
-        path = files.join(self._snapshots, f"{number:09d}.json")
+        path = files.join(self._snapshots, self._name(number))
         if not files.publish_text(self.spark, path, json.dumps(content)):
             raise CommitConflict(f"snapshot {number} of {self.path} already exists")
 
-    def _clustered(self, rows: DataFrame) -> DataFrame:
+    def _clustered(self, rows: DataFrame, buckets: int) -> DataFrame:
         """Keep the number of files low without moving rows when it is low anyway.
 
         The rows come from a join or window on the keys, which shuffled them with the same
@@ -203,11 +234,14 @@ class StateTable:
         each other would every task write many buckets; then the rows are rebalanced, and
         large buckets split.
         """
-        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        if width % self.buckets == 0 or self.buckets % width == 0:
+        width = self._shuffle_width()
+        if width % buckets == 0 or buckets % width == 0:
             return rows
         return rows.hint("rebalance", *[F.col(k) for k in self.keys])
 
+    def _shuffle_width(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
     def _broadcast_limit(self) -> int:
         limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
         return self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
