@@ -57,6 +57,8 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Decoding is bound by the processor, so small files are split too.
+        .config("spark.sql.files.openCostInBytes", str(512 << 10))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

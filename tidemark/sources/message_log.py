@@ -12,7 +12,7 @@ from tidemark.sources.kafka import MESSAGE
 
 # Decoding costs far more than reading, so row groups are small: a file is then split over
 # several tasks.
-ROW_GROUP_BYTES = 8 << 20
+ROW_GROUP_BYTES = 2 << 20
 
 SCHEMA = "topic STRING, partition INT, offset BIGINT, value STRING"
 
