@@ -19,6 +19,7 @@ from tidemark.session import small_frame
 from tidemark.sources import files
 from tidemark.sources.catalog import publish
 from tidemark.sources.offset_log import OffsetLog
+from tidemark.sources.row_level import RowLevelTable
 from tidemark.sources.state_table import StateTable
 
 
@@ -29,7 +30,10 @@ class Bronze:
     The defaults give the plain behaviour of a load: images merged per column, deletes of a
     later run not applied, malformed payloads kept. ``dead_letters`` names a folder that
     receives rows without key or with an unknown operation instead; a repeated run repeats
-    them there.
+    them there. ``database`` publishes each table there.
+
+    ``row_level`` names a ``catalog.database`` whose tables, of format ``provider``, support
+    MERGE; they then take the place of the state tables below ``root``.
     """
 
     root: str
@@ -39,12 +43,17 @@ class Bronze:
     guard_deletes: bool = False
     dead_letters: str | None = None
     database: str | None = None
+    row_level: str | None = None
+    provider: str = "delta"
 
     @property
     def offsets_path(self) -> str:
         return files.join(self.root, "_offsets")
 
-    def table(self, spark: SparkSession, spec: TableSpec) -> StateTable:
+    def table(self, spark: SparkSession, spec: TableSpec) -> StateTable | RowLevelTable:
+        if self.row_level:
+            name = f"{self.row_level}.{spec.name}"
+            return RowLevelTable(spark, name, spec.keys, self.provider)
         return StateTable(spark, files.join(self.root, spec.name), spec.keys, self.buckets)
 
 
@@ -54,7 +63,7 @@ def apply_messages(
     spec: TableSpec,
     bronze: Bronze,
     batch: tuple[str, int] | None = None,
-) -> StateTable:
+) -> StateTable | RowLevelTable:
     """Decode, keep the latest change per key, and apply it to the table."""
     table = bronze.table(spark, spec)
     split = bronze.dead_letters is not None
@@ -70,7 +79,7 @@ def apply_messages(
     table.apply(
         latest_per_key(changes, spec.keys), bronze.mode, bronze.guard_deletes, batch=batch
     )
-    if bronze.database:
+    if bronze.database and isinstance(table, StateTable):
         publish(spark, bronze.database, spec.name, table)
     return table
 

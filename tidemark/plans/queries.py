@@ -393,7 +393,6 @@ def _expect_success(row: dict) -> None:
         raise RuntimeError(f"{row['table']}: {row['status']} {row['error']}")
 
 
-_SNAPSHOT_SPECS = (samples.ORDERS, samples.CUSTOMER, samples.PART, samples.SUPPLIER)
 _SNAPSHOT_LABELS = {
     "orders": ("o_orderkey", "o_orderstatus", "o_totalprice"),
     "customer": ("c_custkey", "c_name", "c_acctbal"),
@@ -403,12 +402,9 @@ _SNAPSHOT_LABELS = {
 
 
 def _load_snapshots(spark, sf_dir) -> tuple[Bronze, DataFrame]:
-    root = new_folder(spark, "full-load")
-    log = MessageLog(files.join(root, "log"))
-    for spec in _SNAPSHOT_SPECS:
-        log.write(samples.snapshot_messages(spark, sf_dir, spec))
-    bronze = Bronze(files.join(root, "bronze"))
-    specs = (*_SNAPSHOT_SPECS, samples.LINEITEM)  # nothing was captured for the last one
+    log = samples.snapshot_log(spark, sf_dir)
+    bronze = Bronze(new_folder(spark, "full-load"))
+    specs = (*samples.SNAPSHOTS, samples.LINEITEM)  # nothing was captured for the last one
     return bronze, run_tables(spark, specs, lambda s: run_full(spark, s, log, bronze))
 
 
@@ -421,7 +417,7 @@ def _load_snapshots(spark, sf_dir) -> tuple[Bronze, DataFrame]:
 def full_load_all_tables(spark, sf_dir):
     bronze, _ = _load_snapshots(spark, sf_dir)
     loaded = []
-    for spec in _SNAPSHOT_SPECS:
+    for spec in samples.SNAPSHOTS:
         key, label, amount = _SNAPSHOT_LABELS[spec.name]
         rows = silver(bronze.table(spark, spec).read(), spec)
         loaded.append(
@@ -514,13 +510,6 @@ shop AS (
 SELECT table_name, key, label, amount FROM shop"""
 
 
-def _shop_log(spark, sf_dir, root: str) -> MessageLog:
-    log = MessageLog(files.join(root, "log"))
-    for name in TABLES:
-        log.write(samples.shop_messages(spark, sf_dir, name))
-    return log
-
-
 def _shop_state(spark, bronze: Bronze) -> DataFrame:
     loaded = []
     for name, (key, label, amount) in _SHOP_COLUMNS.items():
@@ -539,8 +528,7 @@ def _shop_state(spark, bronze: Bronze) -> DataFrame:
 @_query(_SHOP_SQL)
 def shop_full_load(spark, sf_dir):
     """All nine e-commerce tables, loaded in batch from their topics."""
-    root = new_folder(spark, "shop")
-    log, bronze = _shop_log(spark, sf_dir, root), Bronze(files.join(root, "bronze"))
+    log, bronze = samples.shop_log(spark, sf_dir), Bronze(new_folder(spark, "shop"))
     log_rows = run_tables(
         spark, list(TABLES.values()), lambda s: run_incremental(spark, s, log, bronze)
     )
@@ -553,7 +541,7 @@ def shop_full_load(spark, sf_dir):
 def shop_stream(spark, sf_dir):
     """The same through one stream over the nine topics."""
     root = new_folder(spark, "shop-stream")
-    log = _shop_log(spark, sf_dir, root)
+    log = samples.shop_log(spark, sf_dir)
     bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
     start_changes(
         log.stream(spark, list(TABLES)), files.join(root, "checkpoint"), bronze, TABLES, interval=None
@@ -609,7 +597,7 @@ def _order_rows(rows: DataFrame) -> DataFrame:
 
 @_query(f"SELECT {_ORDER}, 'READ' AS operation_type FROM orders")
 def capture_snapshot(spark, sf_dir):
-    messages = samples.snapshot_messages(spark, sf_dir, samples.ORDERS)
+    messages = samples.snapshot_log(spark, sf_dir).read(spark, "orders")
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns))
 
 
@@ -763,7 +751,7 @@ _SMALL_ORDERS = TableSpec(
 def dq_decimal(spark, sf_dir):
     """Bronze text that does not fit the declared type."""
     changes = op.decode_changes(
-        samples.snapshot_messages(spark, sf_dir, samples.ORDERS), _SMALL_ORDERS.columns
+        samples.snapshot_log(spark, sf_dir).read(spark, "orders"), _SMALL_ORDERS.columns
     )
     return op.row_violations(changes, _SMALL_ORDERS)
 
@@ -919,14 +907,14 @@ def csv_load_free_text(spark, sf_dir):
 @_query(f"SELECT {_ORDER}, 'READ' AS operation_type FROM orders")
 def silver_typed(spark, sf_dir):
     """Bronze text of all orders, latest version per key, typed."""
-    changes = op.decode_changes(samples.snapshot_messages(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns)
+    changes = op.decode_changes(samples.snapshot_log(spark, sf_dir).read(spark, "orders"), samples.ORDERS.columns)
     return _order_rows(op.latest_per_key(changes, samples.ORDERS.keys).drop("is_deleted"))
 
 
 def _dirty_orders(spark, sf_dir) -> DataFrame:
     """Bronze orders with text in some amounts and dates, as a hand-edited source would have."""
     changes = op.decode_changes(
-        samples.snapshot_messages(spark, sf_dir, samples.ORDERS), samples.ORDERS.columns, filtered=True
+        samples.snapshot_log(spark, sf_dir).read(spark, "orders"), samples.ORDERS.columns, filtered=True
     )
     cancelled, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
     return changes.withColumn(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,7 +12,7 @@ from tidemark.model import TABLES, Reference, TableSpec
 from tidemark.operators.capture import snapshot_events
 from tidemark.session import new_folder
 from tidemark.sources import files
-from tidemark.sources.message_log import ROW_GROUP_BYTES
+from tidemark.sources.message_log import ROW_GROUP_BYTES, MessageLog
 
 # The second run of the two-run queries starts here.
 CUT = "2024-01-30 12:00:00"
@@ -155,16 +155,31 @@ def lineitem_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _topic(spark, sf_dir, "lineitem", changes)
 
 
-def snapshot_messages(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
-    """The initial snapshot of a driver table as messages of its topic."""
-    return _topic(
-        spark,
-        sf_dir,
-        spec.name,
-        lambda: snapshot_events(
-            typed_rows(spark, sf_dir, spec), spec.keys, spec.name, ts_ms=F.lit(1)
-        ),
-    )
+def _log(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Iterable[DataFrame]]
+) -> MessageLog:
+    """Several topics in one stored log, written once per application like ``_topic``."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _WRITTEN or not files.exists(spark, _WRITTEN[key]):
+        log = MessageLog(new_folder(spark, f"log-{name}"))
+        for messages in build():
+            log.write(messages)
+        _WRITTEN[key] = log.path
+    return MessageLog(_WRITTEN[key])
+
+
+SNAPSHOTS = (ORDERS, CUSTOMER, PART, SUPPLIER)
+
+
+def snapshot_log(spark: SparkSession, sf_dir: str) -> MessageLog:
+    """The initial snapshots of four driver tables, a topic each."""
+
+    def build() -> Iterable[DataFrame]:
+        for spec in SNAPSHOTS:
+            rows = typed_rows(spark, sf_dir, spec)
+            yield snapshot_events(rows, spec.keys, spec.name, ts_ms=F.lit(1))
+
+    return _log(spark, sf_dir, "snapshots", build)
 
 
 def shop_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -225,16 +240,15 @@ def _storage(data_type: T.DataType) -> T.DataType:
     return T.StringType() if isinstance(data_type, T.VarcharType) else data_type
 
 
-def shop_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The initial snapshot of one shop table as messages."""
-    spec = TABLES[name]
+def shop_log(spark: SparkSession, sf_dir: str) -> MessageLog:
+    """The initial snapshots of the nine shop tables, a topic each."""
 
-    def build() -> DataFrame:
-        rows = shop_tables(spark, sf_dir)[name]
-        version, offset = F.lit(1), None
-        if name == "order_items":
-            version = millis_of(F.col("shipping_limit_date"))
-            offset = F.col("product_id").cast("bigint")
-        return snapshot_events(rows, spec.keys, name, ts_ms=version, offset=offset)
+    def build() -> Iterable[DataFrame]:
+        for name, rows in shop_tables(spark, sf_dir).items():
+            version, offset = F.lit(1), None
+            if name == "order_items":
+                version = millis_of(F.col("shipping_limit_date"))
+                offset = F.col("product_id").cast("bigint")
+            yield snapshot_events(rows, TABLES[name].keys, name, ts_ms=version, offset=offset)
 
-    return _topic(spark, sf_dir, f"shop-{name}", build)
+    return _log(spark, sf_dir, "shop", build)

@@ -10,7 +10,11 @@ from tidemark.functions.keys import all_equal
 
 
 class RowLevelTable:
-    """The same interface as ``StateTable``, with the MERGE left to the table format."""
+    """The same interface as ``StateTable``, with the MERGE left to the table format.
+
+    ``batch`` is not recorded: a micro-batch that is applied twice gives the same rows, by the
+    version test.
+    """
 
     def __init__(self, spark: SparkSession, name: str, keys: Sequence[str], provider: str = "delta"):
         self.spark = spark
