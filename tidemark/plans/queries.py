@@ -865,15 +865,15 @@ def _seed_csv(spark, sf_dir, spec: TableSpec) -> str:
     )
 )
 def csv_load_counts(spark, sf_dir):
-    """Rows in the seed files against rows stored."""
-    counts = []
+    """Rows of the source tables against rows stored from their seed files."""
+    landed = {}
     for name, spec in _SEEDS.items():
-        path, landing = _seed_csv(spark, sf_dir, spec), new_folder(spark, name)
-        load_csv(spark, path, spec, landing)
-        counted = op.table_counts({name: samples.table(spark, sf_dir, name)})
-        stored = spark.read.parquet(landing).agg(F.count("*").alias("stored_rows"))
-        counts.append(counted.withColumnRenamed("n_rows", "file_rows").crossJoin(stored))
-    return reduce(DataFrame.unionByName, counts)
+        landing = new_folder(spark, name)
+        load_csv(spark, _seed_csv(spark, sf_dir, spec), spec, landing)
+        landed[name] = spark.read.parquet(landing)
+    source = op.table_counts({name: samples.table(spark, sf_dir, name) for name in _SEEDS})
+    stored = op.table_counts(landed).withColumnRenamed("n_rows", "stored_rows")
+    return source.withColumnRenamed("n_rows", "file_rows").join(stored, "table_name")
 
 
 @_query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
