@@ -129,3 +129,16 @@ def test_offset_log_reports_real_failures(spark, tmp_path):
     (broken / "part-0.parquet").write_text("not parquet")
     with pytest.raises(Exception):
         OffsetLog(spark, str(tmp_path / "broken")).last("t")
+
+
+def test_old_snapshots_expire_after_a_run(spark, tmp_path, log, messages):
+    target = bronze(tmp_path, mode="upsert_delete", keep_snapshots=1, database="kept")
+    run_incremental(spark, ACCOUNTS, log, target)
+    log.write(messages(SECOND[:2]))
+    run_incremental(spark, ACCOUNTS, log, target)
+    assert target.table(spark, ACCOUNTS)._names() == ["000000001.json"]
+    assert state(spark, target) == [("a", "1"), ("c", "1")]
+    assert values(spark.sql("SELECT id, v FROM kept.accounts")) == [("a", "1"), ("c", "1")]
+    log.write(messages([("accounts", 0, 1, envelope("c", after={"id": "z", "v": "9"}, ts_ms=9))]))
+    run_incremental(spark, ACCOUNTS, log, target)
+    assert values(spark.sql("SELECT id FROM kept.accounts")) == [("a",), ("c",), ("z",)]

@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, types as T
 
-# Columns that the engine adds to every bronze row, after the business columns.
+# Columns that every bronze row has after the business columns.
 LINEAGE = (
     "operation_type",
     "cdc_operation",

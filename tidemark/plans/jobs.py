@@ -32,6 +32,8 @@ class Bronze:
     receives rows without key or with an unknown operation instead; a repeated run repeats
     them there. ``database`` publishes each table there.
 
+    ``keep_snapshots`` expires older ones after each run; None keeps all.
+
     ``row_level`` names a ``catalog.database`` whose tables, of format ``provider``, support
     MERGE; they then take the place of the state tables below ``root``.
     """
@@ -45,6 +47,7 @@ class Bronze:
     database: str | None = None
     row_level: str | None = None
     provider: str = "delta"
+    keep_snapshots: int | None = None
 
     @property
     def offsets_path(self) -> str:
@@ -79,8 +82,11 @@ def apply_messages(
     table.apply(
         latest_per_key(changes, spec.keys), bronze.mode, bronze.guard_deletes, batch=batch
     )
-    if bronze.database and isinstance(table, StateTable):
-        publish(spark, bronze.database, spec.name, table)
+    if isinstance(table, StateTable):
+        if bronze.database:
+            publish(spark, bronze.database, spec.name, table)
+        if bronze.keep_snapshots:
+            table.expire(bronze.keep_snapshots)
     return table
 
 
