@@ -1,4 +1,4 @@
-"""Building blocks of the reference SQL that the registered queries are compared with."""
+"""Building blocks of the SQL that the registered queries are compared with."""
 
 from __future__ import annotations
 
