@@ -104,9 +104,9 @@ shared AS (
 ), links AS (
   SELECT x, y FROM shared JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
   WHERE 100 * n >= 80 * (len(a.grams) + len(b.grams) - n)
-), both AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+), edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach(doc_id, other) AS (
-  SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, b.y FROM reach r JOIN both b ON b.x = r.other
+  SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, b.y FROM reach r JOIN edges b ON b.x = r.other
 ), lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM s JOIN lowest USING (doc_id)
@@ -141,10 +141,10 @@ def _op5() -> str:
     return f"""
 WITH p(phrase, label) AS (VALUES {phrases}), t(label, words, need) AS (VALUES {templates}),
 w AS (SELECT doc_id, {split("coalesce(text, '')")} AS words FROM documents),
-i AS (SELECT doc_id, words, unnest(range(0, len(words))) AS at FROM w),
-f AS (SELECT doc_id, label, at FROM i JOIN p ON words[at + 1:at + len(phrase)] = phrase),
+i AS (SELECT doc_id, words, unnest(range(0, len(words))) AS place FROM w),
+f AS (SELECT doc_id, label, place FROM i JOIN p ON words[place + 1:place + len(phrase)] = phrase),
 base AS (
-  SELECT doc_id, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word,
+  SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM f GROUP BY doc_id
 ), l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
 b AS (SELECT doc_id, list_distinct({split("line")}) AS words FROM l),
