@@ -36,6 +36,8 @@ from tidemark.session import new_folder
 MIN_SHARED = 100
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
+#: Neighbouring frames that are read by one task.
+FRAMES_A_TASK = 16
 #: Fixed values of the seekable Zstandard format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -195,6 +197,10 @@ def read_bundles(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     """
     frames = index.groupBy("bundle", "frame", "frame_at", "frame_size").agg(F.sort_array(F.collect_list("record_at")).alias("places"))
 
+    # The index is small beside its frames: deal it by number, or few tasks would read all bundles.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    frames = frames.repartition(tasks, "bundle", F.floor(F.col("frame") / FRAMES_A_TASK))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pyarrow.fs.FileSystem.from_uri(folder)
         unpack = zstandard.ZstdDecompressor()
