@@ -15,7 +15,7 @@ from tidemark.session import new_folder
 SLICE_BYTES = 4 << 20
 
 #: How many ways a key's rows are spread where one key may hold much of a table.
-SALTS = 16
+SALTS = 8
 
 _U64 = np.uint64
 

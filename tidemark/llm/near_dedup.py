@@ -11,10 +11,11 @@ BANDS bands of ROWS coordinates give candidates: at similarity 0.8 a pair is mis
 (1 - 0.8^5)^32 < 4e-6. Links count only if the full sets confirm them.
 
 Large groups never meet as all pairs. Equal sets become one class first. Classes that share a band
-are linked to a centre of that band (the class that comes first in a hashed order), confirmed links
-are closed to components, and after two such rounds every pair of classes that still share a band
-but lie in different components is confirmed, except those already tried. That closes all links that
-banding can see, and costs the size of a band times its stragglers.
+are linked to a centre of that band, and confirmed links are closed to components. Bands that still
+reach over several components lose the classes whose shingles are too rarely shared to allow a link.
+After two such rounds every pair of classes that still share a band but lie in different components
+is confirmed, except those already tried. That closes all links that banding can see, and costs the
+size of a band times its few unlinked classes.
 
 Cases: null or empty text, or text without words, has no shingles and no links. Rows with a null id
 are linked with nothing (null component, kept). Rows that share an id are judged each by its own
@@ -139,6 +140,31 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
+def _torn(slim: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members, with their component, of bands that reach over several components."""
+    named = slim.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+    placed = named.withColumn("root", F.coalesce("root", "set_key"))
+    spans = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    return spread_join(placed, spans.select("band"), "band", F.col("set_key"))
+
+
+def _alive(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``placed`` without the classes that can have no further link.
+
+    A link with a class of ``m`` shingles takes ``percent (n + m) / (100 + percent)`` common ones, and any
+    common shingle is held by two classes of the torn bands at least. Classes with too few such
+    shingles go, whatever ``m`` their bands offer; nothing that could be linked is lost.
+    """
+    least = placed.groupBy("band").agg(F.min("n").alias("m"))
+    own = spread_join(placed.select("band", "set_key", "n"), least, "band", F.col("set_key")).groupBy("set_key").agg(F.first("n").alias("n"), F.min("m").alias("m"))
+    partner = F.greatest("m", F.ceil(F.col("n") * percent / 100))
+    own = own.withColumn("need", F.ceil(percent * (F.col("n") + partner) / (100 + percent)))
+    held = sets.join(own, "set_key").select("set_key", "need", F.explode("hashes").alias("h"))
+    common = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("h")
+    support = held.join(common, "h").groupBy("set_key", "need").count()
+    return placed.join(support.where("count >= need").select("set_key"), "set_key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``."""
     rows = stored(_sketched(docs, words), "sketches")
@@ -154,29 +180,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         _sets(texts, words).join(needed.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]), "sets"
     )
 
-    slim = members.select("band", "set_key", "n")
+    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    weights = spread_join(members.select("band", "set_key"), sizes, "band", F.col("set_key")).groupBy("set_key").agg(F.sum("size").alias("weight"))
+    slim = stored(members.select("band", "set_key", "n").join(weights, "set_key"), "placed")
     fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     tried = links = roots = None
     for step in range(_STAR_ROUNDS + 1):
-        placed = slim.withColumn("root", F.col("set_key"))
-        if roots is not None:
-            named = roots.withColumnRenamed("node", "set_key")
-            placed = slim.join(named, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-            torn = slim.join(named, "set_key", "left").groupBy("band").agg(
-                F.min(F.coalesce("root", "set_key")).alias("lo"), F.max(F.coalesce("root", "set_key")).alias("hi")
-            )
-            placed = placed.join(torn.where("lo != hi").select("band"), "band", "left_semi")
+        if roots is None:
+            placed = slim.withColumn("root", F.col("set_key"))
+        else:
+            placed = stored(_alive(_torn(slim, roots), sets, percent), "torn-bands")
         if step < _STAR_ROUNDS:
-            order = F.struct(F.xxhash64("set_key", F.lit(step)), "set_key")
+            # First the class that meets most others, as an unedited original does; then any, another in each band.
+            order = F.struct(-F.col("weight"), "set_key") if step == 0 else F.struct(F.xxhash64("set_key", "band"), "set_key")
             centres = placed.groupBy("band").agg(F.min(F.struct(order.alias("o"), "set_key", "n", "root")).alias("c"))
             met = spread_join(placed, centres, "band", F.col("set_key"))
             found = met.where((F.col("root") != F.col("c.root")) & fits(F.col("n"), F.col("c.n")))
             pairs = found.select(*pair(F.col("set_key"), F.col("c.set_key"))).distinct()
         else:
-            placed = stored(placed, "torn-bands")
-            sizes = placed.groupBy("band", "root").count()
-            main = sizes.groupBy("band").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+            held = placed.groupBy("band", "root").count()
+            main = held.groupBy("band").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
             rest = spread_join(placed, main, "band", F.col("set_key")).where("root != main").drop("main")
             rest = rest.select("band", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
             met = placed.join(rest, "band").where((F.col("root") != F.col("r2")) & fits(F.col("n"), F.col("n2")))
