@@ -13,9 +13,9 @@ BANDS bands of ROWS coordinates give candidates: at similarity 0.8 a pair is mis
 Large groups never meet as all pairs. Equal sets become one class first. Classes that share a band
 are linked to a centre of that band, and confirmed links are closed to components. Bands that still
 reach over several components lose the classes whose shingles are too rarely shared to allow a link.
-After two such rounds every pair of classes that still share a band but lie in different components
-is confirmed, except those already tried. That closes all links that banding can see, and costs the
-size of a band times its few unlinked classes.
+After two such rounds the classes outside a torn band's largest component look for partners by
+their rarest shingles, one of which any partner must hold, and all pairs of different components
+found so are confirmed, except those already tried. That closes all links that banding can see.
 
 Cases: null or empty text, or text without words, has no shingles and no links. Rows with a null id
 are linked with nothing (null component, kept). Rows that share an id are judged each by its own
@@ -148,23 +148,57 @@ def _torn(slim: DataFrame, roots: DataFrame) -> DataFrame:
     return spread_join(placed, spans.select("band"), "band", F.col("set_key"))
 
 
-def _alive(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``placed`` without the classes that can have no further link.
+def _held(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(set_key, n, need, h) for every shingle of the placed classes.
 
-    A link with a class of ``m`` shingles takes ``percent (n + m) / (100 + percent)`` common ones, and any
-    common shingle is held by two classes of the torn bands at least. Classes with too few such
-    shingles go, whatever ``m`` their bands offer; nothing that could be linked is lost.
+    A link with a class of ``m`` shingles takes ``percent (n + m) / (100 + percent)`` common ones; ``need``
+    has the smallest ``m`` that the class's bands offer.
     """
     least = placed.groupBy("band").agg(F.min("n").alias("m"))
     own = spread_join(placed.select("band", "set_key", "n"), least, "band", F.col("set_key")).groupBy("set_key").agg(F.first("n").alias("n"), F.min("m").alias("m"))
     partner = F.greatest("m", F.ceil(F.col("n") * percent / 100))
-    own = own.withColumn("need", F.ceil(percent * (F.col("n") + partner) / (100 + percent)))
-    held = sets.join(own, "set_key").select("set_key", "need", F.explode("hashes").alias("h"))
+    own = own.withColumn("need", F.ceil(percent * (F.col("n") + partner) / (100 + percent)).cast("int")).drop("m")
+    return sets.join(own, "set_key").select("set_key", "n", "need", F.explode("hashes").alias("h"))
+
+
+def _alive(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``placed`` without the classes that can have no further link.
+
+    Any shingle of a link is held by two classes of the torn bands at least. Classes with fewer such
+    shingles than they need go; nothing that could be linked is lost.
+    """
+    held = _held(placed, sets, percent)
     common = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("h")
     support = held.join(common, "h").groupBy("set_key", "need").count()
     return placed.join(support.where("count >= need").select("set_key"), "set_key", "left_semi")
 
 
+def _last_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components in the torn bands that a link is possible for.
+
+    In each band all classes but those of its largest component look for partners. A partner holds
+    one of the ``n - need + 1`` rarest shingles of the class, so only their holders are met.
+    """
+    held = _held(placed, sets, percent)
+    counts = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders"))
+    rooted = placed.select("set_key", "root").distinct()
+    grown = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("grown"))
+    sized = spread_join(placed, grown, "root", F.col("set_key"))
+    main = sized.groupBy("band").agg(F.max(F.struct("grown", "root"))["root"].alias("main"))
+    rest = spread_join(sized, main, "band", F.col("set_key")).where("root != main").select("set_key").distinct()
+    rare = (
+        held.join(rest, "set_key").join(counts, "h").groupBy("set_key", "n", "need")
+        .agg(F.sort_array(F.collect_list(F.struct("holders", "h"))).alias("ordered"))
+        .select("set_key", "n", F.inline(F.slice("ordered", 1, F.col("n").cast("int") - F.col("need") + 1)))
+        .where("holders > 1")
+    )
+    seek = rare.join(rooted, "set_key").select("h", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
+    other = held.select("set_key", "n", "h").join(seek.select("h").distinct(), "h", "left_semi").join(rooted, "set_key")
+    fit = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    met = other.join(seek, "h").where((F.col("root") != F.col("r2")) & fit)
+    return met.select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``."""
     rows = stored(_sketched(docs, words), "sketches")
@@ -199,12 +233,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             found = met.where((F.col("root") != F.col("c.root")) & fits(F.col("n"), F.col("c.n")))
             pairs = found.select(*pair(F.col("set_key"), F.col("c.set_key"))).distinct()
         else:
-            held = placed.groupBy("band", "root").count()
-            main = held.groupBy("band").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
-            rest = spread_join(placed, main, "band", F.col("set_key")).where("root != main").drop("main")
-            rest = rest.select("band", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-            met = placed.join(rest, "band").where((F.col("root") != F.col("r2")) & fits(F.col("n"), F.col("n2")))
-            pairs = met.select(*pair(F.col("set_key"), F.col("k2"))).distinct()
+            pairs = _last_pairs(placed, sets, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
