@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.session import new_folder
 
 #: Text bytes that a Python step works on at once, whatever the size of an Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: How many ways a key's rows are spread where one key may hold much of a table.
 SALTS = 8
