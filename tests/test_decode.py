@@ -34,10 +34,9 @@ EDGE_CASES = [
 ]
 
 
-@pytest.mark.parametrize("filtered", [False, True])
-def test_payload_edge_cases(messages, filtered):
+def test_payload_edge_cases(messages):
     rows = [("t", 0, i, case[0]) for i, case in enumerate(EDGE_CASES)]
-    decoded = decode_changes(messages(rows), ["id", "v"], filtered=filtered)
+    decoded = decode_changes(messages(rows), ["id", "v"])
     got = {r.kafka_offset: r for r in decoded.collect()}
     for i, (payload, kept, key, v, operation, deleted) in enumerate(EDGE_CASES):
         assert (i in got) == kept, payload
@@ -87,7 +86,7 @@ def test_unknown_policy(messages):
 
 def test_dead_letters_keep_the_payload(messages):
     rows = [("t", 0, i, case[0]) for i, case in enumerate(EDGE_CASES)]
-    decoded = decode_changes(messages(rows), ["id", "v"], keep_value=True, filtered=True)
+    decoded = decode_changes(messages(rows), ["id", "v"], keep_value=True)
     good, dead = split_dead_letters(decoded, ["id"])
     reasons = {r.kafka_offset: (r.reason, r.value) for r in dead.collect()}
     assert reasons[3] == ("missing_key", "{bad")
@@ -100,7 +99,7 @@ def test_each_payload_is_decoded_once(spark, messages, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     plain = decode_changes(log, ["id", "v"])
     assert physical_plan(plain).count("from_json(") == 1
-    good, _ = split_dead_letters(decode_changes(log, ["id", "v"], filtered=True), ["id"])
+    good, _ = split_dead_letters(decode_changes(log, ["id", "v"]), ["id"])
     assert physical_plan(good).count("from_json(") == 1
 
 

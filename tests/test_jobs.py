@@ -103,9 +103,9 @@ def test_one_failing_table_does_not_stop_the_others(spark, tmp_path, log):
 
 def test_bounds(spark, messages):
     df = messages([("t", p, o, None) for p in range(3) for o in range(4)])
-    got = within(spark, df, {0: 3}, None)
+    got = within(df, {0: 3}, None)
     assert values(got, "partition", "offset") == [(0, 3)] + [(p, o) for p in (1, 2) for o in range(4)]
-    got = within(spark, df, {0: 1}, {0: 3, 1: 1})
+    got = within(df, {0: 1}, {0: 3, 1: 1})
     assert values(got, "partition", "offset") == [(0, 1), (0, 2), (1, 0)]
 
 

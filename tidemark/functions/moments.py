@@ -21,7 +21,7 @@ def micros_of(moment: Column) -> Column:
 def millis_of(moment: Column) -> Column:
     """TIMESTAMP_NTZ to milliseconds, rounded down."""
     micros = micros_of(moment)
-    return ((micros - F.pmod(micros, F.lit(1000))) / 1000).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
 
 
 def moment_of(micros: Column) -> Column:

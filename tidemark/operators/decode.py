@@ -22,25 +22,20 @@ def decode_changes(
     columns: Sequence[str],
     image_policy: str = "coalesce",
     keep_value: bool = False,
-    filtered: bool = False,
 ) -> DataFrame:
     """Decode ``(topic, partition, offset, value)`` into business columns plus lineage.
 
     Tombstones disappear. Malformed text stays as a row of NULLs with operation UNKNOWN; see
     ``split_dead_letters``. ``keep_value`` keeps the payload text for dead letters.
 
-    Set ``filtered`` when the caller filters on decoded columns. Catalyst moves such a filter
-    below the projection, where it decodes every payload a second time; a generator in
-    between stops it. Without a filter the plain projection is the faster form.
+    Each payload is decoded once, also under a later filter: Catalyst would move such a filter
+    below a projection and decode again there, and a generator in between stops it.
     """
     text = F.col("value").cast("string")
     event = F.from_json("value", envelope_schema(columns))
     kept = ["topic", "partition", "offset", *(["value"] if keep_value else [])]
     messages = messages.where(has_payload(text)).withColumn("value", text)
-    if filtered:
-        decoded = messages.select(*kept, F.inline(F.array(event)))
-    else:
-        decoded = messages.select(*kept, event.alias("event")).select(*kept, "event.*")
+    decoded = messages.select(*kept, F.inline(F.array(event)))
     return decoded.select(
         *[row_image(c, image_policy).alias(c) for c in columns],
         operation_name(F.col("op")).alias("operation_type"),
@@ -63,10 +58,7 @@ def dead_letter_reason(keys: Sequence[str]):
 
 
 def split_dead_letters(changes: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows that can be applied, rows that cannot, with their ``reason``).
-
-    Decode with ``filtered=True`` before this.
-    """
+    """(rows that can be applied, rows that cannot, with their ``reason``)."""
     reason = dead_letter_reason(keys)
     return (
         changes.where(reason.isNull()),

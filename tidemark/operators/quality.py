@@ -101,35 +101,37 @@ def orphans(
 
 
 def reference_violations(tables: Mapping[str, DataFrame], specs: Iterable[TableSpec]) -> DataFrame:
-    """FOREIGN KEY: rows without a parent, for every reference between the given tables."""
+    """FOREIGN KEY: rows without a parent, for every reference of the given specs.
+
+    A table that a reference needs and that is not given raises: a check that cannot run must
+    not look like one that passed.
+    """
     reports = []
     for spec in specs:
         for ref in spec.references:
-            if spec.name in tables and ref.parent in tables:
-                missing = orphans(
-                    tables[spec.name], ref.columns, tables[ref.parent], ref.parent_columns
-                )
-                reports.append(
-                    missing.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("violations")).select(
-                        F.lit(spec.name).alias("table_name"),
-                        F.lit(f"reference_{ref.parent}").alias("rule"),
-                        F.lit(",".join(ref.columns)).alias("column_name"),
-                        "violations",
-                    )
+            absent = {spec.name, ref.parent} - set(tables)
+            if absent:
+                raise ValueError(f"{spec.name} refers to {ref.parent}: {sorted(absent)} not given")
+            missing = orphans(
+                tables[spec.name], ref.columns, tables[ref.parent], ref.parent_columns
+            )
+            reports.append(
+                missing.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("violations")).select(
+                    F.lit(spec.name).alias("table_name"),
+                    F.lit(f"reference_{ref.parent}").alias("rule"),
+                    F.lit(",".join(ref.columns)).alias("column_name"),
+                    "violations",
                 )
+            )
     return reduce(DataFrame.unionByName, reports)
 
 
-# Above this many files the per-file starts are joined rather than broadcast.
-_BROADCAST_FILES = 100_000
-
-
 def surrogate_key(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Number the rows of a landed Parquet table 1, 2, 3 … in load order.
 
     Load order is file name, then position in the file, which the reader reports. The number
-    is the file's start plus that position: no sort, no shuffle of rows, and a re-run over
-    the same files gives the same numbers. Only one count per file is gathered.
+    is the file's start plus that position, and a re-run over the same files gives the same
+    numbers. Only one count per file is gathered; Catalyst sees its size and chooses the join.
     """
     landed = spark.read.parquet(path)
     rows = landed.select(
@@ -144,7 +146,5 @@ def surrogate_key(spark: SparkSession, path: str, name: str) -> DataFrame:
     starts = per_file.select(
         "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    if len(landed.inputFiles()) <= _BROADCAST_FILES:
-        starts = F.broadcast(starts)
     numbered = rows.join(starts, "_file")
     return numbered.select((F.col("_start") + F.col("_row") + 1).alias(name), *landed.columns)

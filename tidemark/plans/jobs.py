@@ -29,8 +29,7 @@ class Bronze:
 
     The defaults give the plain behaviour of a load: images merged per column, deletes of a
     later run not applied, malformed payloads kept. ``dead_letters`` names a folder that
-    receives rows without key or with an unknown operation instead; a repeated run repeats
-    them there. ``database`` publishes each table there.
+    receives rows without key or with an unknown operation instead, each message once. ``database`` publishes each table there.
 
     ``keep_snapshots`` expires older ones after each run; None keeps all.
 
@@ -60,6 +59,15 @@ class Bronze:
         return StateTable(spark, files.join(self.root, spec.name), spec.keys, self.buckets)
 
 
+def _keep_dead_letters(spark: SparkSession, dead: DataFrame, path: str) -> None:
+    """Add the messages that are not there yet: a repeated run or micro-batch adds none twice."""
+    position = ["kafka_topic", "kafka_partition", "kafka_offset"]
+    dead = dead.select(*position, "value", "reason").dropDuplicates(position)
+    if files.exists(spark, path):
+        dead = dead.join(spark.read.schema(dead.schema).parquet(path), position, "left_anti")
+    dead.write.mode("append").parquet(path)
+
+
 def apply_messages(
     spark: SparkSession,
     messages: DataFrame,
@@ -70,14 +78,10 @@ def apply_messages(
     """Decode, keep the latest change per key, and apply it to the table."""
     table = bronze.table(spark, spec)
     split = bronze.dead_letters is not None
-    changes = decode_changes(
-        messages, spec.columns, bronze.image_policy, keep_value=split, filtered=split
-    )
+    changes = decode_changes(messages, spec.columns, bronze.image_policy, keep_value=split)
     if split:
         changes, dead = split_dead_letters(changes, spec.keys)
-        dead.select(
-            "kafka_topic", "kafka_partition", "kafka_offset", "value", "reason"
-        ).write.mode("append").parquet(files.join(bronze.dead_letters, f"table={spec.name}"))
+        _keep_dead_letters(spark, dead, files.join(bronze.dead_letters, f"table={spec.name}"))
         changes = changes.drop("value")
     table.apply(
         latest_per_key(changes, spec.keys), bronze.mode, bronze.guard_deletes, batch=batch

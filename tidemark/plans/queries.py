@@ -123,7 +123,7 @@ def cdc_malformed_quarantine(spark, sf_dir):
 )
 def cdc_dead_letters(spark, sf_dir):
     changes = op.decode_changes(
-        _damaged(spark, sf_dir), samples.USERS.columns, keep_value=True, filtered=True
+        _damaged(spark, sf_dir), samples.USERS.columns, keep_value=True
     )
     _, dead = op.split_dead_letters(changes, samples.USERS.keys)
     return dead.groupBy("reason", F.col("kafka_partition").alias("p")).agg(
@@ -773,6 +773,8 @@ def dq_orphans(spark, sf_dir):
     """SELECT 'lineitem' AS table_name, 'reference_orders' AS rule, 'l_orderkey' AS column_name,
               count(*) AS violations FROM lineitem
        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+       UNION ALL SELECT 'lineitem', 'reference_part', 'l_partkey', count(*) FROM lineitem
+       WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)
        UNION ALL SELECT 'lineitem', 'reference_supplier', 'l_suppkey', count(*) FROM lineitem
        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
        UNION ALL SELECT 'orders', 'reference_customer', 'o_custkey', count(*) FROM orders
@@ -780,11 +782,12 @@ def dq_orphans(spark, sf_dir):
          AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')"""
 )
 def dq_references(spark, sf_dir):
-    """Every declared reference, with the pending orders and one customer segment archived."""
+    """Every declared reference, with the pending orders, one customer segment and large parts archived."""
     tables = {t: samples.table(spark, sf_dir, t) for t in ("lineitem", "supplier")}
     orders, customers = (samples.table(spark, sf_dir, t) for t in ("orders", "customer"))
     tables["orders"] = orders.where(F.col("o_orderstatus") != "P")
     tables["customer"] = customers.where(F.col("c_mktsegment") != "BUILDING")
+    tables["part"] = samples.table(spark, sf_dir, "part").where("p_size <= 45")
     return op.reference_violations(tables, [samples.LINEITEM, samples.ORDERS])
 
 
@@ -914,7 +917,7 @@ def silver_typed(spark, sf_dir):
 def _dirty_orders(spark, sf_dir) -> DataFrame:
     """Bronze orders with text in some amounts and dates, as a hand-edited source would have."""
     changes = op.decode_changes(
-        samples.snapshot_log(spark, sf_dir).read(spark, "orders"), samples.ORDERS.columns, filtered=True
+        samples.snapshot_log(spark, sf_dir).read(spark, "orders"), samples.ORDERS.columns
     )
     cancelled, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
     return changes.withColumn(

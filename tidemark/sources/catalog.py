@@ -15,13 +15,16 @@ def _quoted(*names: str) -> str:
 def register(
     spark: SparkSession, database: str, table: str, path: str, provider: str = "parquet"
 ) -> None:
-    """An external table over ``path``; a table that is already there is refreshed."""
+    """An external table over ``path``; one that is already there is refreshed, or moved to ``path``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     name = _quoted(database, table)
     if spark.catalog.tableExists(name):
-        spark.sql(f"REFRESH TABLE {name}")
-    else:
-        spark.sql(f"CREATE TABLE {name} USING {provider} LOCATION '{path}'")
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+        if files.same(spark, described["data_type"], path):
+            spark.sql(f"REFRESH TABLE {name}")
+            return
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    spark.sql(f"CREATE TABLE {name} USING {provider} LOCATION '{path}'")
 
 
 _PUBLISHED = "tidemark.snapshot"

@@ -15,7 +15,8 @@ def read_csv(
 
     Every column is read as a string, so zip prefixes keep their leading zeros; empty fields
     are NULL. Quoted fields may contain line breaks and doubled quotes. Columns are found by
-    header name, and a column that the file lacks (a generated key) is left out.
+    header name, and a column that the file lacks (a generated key) is left out. Every file of
+    a folder must have the same header, and every line as many fields; the read fails otherwise.
 
     A file with ``multi_line`` is read by one task, because a line break may be inside quotes.
     Turn it off for large files without such fields, and they are split.
@@ -28,6 +29,9 @@ def read_csv(
         .option("quote", '"')
         .option("escape", '"')
         .option("nullValue", "")
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("mode", "FAILFAST")
     )
     header = reader.option("inferSchema", False).csv(path).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])

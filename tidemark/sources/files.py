@@ -19,6 +19,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def same(spark: SparkSession, left: str, right: str) -> bool:
+    """Do two paths name the same place, whatever their spelling?"""
+    (fs, a), (other, b) = _open(spark, left), _open(spark, right)
+    return fs.makeQualified(a).equals(other.makeQualified(b))
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children, sorted; a missing folder has none."""
     fs, target = _open(spark, path)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.session import small_frame
 from tidemark.sources.kafka import MESSAGE
 
 # Decoding costs far more than reading, so row groups are small: a file is then split over
@@ -39,11 +40,10 @@ class MessageLog:
 
         A partition that ``start`` does not name is read from its beginning. With ``end``, only
         the partitions it names are read, so that nothing is read that is not recorded. The
-        lowest start reaches the scan as a filter; the exact bounds are a broadcast join with
-        one row per partition.
+        bounds of each partition reach the scan as a filter.
         """
         rows = spark.read.schema(SCHEMA).parquet(self.path).where(F.col("topic") == F.lit(topic))
-        return within(spark, rows, start, end).select(*MESSAGE)
+        return within(rows, start, end).select(*MESSAGE)
 
     def stream(
         self, spark: SparkSession, topics: Sequence[str], max_files: int | None = None
@@ -56,7 +56,6 @@ class MessageLog:
 
 
 def within(
-    spark: SparkSession,
     messages: DataFrame,
     start: dict[int, int] | None,
     end: dict[int, int] | None,
@@ -65,20 +64,12 @@ def within(
     if not start and not end:
         return messages
     start = start or {}
-    partitions = sorted(end or start)
-    bounds = small_frame(
-        spark,
-        [
-            {"partition": p, "_from": start.get(p, 0), "_until": (end or {}).get(p)}
-            for p in partitions
-        ],
-        T.StructType.fromDDL("partition INT, _from BIGINT, _until BIGINT"),
-    )
-    if end:
-        messages = messages.where(F.col("offset") >= min(start.get(p, 0) for p in partitions))
-    # One row per partition of a topic, listed by the driver just above.
-    bounded = messages.join(F.broadcast(bounds), "partition", "inner" if end else "left_outer")
-    return bounded.where(
-        (F.col("offset") >= F.coalesce("_from", F.lit(0)))
-        & (F.col("_until").isNull() | (F.col("offset") < F.col("_until")))
-    ).drop("_from", "_until")
+    slices = []
+    for p in sorted(end or start):
+        inside = (F.col("partition") == p) & (F.col("offset") >= start.get(p, 0))
+        slices.append(inside & (F.col("offset") < end[p]) if end else inside)
+    if not end:
+        slices.append(~F.col("partition").isin(sorted(start)))
+    while len(slices) > 1:  # a balanced tree: topics may have thousands of partitions
+        slices = [reduce(or_, slices[i : i + 2]) for i in range(0, len(slices), 2)]
+    return messages.where(slices[0])

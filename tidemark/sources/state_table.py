@@ -134,7 +134,7 @@ class StateTable:
         current = self.snapshot()
         buckets = current.buckets if current else self.buckets or self._shuffle_width()
         everything = set(range(buckets))
-        self._commit(self._clustered(rows, buckets), buckets, everything, current, batch)
+        self._commit(rows, buckets, everything, current, batch)
 
     def apply(
         self,
@@ -154,8 +154,8 @@ class StateTable:
             return True
         if batch and current.batches.get(batch[0], -1) >= batch[1]:
             return False
-        # The merge needs the changes several times, and their size. A written table gives
-        # both, and survives the loss of an executor.
+        # The merge needs the changes several times. A written table survives the loss of an
+        # executor, and its size lets Catalyst choose the join.
         staged_at = new_folder(self.spark, "changes")
         try:
             changes.write.parquet(staged_at)
@@ -163,13 +163,8 @@ class StateTable:
             buckets = current.buckets
             in_bucket = bucket_of(self.keys, buckets)
             touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
-            small = files.size(self.spark, staged_at) <= self._broadcast_limit()
             target = self._read(current, touched, _widened(current.schema, changes.schema))
-            merged = merge(
-                target, staged, self.keys, mode, guard_deletes, form="split" if small else "outer"
-            )
-            # The split form writes straight from the table's own files, one bucket each.
-            merged = merged if small else self._clustered(merged, buckets)
+            merged = merge(target, staged, self.keys, mode, guard_deletes, form="split")
             self._commit(merged, buckets, touched, current, batch)
         finally:
             files.delete(self.spark, staged_at)
@@ -200,11 +195,9 @@ class StateTable:
         number = current.number + 1 if current else 0
         folder = f"{number:09d}-{uuid.uuid4().hex}"
         target = files.join(self.path, "data", folder)
-        (
-            rows.withColumn(_BUCKET, bucket_of(self.keys, buckets))
-            .write.partitionBy(_BUCKET)
-            .parquet(target)
-        )
+        # A bucket's rows meet in one task, so a small bucket is one file; a large one is split.
+        placed = rows.withColumn(_BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", F.col(_BUCKET))
+        placed.write.partitionBy(_BUCKET).parquet(target)
         written = {
             int(name.split("=")[1])
             for name in files.names(self.spark, target)
@@ -226,26 +219,9 @@ class StateTable:
         if not files.publish_text(self.spark, path, json.dumps(content)):
             raise CommitConflict(f"snapshot {number} of {self.path} already exists")
 
-    def _clustered(self, rows: DataFrame, buckets: int) -> DataFrame:
-        """Keep the number of files low without moving rows when it is low anyway.
-
-        The rows come from a join or window on the keys, which shuffled them with the same
-        hash that numbers the buckets. Only when shuffle width and bucket count do not divide
-        each other would every task write many buckets; then the rows are rebalanced, and
-        large buckets split.
-        """
-        width = self._shuffle_width()
-        if width % buckets == 0 or buckets % width == 0:
-            return rows
-        return rows.hint("rebalance", *[F.col(k) for k in self.keys])
-
     def _shuffle_width(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _broadcast_limit(self) -> int:
-        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        return self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-
     @property
     def _snapshots(self) -> str:
         return files.join(self.path, "snapshots")
