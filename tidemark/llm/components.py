@@ -7,8 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import spread_join, stored
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link only, or none to a smaller node."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def components(edges: DataFrame, purpose: str = "components", rounds: int = 60) -> DataFrame:
@@ -16,15 +20,14 @@ def components(edges: DataFrame, purpose: str = "components", rounds: int = 60)
 
     Each step joins a node's links with the smallest of its neighbours. Links of a node with very
     many neighbours are spread over tasks, and only (node, smallest neighbour) pairs are aggregated,
-    so no neighbourhood is ever gathered. Every step is a written table; the loop ends when a step
-    leaves the links as they were. Self links and repeated links are fine; nodes must not be null.
+    so no neighbourhood is ever gathered. Every step is a written table; the loop ends when each node
+    is a root or has a root as its only link. Self links and repeated links are fine; nodes must not be null.
     """
     links = stored(
         edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), purpose
     )
-    before = _digest(links)
     for _ in range(rounds):
-        if not before[0]:
+        if _settled(links):
             break
         # Large star: a node's larger neighbours move to the smallest node among it and its neighbours.
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -36,10 +39,6 @@ def components(edges: DataFrame, purpose: str = "components", rounds: int = 60)
         moved = spread_join(large, least, "a", F.col("b"))
         small = moved.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         links = stored(small.distinct(), purpose)
-        after = _digest(links)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     leaves = links.select(F.col("a").alias("node"), F.col("b").alias("root"))

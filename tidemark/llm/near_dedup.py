@@ -11,11 +11,10 @@ BANDS bands of ROWS coordinates give candidates: at similarity 0.8 a pair is mis
 (1 - 0.8^5)^32 < 4e-6. Links count only if the full sets confirm them.
 
 Large groups never meet as all pairs. Equal sets become one class first. Classes that share a band
-are linked to a centre of that band, and confirmed links are closed to components. Bands that still
-reach over several components lose the classes whose shingles are too rarely shared to allow a link.
-After two such rounds the classes outside a torn band's largest component look for partners by
-their rarest shingles, one of which any partner must hold, and all pairs of different components
-found so are confirmed, except those already tried. That closes all links that banding can see.
+are linked to the centre of that band, and confirmed links are closed to components. Bands that
+still reach over several components are torn: their classes look for partners by their rarest
+shingles, and all pairs of different components found so are confirmed, except those already tried.
+That closes all links that banding can see. The second closing works on components, not on classes.
 
 Cases: null or empty text, or text without words, has no shingles and no links. Rows with a null id
 are linked with nothing (null component, kept). Rows that share an id are judged each by its own
@@ -38,7 +37,6 @@ from tidemark.llm.components import components
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
 _U64 = np.uint64
-_STAR_ROUNDS = 2
 
 
 def shingles(text: bytes | None, words: int) -> np.ndarray:
@@ -132,71 +130,76 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b, ra, rb) whose full sets are similar enough."""
     left = sets.select(F.col("set_key").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set_key").alias("b"), F.col("hashes").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     both = pairs.join(right, "b").join(left, "a")
-    return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b", "ra", "rb")
 
 
-def _torn(slim: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members, with their component, of bands that reach over several components."""
-    named = slim.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-    placed = named.withColumn("root", F.coalesce("root", "set_key"))
-    spans = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    return spread_join(placed, spans.select("band"), "band", F.col("set_key"))
-
-
-def _held(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(set_key, n, need, h) for every shingle of the placed classes.
+def _torn(classes: DataFrame, percent: int) -> DataFrame:
+    """The classes (columns set_key, n, root, need, seeks) in bands that reach over several components.
 
     A link with a class of ``m`` shingles takes ``percent (n + m) / (100 + percent)`` common ones; ``need``
-    has the smallest ``m`` that the class's bands offer.
+    has the smallest ``m`` that the class's bands offer. All classes of a band seek partners but those of
+    the component of its heaviest class, which any partner would find from its own side.
     """
-    least = placed.groupBy("band").agg(F.min("n").alias("m"))
-    own = spread_join(placed.select("band", "set_key", "n"), least, "band", F.col("set_key")).groupBy("set_key").agg(F.first("n").alias("n"), F.min("m").alias("m"))
+    slots = classes.select("set_key", "n", "weight", "root", F.explode("bands").alias("band"))
+    spans = slots.groupBy("band").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("m"), F.max(F.struct("weight", "root"))["root"].alias("main")
+    ).where("lo != hi")
+    least = (
+        spread_join(slots, spans, "band", F.col("set_key")).groupBy("set_key")
+        .agg(F.first("n").alias("n"), F.first("root").alias("root"), F.min("m").alias("m"), F.bool_or(F.col("root") != F.col("main")).alias("seeks"))
+    )
     partner = F.greatest("m", F.ceil(F.col("n") * percent / 100))
-    own = own.withColumn("need", F.ceil(percent * (F.col("n") + partner) / (100 + percent)).cast("int")).drop("m")
-    return sets.join(own, "set_key").select("set_key", "n", "need", F.explode("hashes").alias("h"))
+    return least.withColumn("need", F.ceil(percent * (F.col("n") + partner) / (100 + percent)).cast("int")).drop("m")
 
 
-def _alive(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``placed`` without the classes that can have no further link.
+def _prefixes(torn: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_key, n, root, seeks, h, left) for the ``n - need + 1`` rarest shingles of the classes that can have a link.
 
-    Any shingle of a link is held by two classes of the torn bands at least. Classes with fewer such
-    shingles than they need go; nothing that could be linked is lost.
+    Any shingle of a link is held by two classes of the torn bands at least, so classes with fewer such
+    shingles than they need go. Of two classes with a link each has a shingle in its prefix that is in
+    the other's, too, as both prefixes follow one order. ``left`` counts the class's shingles from this
+    one on, held by two classes at least.
     """
-    held = _held(placed, sets, percent)
-    common = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("h")
-    support = held.join(common, "h").groupBy("set_key", "need").count()
-    return placed.join(support.where("count >= need").select("set_key"), "set_key", "left_semi")
+    held = sets.join(torn, "set_key").select("set_key", "n", "need", "root", "seeks", F.explode("hashes").alias("h"))
+    counts = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    common = held.join(counts, "h").groupBy("set_key", "n", "need", "root", "seeks")
+    listed = common.agg(F.sort_array(F.collect_list(F.struct("holders", "h"))).alias("ordered")).where(F.size("ordered") >= F.col("need"))
+    # Shingles of one holder come first in the order and meet nobody: they only shorten the rest of the prefix.
+    length = F.size("ordered") - F.col("need") + 1
+    taken = listed.select("set_key", "n", "root", "seeks", F.size("ordered").alias("size"), F.posexplode(F.slice("ordered", 1, length)))
+    return taken.select("set_key", "n", "root", "seeks", F.col("col.h").alias("h"), (F.col("size") - F.col("pos")).alias("left"))
 
 
-def _last_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components in the torn bands that a link is possible for.
+def _last_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, ra, rb) of different components, of classes that share a shingle of their prefixes.
 
-    In each band all classes but those of its largest component look for partners. A partner holds
-    one of the ``n - need + 1`` rarest shingles of the class, so only their holders are met.
+    From the first shingle that two classes share, both must have as many left as a link takes. Two
+    classes that both seek meet once.
     """
-    held = _held(placed, sets, percent)
-    counts = held.groupBy("h").agg(F.count(F.lit(1)).alias("holders"))
-    rooted = placed.select("set_key", "root").distinct()
-    grown = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("grown"))
-    sized = spread_join(placed, grown, "root", F.col("set_key"))
-    main = sized.groupBy("band").agg(F.max(F.struct("grown", "root"))["root"].alias("main"))
-    rest = spread_join(sized, main, "band", F.col("set_key")).where("root != main").select("set_key").distinct()
-    rare = (
-        held.join(rest, "set_key").join(counts, "h").groupBy("set_key", "n", "need")
-        .agg(F.sort_array(F.collect_list(F.struct("holders", "h"))).alias("ordered"))
-        .select("set_key", "n", F.inline(F.slice("ordered", 1, F.col("n").cast("int") - F.col("need") + 1)))
-        .where("holders > 1")
-    )
-    seek = rare.join(rooted, "set_key").select("h", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-    other = held.select("set_key", "n", "h").join(seek.select("h").distinct(), "h", "left_semi").join(rooted, "set_key")
-    fit = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
-    met = other.join(seek, "h").where((F.col("root") != F.col("r2")) & fit)
-    return met.select(F.least("set_key", "k2").alias("a"), F.greatest("set_key", "k2").alias("b")).distinct()
+    seek = prefixes.where("seeks").select("h", F.col("set_key").alias("k2"), F.col("n").alias("n2"), F.col("root").alias("r2"), F.col("left").alias("left2"))
+    enough = (100 + percent) * F.least("left", "left2") >= percent * (F.col("n") + F.col("n2"))
+    once = ~F.col("seeks") | (F.col("set_key") < F.col("k2"))
+    met = prefixes.join(seek, "h").where((F.col("root") != F.col("r2")) & enough & once)
+    return _ordered(met, "set_key", "root", "k2", "r2").distinct()
+
+
+def _ordered(met: DataFrame, x: str, x_root: str, y: str, y_root: str) -> DataFrame:
+    """Columns a, b, ra, rb: two classes, the smaller first, and their components."""
+    lo, hi = (F.struct(F.col(k).alias("k"), F.col(r).alias("r")) for k, r in ((x, x_root), (y, y_root)))
+    pair = met.select(F.least(lo, hi).alias("p"), F.greatest(lo, hi).alias("q"))
+    return pair.select(F.col("p.k").alias("a"), F.col("q.k").alias("b"), F.col("p.r").alias("ra"), F.col("q.r").alias("rb"))
+
+
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the components that ``links`` between their components (ra, rb) make of them."""
+    roots = components(links.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    moved = roots.select(F.col("node").alias("root"), F.col("root").alias("into"))
+    return spread_join(classes, moved, "root", F.col("set_key"), "left").withColumn("root", F.coalesce("into", "root")).drop("into")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -205,44 +208,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     listed = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
     slots = classes.select("set_key", "first_id", "n", F.explode("bands").alias("band"))
-    shared = classes.select(F.explode("bands").alias("band")).groupBy("band").count().where("count > 1").select("band")
-    members = stored(slots.join(shared, "band", "left_semi"), "bands")
+    shared = slots.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # A class has BANDS bands at most.
+    placed = stored(
+        spread_join(slots, shared, "band", F.col("set_key")).groupBy("set_key", "first_id", "n")
+        .agg(F.sum("size").alias("weight"), F.collect_list("band").alias("bands")).withColumn("root", F.col("set_key")),
+        "placed",
+    )
 
-    needed = members.select(F.col("first_id").alias("doc_id"), "set_key").distinct()
+    needed = placed.select(F.col("first_id").alias("doc_id"), "set_key")
     texts = docs.select("doc_id", "text").join(needed.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
     sets = stored(
         _sets(texts, words).join(needed.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]), "sets"
     )
 
-    sizes = members.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-    weights = spread_join(members.select("band", "set_key"), sizes, "band", F.col("set_key")).groupBy("set_key").agg(F.sum("size").alias("weight"))
-    slim = stored(members.select("band", "set_key", "n").join(weights, "set_key"), "placed")
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    tried = links = roots = None
-    for step in range(_STAR_ROUNDS + 1):
-        if roots is None:
-            placed = slim.withColumn("root", F.col("set_key"))
-        else:
-            placed = stored(_alive(_torn(slim, roots), sets, percent), "torn-bands")
-        if step < _STAR_ROUNDS:
-            # First the class that meets most others, as an unedited original does; then any, another in each band.
-            order = F.struct(-F.col("weight"), "set_key") if step == 0 else F.struct(F.xxhash64("set_key", "band"), "set_key")
-            centres = placed.groupBy("band").agg(F.min(F.struct(order.alias("o"), "set_key", "n", "root")).alias("c"))
-            met = spread_join(placed, centres, "band", F.col("set_key"))
-            found = met.where((F.col("root") != F.col("c.root")) & fits(F.col("n"), F.col("c.n")))
-            pairs = found.select(*pair(F.col("set_key"), F.col("c.set_key"))).distinct()
-        else:
-            pairs = _last_pairs(placed, sets, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        fresh = stored(_confirmed(pairs, sets, percent), "links")
-        links = fresh if links is None else links.union(fresh)
-        roots = stored(components(links), "roots")
-
-    named = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id")).join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+    # The centre of a band is the class that meets most others, as an unedited original does.
+    in_bands = placed.select("set_key", "n", "weight", "root", F.explode("bands").alias("band"))
+    centres = in_bands.groupBy("band").agg(F.min(F.struct((-F.col("weight")).alias("o"), "set_key", "n")).alias("c"))
+    met = spread_join(in_bands, centres, "band", F.col("set_key"))
+    fits = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
+    met = met.where((F.col("set_key") != F.col("c.set_key")) & fits).select("set_key", F.col("c.set_key").alias("centre"))
+    tried = stored(_ordered(met, "set_key", "set_key", "centre", "centre").distinct(), "pairs")
+    joined = stored(_joined(placed, stored(_confirmed(tried, sets, percent), "links")), "joined")
+
+    torn = stored(_torn(joined, percent), "torn-bands")
+    last = _last_pairs(stored(_prefixes(torn, sets), "prefixes"), percent).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    joined = _joined(joined, stored(_confirmed(stored(last, "pairs"), sets, percent), "links"))
+
+    named = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id")).join(joined.select("set_key", "root"), "set_key", "left")
     named = named.withColumn("root", F.coalesce("root", "set_key"))
     lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = stored(spread_join(named.select("root", "set_key"), lowest, "root", F.col("set_key")).select("set_key", "component_id"), "classes")
