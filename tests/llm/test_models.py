@@ -98,3 +98,7 @@ def test_quality_of_odd_texts(documents, odd_rows):
         assert len(found) == len(odd_rows) and all(0 <= r["score"] <= 1 for r in found)
     assert Q.score_quality(documents([]), model).collect() == []
     assert all(np.isfinite(Q.features(t or "")).all() for _, t in odd_rows)
+
+
+def test_numerals_are_no_letters():
+    assert [L.has_letter(t.encode()) for t in ("", "12 ²½①_", "² é", "語", "\U0001f600")] == [False, False, True, True, False]

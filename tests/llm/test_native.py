@@ -122,6 +122,7 @@ def test_secrets_match_brute_force(documents, odd_rows):
 def test_edited_texts_match_brute_force(documents, odd_rows):
     draw = random.Random(13)
     rows = [(i * 7, sentence(draw, draw.randint(0, 60))) for i in range(80)] + [(i and 1000 + i, t) for i, t in odd_rows]
+    rows += [(-(1 << 62), "far below all others"), (1 << 62, "far above all others")]
     df = P.fingerprint_digest(documents(rows))
     assert no_python(df)
     found = df.collect()
@@ -143,6 +144,18 @@ def test_edited_texts_match_brute_force(documents, odd_rows):
     assert [r["near_next"] for r in P.fingerprint_digest(documents([(5, "a lone text")])).collect()] == [1.0]
 
 
+def test_ranges_follow_the_rows_not_the_id_space(spark):
+    from pyspark.sql import functions as F
+
+    ids = [-(1 << 62), *range(1000), *range(1 << 50, (1 << 50) + 1000), 1 << 62]
+    rows = spark.createDataFrame([(i,) for i in ids], "k BIGINT")
+    bounds = P.range_bounds(rows, "k", 16)
+    counts = {r["r"]: r["count"] for r in rows.groupBy(P.range_of(F.col("k"), bounds).alias("r")).count().collect()}
+    assert sorted(counts) == list(range(len(bounds) + 1)) and max(counts.values()) < 200
+    one = spark.createDataFrame([(5,)] * 3, "k BIGINT")
+    assert P.range_bounds(one, "k", 16) == [] and P.range_bounds(one.limit(0), "k", 16) == []
+
+
 def test_sketches_merge_and_estimate(spark):
     draw = random.Random(14)
     words = [sentence(draw, 1) for _ in range(6000)]

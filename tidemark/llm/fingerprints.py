@@ -6,9 +6,9 @@ containment of a short text in a very long one is estimated as well as likeness.
 always kept, also above the fraction, so that a text with words never has an empty sketch; a union
 keeps the hashes below the fraction and the smallest.
 
-All of it is DataFrame expressions. The next document is found by a window over ranges of ids: ranges
-are cells of the id space joined to about equal numbers of rows, and each range ends with the first
-row of the next one.
+All of it is DataFrame expressions. The next document is found by a window over ranges of ids, cut at
+approximate quantiles of the ids, so that sparse or clustered ids give ranges of about equal numbers
+of rows, too; each range ends with the first row of the next one.
 
 Cases: null text counts as empty; a text without words has the empty sketch; with fewer than five words
 all of them are one shingle. Two empty sketches are alike (1), an empty and another one are not (0).
@@ -24,7 +24,6 @@ from tidemark.llm.common import ascii_lower, free_name
 
 WORDS = 5
 SCALE = 8
-CELLS = 1 << 16
 _BORDER = -(1 << 63) + (1 << 64) // SCALE
 _LAST = (1 << 63) - 1
 
@@ -71,38 +70,37 @@ def written(sketch_: Column) -> Column:
     return F.array_join(F.transform(sketch_, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
 
 
-def _numbers(values: list[int]) -> Column:
-    """The values as one literal array."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+def range_bounds(rows: DataFrame, key: str, ranges: int) -> list[int]:
+    """Values of the long column ``key``, ascending, that cut ``rows`` into at most ``ranges`` ranges, none of them empty."""
+    shares = [k / ranges for k in range(1, ranges)]
+    cuts = F.percentile_approx(key, shares, max(10_000, 10 * ranges))  # each of them occurs in the column
+    found = rows.agg(F.min(key).alias("least"), cuts.alias("cuts")).first()
+    return sorted({c for c in found["cuts"] or [] if c > found["least"]})
+
+
+def range_of(key: Column, bounds: list[int]) -> Column:
+    """How many of the ascending ``bounds`` are at or below ``key``, by bisection."""
+    if not bounds:
+        return F.lit(0)
+    listed = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")  # one literal
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))))
+    # Behind the last bound ``get`` is null.
+    return F.aggregate(steps, F.lit(0), lambda at, size: F.when(F.get(listed, at + size - 1) <= key, at + size).otherwise(at))
 
 
 def with_next(rows: DataFrame, order: list[str], values: list[str]) -> DataFrame:
     """``rows`` with ``next_<value>`` of the row that follows by ``order``; the first follows the last.
 
-    The first column of ``order`` must be a long without nulls; its span is cut into CELLS equal cells,
-    and neighbouring cells are joined to about twice as many ranges as there are shuffle partitions.
+    The first column of ``order`` must be a long without nulls. There are about twice as many ranges as
+    shuffle partitions; rows that are equal in that column share a range.
     """
-    key = F.col(order[0])
-    inner = rows.where(key < _LAST).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo, hi = (0, 0) if inner["lo"] is None else (inner["lo"], inner["hi"])
-    width = (hi - lo + 1) / (CELLS - 1)
-    cell = F.when(key < _LAST, F.least(F.floor((key - F.lit(lo)) / F.lit(width)), F.lit(CELLS - 2))).otherwise(CELLS - 1).cast("int")
-    counts = {r["c"]: r["count"] for r in rows.select(cell.alias("c")).groupBy("c").count().collect()}
-    ranges = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each, seen, place, used = max(1, -(-sum(counts.values()) // ranges)), 0, [], []
-    for c in range(CELLS):
-        place.append(seen // each)
-        if counts.get(c):
-            used.append(seen // each)
-            seen += counts[c]
-    used = sorted(set(used))
-    before = dict(zip(used[1:], used, strict=False)) | ({used[0]: used[-1]} if used else {})
-    placed = rows.withColumn("_range", F.element_at(_numbers(place), cell + 1))
-    # Each range ends with the first row of the next one.
+    bounds = range_bounds(rows, order[0], 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = rows.withColumn("_range", range_of(F.col(order[0]), bounds))
+    # Each range ends with the first row of the next one, the last range with that of the first.
     row = F.struct(*order, *(v for v in values if v not in order))
     firsts = placed.groupBy("_range").agg(F.min_by(row, F.struct(*order)).alias("row"))
-    to = _numbers([before.get(k, -1) for k in range(max(used, default=0) + 1)])
-    ends = firsts.select(F.element_at(to, F.col("_range") + 1).alias("_range"), F.lit(1).alias("_end"), F.col("row.*"))
+    before = F.pmod(F.col("_range") - 1, F.lit(len(bounds) + 1))
+    ends = firsts.select(before.alias("_range"), F.lit(1).alias("_end"), F.col("row.*"))
     both = placed.withColumn("_end", F.lit(0)).unionByName(ends, allowMissingColumns=True)
     window = Window.partitionBy("_range").orderBy("_end", *order)
     both = both.select("*", *(F.lead(value).over(window).alias(f"next_{value}") for value in values))

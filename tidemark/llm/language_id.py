@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from tidemark.llm.common import bytes_of, cut, free_name
 
 NONE = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # also matches numerals such as U+00B2, which are no letters
 #: Lower case for A-Z, a space for every other ASCII character that is not a letter.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _CODE_BITS = 25
@@ -99,6 +99,10 @@ def fit_kernel(texts: list[bytes], languages: list[str], landmarks: int, ridge:
     return KernelModel(names, codes, np.vstack([weights, solved[-1:]]).astype(np.float32))
 
 
+def has_letter(text: bytes) -> bool:
+    return any(m.group().isalpha() for m in _LETTER.finditer(text.decode("utf-8", "replace")))
+
+
 def predict(model: KernelModel, texts: list[bytes | None]) -> tuple[list[str], np.ndarray]:
     filled = [t or b"" for t in texts]
     labels, scores = [NONE] * len(texts), np.zeros(len(texts))
@@ -117,7 +121,7 @@ def predict(model: KernelModel, texts: list[bytes | None]) -> tuple[list[str], n
         odds = np.exp(_SLOPE * (raw - raw.max(1, keepdims=True)))
         odds /= odds.sum(1, keepdims=True)
         for i, text in enumerate(part):
-            if _LETTER.search(text.decode("utf-8", "replace")):
+            if has_letter(text):
                 best = int(np.argmax(raw[i]))
                 labels[start + i], scores[start + i] = model.languages[best], odds[i, best]
     return labels, scores
