@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.moments import millis_of
 from tidemark.model import Reference, TableSpec
+from tidemark.operators import decode_changes, diff_events, snapshot_events
 from tidemark.operators.quality import reference_violations
-from tidemark.plans.jobs import Bronze, apply_messages
+from tidemark.plans.jobs import Bronze, apply_messages, run_incremental
+from tidemark.plans.silver import silver, silver_rejects
 from tidemark.sources import files
 from tidemark.sources.catalog import register
 from tidemark.sources.csv import read_csv
-from tidemark.sources.message_log import within
+from tidemark.sources.message_log import MessageLog, within
 from tidemark.sources.state_table import StateTable
 
 from conftest import envelope
@@ -91,3 +93,27 @@ def test_bounds_reach_the_scan(spark, messages, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters") :]
     assert "GreaterThanOrEqual(offset,3)" in pushed and "Join" not in plan
+
+
+def test_appended_events_come_behind_the_stored_ones(spark, tmp_path):
+    log = MessageLog(str(tmp_path / "log"))
+    spec = TableSpec("items", ("id",), "id INT NOT NULL, v STRING")
+    rows = lambda n, v: spark.range(n).selectExpr("CAST(id AS INT) AS id", f"'{v}' AS v").repartition(3)
+    bronze = Bronze(str(tmp_path / "bronze"), buckets=2, mode="upsert_delete")
+    log.append(snapshot_events(rows(30, "a"), spec.keys, "items", ts_ms=F.lit(1)))
+    assert run_incremental(spark, spec, log, bronze)["kafka_messages"] == 30
+    log.append(diff_events(rows(30, "a"), rows(40, "a").withColumn("v", F.expr("IF(id < 5, 'b', v)")), spec.keys, "items", ts_ms=F.lit(2)))
+    assert run_incremental(spark, spec, log, bronze)["kafka_messages"] == 15
+    found = {int(r.id): r.v for r in bronze.table(spark, spec).read().collect()}
+    assert found == {i: "b" if i < 5 else "a" for i in range(40)}
+    stored = log.read(spark, "items")
+    assert stored.select("partition", "offset").distinct().count() == 45
+
+
+def test_silver_wants_what_the_source_wants(spark, messages):
+    spec = TableSpec("items", ("id",), "id INT NOT NULL, name STRING NOT NULL, n INT")
+    rows = [("items", 0, 0, "{bad"), ("items", 0, 1, envelope("c", after={"id": "1", "name": "a", "n": None})), ("items", 0, 2, envelope("c", after={"id": "2", "n": "x"}))]
+    bronze = decode_changes(messages(rows), spec.columns)
+    assert [(r.id, r.name, r.n) for r in silver(bronze, spec).collect()] == [(1, "a", None)]
+    rejects = {r.kafka_offset: r.cast_failures for r in silver_rejects(bronze, spec).collect()}
+    assert rejects == {0: ["id", "name"], 2: ["name", "n"]}

@@ -31,21 +31,23 @@ def silver_type(spec: TableSpec, column: str) -> T.DataType:
 
 
 def _broken(spec: TableSpec) -> dict[str, Column]:
-    """For each column with a type to fit: is its text present but unreadable?"""
+    """For each column that may not fit: is its text unreadable, or missing in spite of NOT NULL?"""
     broken = {}
     for name in spec.columns:
-        data_type = silver_type(spec, name)
-        if not isinstance(data_type, (T.StringType, T.VarcharType, T.CharType)):
-            broken[name] = F.col(name).isNotNull() & typed(F.col(name), data_type).isNull()
+        value = typed(F.col(name), silver_type(spec, name))
+        if not spec.schema[name].nullable:
+            broken[name] = value.isNull()
+        elif not isinstance(silver_type(spec, name), (T.StringType, T.VarcharType, T.CharType)):
+            broken[name] = F.col(name).isNotNull() & value.isNull()
     return broken
 
 
 def fits(spec: TableSpec) -> Column:
-    """Can every column of the row be read as its type?"""
+    """Can every column of the row be read as its type, and is every NOT NULL column there?"""
     return reduce(and_, [~b for b in _broken(spec).values()], F.lit(True))
 
 
 def cast_failures(spec: TableSpec) -> Column:
-    """Names of the columns whose text is present but cannot be read as their type."""
+    """Names of the columns whose text cannot be read as their type, or is missing in spite of NOT NULL."""
     names = [F.when(broken, F.lit(name)) for name, broken in _broken(spec).items()]
     return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")

@@ -38,10 +38,10 @@ def snapshot_events(
     offset: Column | None = None,
     partitions: int = 4,
 ) -> DataFrame:
-    """A read event for every row. A projection only: nothing is shuffled or numbered.
+    """A read event for every row. A projection only: nothing is shuffled.
 
-    A snapshot holds a key once, so the offset need not tell events apart; pass one if the
-    rows have a natural position.
+    Without ``offset`` the events get numbers that are unique among them, with gaps;
+    ``MessageLog.append`` moves them behind the events that a log holds already.
     """
     image = _image(df)
     rows = df.select(
@@ -50,7 +50,7 @@ def snapshot_events(
         image.alias("after"),
         F.lit("r").alias("op"),
     )
-    position = F.lit(0) if offset is None else offset
+    position = F.monotonically_increasing_id() if offset is None else offset
     return _events(rows, topic, [F.col(k) for k in keys], partitions, ts_ms, position)
 
 
@@ -67,6 +67,7 @@ def diff_events(
 
     The keys are unique on both sides (``duplicate_keys`` checks that), so the outer join
     pairs each row with at most one other and no key is hot. Unchanged rows give no event.
+    Offsets are as in ``snapshot_events``.
     """
     columns = new.columns
     left = old.select(columns).withColumn("_there", F.lit(True)).alias("old")
@@ -82,5 +83,5 @@ def diff_events(
         F.when(~deleted, _image(new, "new")).alias("after"),
         F.when(created, "c").when(deleted, "d").otherwise("u").alias("op"),
     )
-    position = F.lit(0) if offset is None else offset
+    position = F.monotonically_increasing_id() if offset is None else offset
     return _events(changed, topic, [F.col(k) for k in keys], partitions, ts_ms, position)

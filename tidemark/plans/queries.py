@@ -15,7 +15,7 @@ from tidemark.operators.decode import dead_letter_reason
 from tidemark.operators.offsets import document_positions, offsets_map
 from tidemark.plans import oracles, samples
 from tidemark.plans.gold import totals_by_window
-from tidemark.plans.jobs import Bronze, run_full, run_incremental, run_tables
+from tidemark.plans.jobs import Bronze, apply_messages, run_full, run_incremental, run_tables
 from tidemark.plans.silver import silver, silver_rejects
 from tidemark.model import TABLES, TableSpec
 from tidemark.session import new_folder
@@ -393,6 +393,58 @@ def _expect_success(row: dict) -> None:
         raise RuntimeError(f"{row['table']}: {row['status']} {row['error']}")
 
 
+@_query(
+    oracles.two_runs()
+    + """, n AS (SELECT count(*) AS messages FROM events),
+live AS (SELECT count(*) AS n FROM """
+    + oracles.latest("log")
+    + """ WHERE NOT is_deleted)
+SELECT 'first' AS run, 'SUCCESS' AS status, messages, n AS records FROM n, live
+UNION ALL SELECT 'again', 'SKIPPED', 0, 0
+UNION ALL SELECT 'reset', 'SUCCESS', messages, n FROM n, live"""
+)
+def incremental_reset(spark, sf_dir):
+    """A load, a load with nothing new, and a load that starts over; the table stays the same."""
+    root = new_folder(spark, "reset")
+    log = MessageLog(files.join(root, "log"))
+    bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
+    log.write(samples.event_messages(spark, sf_dir))
+    runs = []
+    for name in ("first", "again", "reset"):
+        row = run_incremental(spark, samples.USERS, log, bronze, reset=name == "reset")
+        runs.append((name, row["status"], row["kafka_messages"], row["final_records"]))
+    return spark.createDataFrame(runs, "run STRING, status STRING, messages BIGINT, records BIGINT")
+
+
+@_query(oracles.two_runs() + _STATE)
+def stream_replayed_batches(spark, sf_dir):
+    """Micro-batches that come again, as after a crash, change nothing."""
+    bronze = Bronze(new_folder(spark, "replay"), mode="upsert_delete")
+    messages = samples.event_messages(spark, sf_dir)
+    for number, part in ((0, "first_run"), (1, "NOT first_run"), (1, "NOT first_run"), (0, "first_run")):
+        apply_messages(spark, messages.where(part), samples.USERS, bronze, batch=("replay", number))
+    return _user_rows(bronze.table(spark, samples.USERS).read())
+
+
+@_query(oracles.two_runs() + _STATE)
+def stream_rate_limited(spark, sf_dir):
+    """The same two parts through a stream that takes two files at a time; a file holds whole partitions."""
+    root = new_folder(spark, "limited")
+    log = MessageLog(files.join(root, "log"))
+    bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
+    messages = samples.event_messages(spark, sf_dir)
+    for part in ("first_run", "NOT first_run"):
+        log.write(messages.where(part).repartition("partition"))
+    start_changes(
+        log.stream(spark, ["events"], max_files=2),
+        files.join(root, "checkpoint"),
+        bronze,
+        {"events": samples.USERS},
+        interval=None,
+    ).awaitTermination()
+    return _user_rows(bronze.table(spark, samples.USERS).read())
+
+
 _SNAPSHOT_LABELS = {
     "orders": ("o_orderkey", "o_orderstatus", "o_totalprice"),
     "customer": ("c_custkey", "c_name", "c_acctbal"),
@@ -601,6 +653,17 @@ def capture_snapshot(spark, sf_dir):
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns))
 
 
+def _order_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Old orders are archived, early ones are closed, new ones arrive."""
+    orders = samples.typed_rows(spark, sf_dir, samples.ORDERS)
+    old = orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    closed = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
+    new = orders.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")).withColumn(
+        "o_orderstatus", F.when(closed, "F").otherwise(F.col("o_orderstatus"))
+    )
+    return old, new
+
+
 @_query(
     f"""WITH old AS (SELECT * FROM orders WHERE o_orderdate < DATE '2000-01-01'),
 new AS (SELECT * REPLACE (CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'F'
@@ -615,19 +678,33 @@ SELECT {', '.join('new.' + c.strip() for c in _ORDER.split(','))}, 'UPDATE'
 FROM new JOIN old USING (o_orderkey) WHERE new.o_orderstatus <> old.o_orderstatus"""
 )
 def capture_diff(spark, sf_dir):
-    """Old orders are archived, early ones are closed, new ones arrive."""
-    orders = samples.typed_rows(spark, sf_dir, samples.ORDERS)
-    old = orders.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    closed = F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")
-    new = orders.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")).withColumn(
-        "o_orderstatus", F.when(closed, "F").otherwise(F.col("o_orderstatus"))
-    )
+    old, new = _order_versions(spark, sf_dir)
     log = MessageLog(new_folder(spark, "diff"))
     log.write(op.diff_events(old, new, samples.ORDERS.keys, "orders", ts_ms=F.lit(2)))
     messages = log.read(spark, "orders")
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns, "strict"))
 
 
+@_query(
+    """SELECT o_orderkey, o_custkey,
+              CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+              o_totalprice, o_orderdate, o_orderpriority
+       FROM orders WHERE o_orderdate >= DATE '1996-01-01'"""
+)
+def capture_then_incremental(spark, sf_dir):
+    """A snapshot and then the changes after it, loaded one by one from one log, give the new orders."""
+    old, new = _order_versions(spark, sf_dir)
+    root, keys = new_folder(spark, "capture"), samples.ORDERS.keys
+    log = MessageLog(files.join(root, "log"))
+    bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete", image_policy="strict")
+    snapshot = op.snapshot_events(old, keys, "orders", ts_ms=F.lit(1))
+    changes = op.diff_events(old, new, keys, "orders", ts_ms=F.lit(2))
+    for events in (snapshot, changes):
+        log.append(events)
+        _expect_success(run_incremental(spark, samples.ORDERS, log, bronze))
+    return _order_rows(bronze.table(spark, samples.ORDERS).read()).drop("operation_type")
+
+
 # -- quality -----------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from tidemark.model import TableSpec
 
 
 def silver(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows whose every value fits its type, typed."""
+    """Rows whose every value fits its type and its NOT NULL, typed."""
     return bronze.where(fits(spec)).select(
         *[typed(F.col(c), silver_type(spec, c)).alias(c) for c in spec.columns],
         *[c for c in bronze.columns if c not in spec.columns],

@@ -9,6 +9,8 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.offsets import next_offsets
+from tidemark.sources import files
 from tidemark.sources.kafka import MESSAGE
 
 # Decoding costs far more than reading, so row groups are small: a file is then split over
@@ -29,6 +31,21 @@ class MessageLog:
         writer = rows.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
         writer.partitionBy("topic").parquet(self.path)
 
+    def append(self, events: DataFrame) -> None:
+        """Add events behind those that their partitions hold.
+
+        Every offset is raised by the next position of its partition, so offsets that are unique
+        among the events stay unique in the log, and rise with every append. What is joined has one
+        row per topic and partition; the events are not shuffled.
+        """
+        spark = events.sparkSession
+        if files.exists(spark, self.path):
+            held = next_offsets(spark.read.schema(SCHEMA).parquet(self.path)).drop("messages")
+            events = events.join(F.broadcast(held), ["topic", "partition"], "left").withColumn(
+                "offset", F.col("offset") + F.coalesce("next_offset", F.lit(0))
+            )
+        self.write(events)
+
     def read(
         self,
         spark: SparkSession,
