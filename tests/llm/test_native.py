@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 
 import pytest
 
@@ -68,6 +69,26 @@ def test_license_blocks_and_no_templates(documents):
         L.word_ranks(documents(rows), {"x": " ".join(f"w{i}" for i in range(L.MAX_TEMPLATE_WORDS + 1))})
 
 
+def test_wrapped_notices_are_found(documents):
+    draw = random.Random(15)
+    rows, expected = [], set()
+    for i, (label, text) in enumerate(sorted(L.TEMPLATES.items())):
+        for j, width in enumerate((20, 72, 79)):
+            around = textwrap.fill(f"{sentence(draw, 30)} {text} {sentence(draw, 30)}", width)
+            rows.append((10 * i + j, around))
+            expected.add((10 * i + j, label))
+        twice = textwrap.fill(text, 24) + "\n" + textwrap.fill(text, 24).replace("\n", "\n# ")
+        rows.append((10 * i + 5, twice))
+    rows.append((900, f"{sentence(draw, 100)}\n".join(L.template_words(L.TEMPLATES["bsd-notice"]))))
+    df = L.license_blocks(documents(rows))
+    assert no_python(df)
+    found = [tuple(r) for r in df.collect()]
+    assert expected <= {(i, label) for i, _, label, _ in found}
+    for i, label in enumerate(sorted(L.TEMPLATES)):
+        assert sum(r[0] == 10 * i + 5 and r[2] == label for r in found) == 2
+    assert not [r for r in found if r[0] == 900]
+
+
 # -- secrets
 
 

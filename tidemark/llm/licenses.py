@@ -1,7 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block (a line) matches a template when it holds at least ``CONTAINMENT`` of the template's distinct
-words. Template words are ordered by how many documents of the corpus hold them, rarest first. The
+A block matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words. A
+block is a line, or, so that wrapped notices are found, a stretch of words over several lines that is at most
+``1 / CONTAINMENT`` times as long as the template. At each line break the stretch must go on as the template
+does: the template words on both sides of the break follow each other there, with no more words left out than a
+match may lack. Words of lines that match by themselves are not counted in a stretch; of stretches that overlap, the fullest is reported, then the shortest. Template words are ordered by how many documents of the corpus hold them, rarest first. The
 join filters by
 
 * prefix: a match must hold one of the ``n - need + 1`` rarest words of the template (n words, ``need``
@@ -10,7 +13,8 @@ join filters by
 * position: with the first held word at place ``p`` of the template's order, at most ``n - p`` words can be
   held, so ``p`` must be at most ``n - need``. The first held word of a prefix decides this;
 
-and what is left is counted exactly. Templates are few and given by the caller: at most
+and what is left is counted exactly. For stretches the first two filters hold for the text; then each
+template word of the text begins one stretch. Templates are few and given by the caller: at most
 ``MAX_TEMPLATE_WORDS`` words in all, which bounds what each task gets.
 
 All of it is DataFrame expressions over a row, without a shuffle of texts; only the counts of
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -80,13 +85,19 @@ def word_ranks(docs: DataFrame, templates: dict[str, str]) -> dict[str, int]:
 
 
 def license_matches(text: Column, held: Column, ranks: dict[str, int], templates: dict[str, str], containment: float) -> Column:
-    """Array of (block, label, containment) of the matches in a text; ``held``: the text's words."""
+    """Array of (block, label, containment) of the matches in a text; ``held``: the text's words.
+
+    ``block`` is the number of the block's first line.
+    """
     found, prefixes = [], set()
     for label, template in sorted(templates.items()):
         ordered = sorted(template_words(template), key=lambda w: (ranks[w], w))
         need = math.ceil(containment * len(ordered) - 1e-9)
         if need:
-            found.append((label, ordered, need))
+            spoken = [w for w in re.split(_GAPS, template.lower()) if w]
+            gap = 1 + len(ordered) - need
+            follow = sorted({f"{a} {b}" for k, a in enumerate(spoken) for b in spoken[k + 1 : k + 1 + gap]})
+            found.append((label, ordered, need, math.ceil(len(spoken) / containment - 1e-9), follow))
             prefixes |= set(ordered[: len(ordered) - need + 1])
     kind = "array<struct<block:int,label:string,containment:double>>"
     if not found:
@@ -96,7 +107,7 @@ def license_matches(text: Column, held: Column, ranks: dict[str, int], templates
     def matches(block: Column) -> Column:
         own = block["words"]
         hits = []
-        for label, ordered, need in found:
+        for label, ordered, need, *_ in found:
             n = len(ordered)
             # Prefix and position in one: a match has a word among the first n - need + 1.
             early = F.arrays_overlap(own, _strings(ordered[: n - need + 1]))
@@ -108,7 +119,62 @@ def license_matches(text: Column, held: Column, ranks: dict[str, int], templates
     lines = F.transform(F.split(text, "\n", -1), lambda line, at: F.struct(at.alias("at"), F.array_distinct(words(line)).alias("words")))
     near = F.filter(lines, lambda b: F.arrays_overlap(b["words"], prefix))
     blocks = F.flatten(F.transform(near, matches)).cast(kind)
-    return F.when(F.arrays_overlap(held, prefix), blocks).otherwise(F.array().cast(kind))
+    tokens = F.flatten(F.transform(F.split(text, "\n", -1), lambda line, at: F.transform(words(line), lambda w: F.struct(at.alias("at"), w.alias("word")))))
+
+    def wrapped(both: Column, label: str, ordered: list[str], need: int, longest: int, follow: list[str]) -> Column:
+        early = F.arrays_overlap(held, _strings(ordered[: len(ordered) - need + 1]))
+        enough = F.size(F.array_intersect(held, _strings(ordered))) >= need
+        spans = _stretches(both["tokens"], both["own"], label, ordered, need, longest, follow)
+        hits = F.transform(spans, lambda s: F.struct(s["block"].alias("block"), F.lit(label).alias("label"), s["share"].alias("containment")))
+        return F.when(early & enough, hits.cast(kind)).otherwise(F.array().cast(kind))
+
+    both = F.struct(blocks.alias("own"), tokens.alias("tokens"))
+    every = _let(both, lambda b: F.concat(b["own"], *(wrapped(b, *x) for x in found)))
+    return F.when(F.arrays_overlap(held, prefix), every).otherwise(F.array().cast(kind))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _stretches(tokens: Column, own: Column, label: str, ordered: list[str], need: int, longest: int, follow: list[str]) -> Column:
+    """Array of (start, stop, block, share) of the stretches of ``tokens`` that match one template.
+
+    ``own``: matches of single lines; ``follow``: the pairs of words that may stand around a line break. A stretch starts at a template word and stops at the last word that
+    is new to it.
+    """
+    mine = F.transform(F.filter(own, lambda m: m["label"] == label), lambda m: m["block"])
+    placed = F.transform(tokens, lambda t, i: F.struct(t["at"].alias("at"), t["word"].alias("word"), i.alias("i")))
+    held = F.filter(placed, lambda t: F.array_contains(_strings(ordered), t["word"]))
+    free = _let(mine, lambda lines: F.filter(held, lambda t: ~F.array_contains(lines, t["at"])))
+
+    def broken(t: Column, before: Column) -> Column:
+        return (t["at"] != before["at"]) & ~F.array_contains(_strings(follow), F.concat(before["word"], F.lit(" "), t["word"]))
+
+    def reach(free: Column) -> Column:
+        def ahead(t: Column, k: Column) -> Column:
+            near = F.filter(F.slice(free, k + 1, longest), lambda x: x["i"] < t["i"] + longest)
+            ends = _let(near, lambda n: F.array_position(F.transform(n, lambda x, j: F.coalesce(broken(x, F.get(n, j - 1)), F.lit(False))), True))
+            whole = F.when(ends > 0, F.slice(near, 1, ends.cast("int") - 1)).otherwise(near)
+            return F.struct(t["i"].alias("start"), t["at"].alias("block"), whole.alias("ahead"))
+
+        return F.filter(F.transform(free, ahead), lambda c: F.size(F.array_distinct(c["ahead"]["word"])) >= need)
+
+    def measured(c: Column) -> Column:
+        fresh = F.filter(c["ahead"], lambda x, k: F.array_position(c["ahead"]["word"], x["word"]) == k + 1)
+        share = F.size(fresh) / F.lit(float(len(ordered)))
+        return F.struct(c["start"].alias("start"), F.element_at(fresh, -1)["i"].alias("stop"), c["block"].alias("block"), share.alias("share"))
+
+    def fullest(state: Column, c: Column) -> Column:
+        last = F.get(state, F.size(state) - 1)
+        tighter = (c["share"] == last["share"]) & (c["stop"] - c["start"] < last["stop"] - last["start"])
+        swapped = F.concat(F.slice(state, 1, F.size(state) - 1), F.array(c))
+        apart = last.isNull() | (c["start"] > last["stop"])
+        return F.when(apart, F.concat(state, F.array(c))).when((c["share"] > last["share"]) | tighter, swapped).otherwise(state)
+
+    kind = "array<struct<start:int,stop:int,block:int,share:double>>"
+    return F.aggregate(F.transform(_let(free, reach), measured).cast(kind), F.array().cast(kind), fullest)
 
 
 def _phrase_places(held: Column, phrase: str, label: str) -> Column:
