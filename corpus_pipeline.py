@@ -36,7 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"), lone=True)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

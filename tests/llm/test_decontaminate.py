@@ -102,3 +102,29 @@ def test_odd_rows_and_items(spark, documents, odd_rows):
     assert D.find_leaks(documents(odd_rows), nothing).collect() == []
     assert D.drop_leaks(documents(odd_rows), nothing).count() == len(odd_rows)
     assert D.find_leaks(documents([]), items).collect() == []
+
+
+def test_edited_answers_and_lone_questions_are_found(spark, documents):
+    draw = random.Random(21)
+    items = [(n, f"{sentence(draw, 20)}.\n{sentence(draw, n)}.") for n in range(2, 21)]
+    rows, expected = [], set()
+    for n, text in items:
+        question, answer = text.split("\n")
+        for k in range(n):
+            words = answer.split(" ")
+            words[k] = "changed"
+            rows.append((100 * n + k, f"{sentence(draw, 40)} {question} {' '.join(words)} {sentence(draw, 40)}"))
+            expected.add((100 * n + k, n))
+        rows.append((100 * n + 99, f"{sentence(draw, 60)} {question} {sentence(draw, 60)}"))
+    alone = {(100 * n + 99, n) for n, _ in items}
+    docs, table = documents(rows), items_of(spark, items)
+    found = lambda lone: [(r["doc_id"], r["item_id"]) for r in D.find_leaks(docs, table, lone=lone).collect()]
+    assert sorted(found(False)) == sorted(expected)
+    assert sorted(found(True)) == sorted(expected | alone)
+    assert D.drop_leaks(docs, table, lone=True).count() == 0
+
+
+def test_all_shards_have_one_window(spark):
+    items = items_of(spark, [(i, "one two three. four five") for i in range(30)] + [(99, "word " * 70)])
+    parts = list(D.item_shards(items, shard=5))
+    assert len(parts) > 3 and {p.window for p in parts} == {70}

@@ -7,11 +7,15 @@ largest impact over all items and over each block. A passage is pruned when the
 largest impacts is under the threshold, then block by block by the block maxima; only blocks that
 pass are scored exactly. The bounds are upper bounds, so every (passage, item) above the threshold is found.
 
-A text is cut into steps as long as the longest item; a passage is two steps that follow each other,
+A text is cut into steps as long as the longest of all items; a passage is two steps that follow each other,
 so that some passage holds the whole of any run of an item's length.
 
 Found items are verified on the whole text: the last line of an item (or its last sentence) is its
-answer, the rest its question; enough of the distinct word 5-grams of both must occur in the text.
+answer, the rest its question; enough of the distinct word grams of both must occur in the text. Grams have
+``GRAM`` words, and fewer in a short question or answer, so that one changed word never takes more than half
+of them (but for a part of a single word, which must stand in the text). With ``lone``, a question of
+``LONE`` words or more is indexed once more on its own, and its item is also found when all grams of the question
+occur, whatever became of the answer; its score is then the question's. The registered queries ask for that.
 
 The items are taken in shards of at most ``SHARD`` rows, each small enough to go to every task;
 term statistics cover all items.
@@ -40,6 +44,7 @@ from tidemark.llm.common import bytes_of, cut, free_name
 K1, B = 1.2, 0.75
 BLOCK, SHARD = 8, 1000
 GRAM = 5
+LONE = 8
 SCORE, OVERLAP = 0.6, 0.5
 #: Lower case for A-Z, a space for every ASCII character that is no letter or digit.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
@@ -67,6 +72,11 @@ def grams(words: list[bytes], n: int = GRAM) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[k:] for k in range(n)), strict=False))
 
 
+def gram_length(words: int) -> int:
+    """The longest gram, up to ``GRAM``, of which one changed word leaves half in a part of so many words."""
+    return max(1, min(GRAM, (words + 1) // 3))
+
+
 @dataclass(frozen=True)
 class ItemIndex:
     """One shard of items; rows of the arrays are terms, in the order of ``vocabulary``."""
@@ -78,11 +88,22 @@ class ItemIndex:
     most: np.ndarray  # largest impact of each term; the last row, for unknown words, is zero
     blocks: np.ndarray  # (terms + 1, blocks) largest impact in each block
     window: int
+    home: list  # of an entry that is a question on its own: the place of its item; else None
 
 
-def build_index(items: list[tuple], frequency: dict, total: int, mean_length: float) -> ItemIndex:
-    """``items``: (item_id, text bytes); ``frequency``: items that hold a term, over all shards."""
+def build_index(items: list[tuple], frequency: dict, total: int, mean_length: float, window: int | None = None, lone: bool = False) -> ItemIndex:
+    """``items``: (item_id, text bytes); ``frequency``: items that hold a term, over all shards.
+
+    ``window``: words of the longest item of all shards; None: of ``items``.
+    """
     items = [(i, t, w) for i, t in items if (w := terms(t))]
+    window = window or max((len(w) for _, _, w in items), default=1)
+    split = [question_answer(t) for _, t, _ in items]
+    home: list[int | None] = [None] * len(items)
+    if lone:
+        home += [at for at, (question, answer) in enumerate(split) if answer and len(question) >= LONE]
+        items += [(items[at][0], items[at][1], split[at][0]) for at in home[len(items) :]]
+        split += [split[at] for at in home[len(split) :]]
     vocabulary: dict[bytes, int] = {}
     postings: list[dict] = []
     for at, (_, _, words) in enumerate(items):
@@ -102,10 +123,9 @@ def build_index(items: list[tuple], frequency: dict, total: int, mean_length: fl
     for row, lists in enumerate(postings):
         for block, found in lists.items():
             blocks[row, block] = max(x for _, x in found)
-    parts = [tuple(map(grams, question_answer(t))) for _, t, _ in items]
-    window = max((len(w) for _, _, w in items), default=1)
+    parts = [tuple(grams(p, gram_length(len(p))) for p in both) for both in split]
     return ItemIndex(
-        [i for i, _, _ in items], parts, vocabulary, [dict(x) for x in postings], blocks.max(1, initial=0), blocks, window
+        [i for i, _, _ in items], parts, vocabulary, [dict(x) for x in postings], blocks.max(1, initial=0), blocks, window, home
     )
 
 
@@ -178,21 +198,24 @@ def leaks(index: ItemIndex, texts: list[bytes | None], threshold: float, overlap
     out: list[list[tuple]] = []
     for own, best in zip(words, retrieve(index, rows, threshold), strict=True):
         held: dict[int, set] = {}
-        found = []
-        for item, (score, passage) in sorted(best.items()):
+        found: dict[int, tuple] = {}
+        for item, (score, passage) in sorted(best.items()):  # items come before lone questions
             shares = []
             for part in index.parts[item]:
                 n = len(next(iter(part), ()))
                 if n and n not in held:
                     held[n] = grams(own, n) if len(own) >= n else set()
                 shares.append(len(part & held[n]) / len(part) if n else 1.0)
-            if min(shares) >= overlap:
-                found.append((item, passage, score, *shares))
-        out.append(found)
+            home = index.home[item]
+            if home is None and min(shares) >= overlap:
+                found[item] = (item, passage, score, *shares)
+            elif home is not None and shares[0] == 1.0:
+                found.setdefault(home, (home, passage, score, *shares))
+        out.append(list(found.values()))
     return out
 
 
-def item_shards(benchmark: DataFrame, shard: int = SHARD) -> Iterator[ItemIndex]:
+def item_shards(benchmark: DataFrame, shard: int = SHARD, lone: bool = False) -> Iterator[ItemIndex]:
     """The index, one shard after the other; statistics are those of all items."""
     items = benchmark.select("item_id", F.encode("text", "utf-8").alias("t")).where("t IS NOT NULL")
     row = T.StructType([T.StructField("term", T.BinaryType()), T.StructField("words", T.LongType())])
@@ -205,7 +228,7 @@ def item_shards(benchmark: DataFrame, shard: int = SHARD) -> Iterator[ItemIndex]
                 [pa.array([x for x, _ in flat], pa.binary()), pa.array([x for _, x in flat], pa.int64())], ["term", "words"]
             )
 
-    stats = items.select("t").mapInArrow(split, row).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("w"))
+    stats = items.select("t").mapInArrow(split, row).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("w"), F.max("words").alias("longest"))
     whole = stats.where("term IS NULL").first()
     if not whole:
         return
@@ -221,7 +244,7 @@ def item_shards(benchmark: DataFrame, shard: int = SHARD) -> Iterator[ItemIndex]
         else:
             words = part.select("t").mapInArrow(split, row).select("term").distinct()
             held = stats.join(words, "term", "left_semi").collect()
-        yield build_index(rows, {bytes(r["term"]): r["n"] for r in held if bytes(r["term"]) in mine}, total, mean)
+        yield build_index(rows, {bytes(r["term"]): r["n"] for r in held if bytes(r["term"]) in mine}, total, mean, whole["longest"], lone)
 
 
 _FOUND = [
@@ -230,13 +253,13 @@ _FOUND = [
 ]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP, lone: bool = False) -> DataFrame:
     """One row for each document row and item that it holds: doc_id, item_id, passage, bm25, overlaps."""
     kinds = [docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
     schema = T.StructType([*map(T.StructField, ("doc_id", "item_id"), kinds), *_FOUND])
     item_type = to_arrow_type(kinds[1])
     found = None
-    for index in item_shards(benchmark):
+    for index in item_shards(benchmark, lone=lone):
 
         def search(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in cut(batches, "text"):
@@ -260,10 +283,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE,
     return found
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP, lone: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns as they are."""
     mark = free_name(docs, "_clean")
-    for index in item_shards(benchmark):
+    for index in item_shards(benchmark, lone=lone):
         schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
 
         def judge(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:

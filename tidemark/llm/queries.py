@@ -63,7 +63,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lone=True)
 
 
 QUERIES = {
