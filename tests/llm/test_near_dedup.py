@@ -77,6 +77,23 @@ def test_odd_rows_have_defined_results(documents, odd_rows):
     assert 8 not in ids and ids.count(10) == 1 and ids.count(None) == 2
 
 
+def test_rows_that_share_an_id_stay_by_their_own_text(documents, odd_rows):
+    draw = random.Random(22)
+    kept = [(r["doc_id"], r["text"]) for r in N.drop_near_duplicates(documents(odd_rows)).collect()]
+    assert sorted(t for i, t in kept if i == 11) == ["another text of the same id", "one two three four five six"]
+    old, clean, base = (sentence(draw, 200) for _ in range(3))
+    near = old + " end"
+    rows = [(5, old), (20, near), (20, clean), (20, clean), (30, base), (30, base + " end"), (40, None), (40, None), (40, clean + " x")]
+    rows += [(50, "some words"), (50, "Some  WORDS"), (60, ""), (60, "a text beside no text")]
+    kept = [(r["doc_id"], r["text"]) for r in N.drop_near_duplicates(documents(rows)).collect()]
+    assert [t for i, t in kept if i == 5] == [old]
+    assert [t for i, t in kept if i == 20] == [clean]
+    assert len([t for i, t in kept if i == 30]) == 1
+    assert [t for i, t in kept if i == 40] == [None]
+    assert len([t for i, t in kept if i == 50]) == 1
+    assert sorted(t for i, t in kept if i == 60) == ["", "a text beside no text"]
+
+
 def test_empty_table(documents):
     assert N.near_duplicates(documents([])).collect() == []
     assert N.drop_near_duplicates(documents([])).collect() == []

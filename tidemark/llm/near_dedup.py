@@ -86,6 +86,7 @@ def bands(sketches: np.ndarray) -> np.ndarray:
 
 
 _CLASS = T.StructType([
+    T.StructField("text_key", T.LongType()),
     T.StructField("n_shingles", T.LongType()),
     T.StructField("set_key", T.BinaryType()),
     T.StructField("bands", T.ArrayType(T.LongType())),
@@ -105,14 +106,15 @@ def _sketched(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([list(f) if len(s) else None for s, f in zip(sets, found, strict=True)], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "set_key", "bands"],
+                ["doc_id", "text_key", "n_shingles", "set_key", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(work, T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *_CLASS.fields]))
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(work, T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *_CLASS.fields]))
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -204,6 +206,15 @@ def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row of ``docs``."""
+    found = _judged(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id``, ``set_key``, ``text_key`` and ``chosen`` of every row of ``docs``.
+
+    ``chosen``: the row's set is the one that its component keeps, a set of the component's smallest id.
+    """
     rows = stored(_sketched(docs, words), "sketches")
     listed = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("bands").alias("bands"))
@@ -237,24 +248,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     named = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id")).join(joined.select("set_key", "root"), "set_key", "left")
     named = named.withColumn("root", F.coalesce("root", "set_key"))
-    lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = stored(spread_join(named.select("root", "set_key"), lowest, "root", F.col("set_key")).select("set_key", "component_id"), "classes")
-    with_class = spread_join(rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "set_key"), of_class, "set_key", F.col("doc_id"))
-    alone = rows.where("set_key IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    found = with_class.select("doc_id", "n_shingles", "component_id").union(alone)
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    lowest = named.groupBy("root").agg(F.min(F.struct("first_id", "set_key")).alias("least"))
+    of_class = spread_join(named.select("root", "set_key"), lowest, "root", F.col("set_key"))
+    of_class = stored(of_class.select("set_key", F.col("least.first_id").alias("component_id"), (F.col("set_key") == F.col("least.set_key")).alias("main")), "classes")
+    with_class = spread_join(listed.select("doc_id", "n_shingles", "set_key", "text_key"), of_class, "set_key", F.col("doc_id"))
+    chosen = (F.col("main") & (F.col("doc_id") == F.col("component_id"))).alias("chosen")
+    alone = rows.where("set_key IS NULL OR doc_id IS NULL")
+    return with_class.select("doc_id", "n_shingles", "component_id", "set_key", "text_key", chosen).union(
+        alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "set_key", "text_key", F.lit(True))
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, the one with the smallest id; all columns as they are.
 
     Rows with a null id stay. Of rows that share a kept id, those stay whose own text is kept, and
-    equal rows of them once.
+    equal rows of them once. If the texts of one id are near copies of each other, one of them stays.
     """
-    decided = near_duplicates(docs, words, percent)
-    kept = decided.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept.hint("shuffle_hash"), "doc_id", "left_semi")
+    chosen = _judged(docs, words, percent).where("chosen AND doc_id IS NOT NULL")
+    # Texts of one set differ in white space or case only: one of them stays. Texts without words have no set.
+    copies = F.coalesce("set_key", F.encode(F.col("text_key").cast("string"), "utf-8"))
+    key = free_name(docs, "_text")
+    kept = chosen.groupBy("doc_id", copies.alias("copies")).agg(F.min("text_key").alias(key)).drop("copies")
     rank = free_name(docs, "_copy")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = named.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).drop(rank)
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    named = docs.where("doc_id IS NOT NULL").withColumn(key, F.xxhash64("text"))
+    named = named.join(kept.hint("shuffle_hash"), ["doc_id", key], "left_semi")
+    one = Window.partitionBy("doc_id", key).orderBy("doc_id")
+    named = named.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).drop(rank, key)
+    return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
