@@ -55,7 +55,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_digest(table(spark, sf_dir, "documents"))
+    return secrets.secret_digest(table(spark, sf_dir, "documents"), letters=True)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

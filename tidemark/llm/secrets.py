@@ -1,12 +1,14 @@
 """Secret scans: patterns, and Shannon entropy over a sliding window of candidate strings.
 
-A candidate is a run of at least ``WINDOW`` characters of a key alphabet. Its class is the narrowest
+A candidate is a run of at least ``WINDOW`` characters of a key alphabet. A window's class is the narrowest
 alphabet that holds it (hex, letters and digits, base64 and URL-safe base64), and each class has its
-threshold in bits. The window's entropy is ``log2(w) - S / w`` with ``S`` the sum of ``c log2 c`` over its
+threshold in bits. Separators inside hex groups (``=``, ``_``, ``-``) leave a window with a letter in the hex class;
+digits with separators alone (dates, phone numbers) need the bits of base64. Candidates of letters alone or
+digits alone count with ``letters`` only, which the registered query sets. The window's entropy is ``log2(w) - S / w`` with ``S`` the sum of ``c log2 c`` over its
 character counts; moving the window by one changes two counts, so ``S`` is updated by two
 differences and never recomputed. A span reaches from the first to the last window above the
-threshold. Candidates on the allow list (examples, placeholders, alphabets in order, identifiers
-in UUID form) are suppressed, and so are spans that lie inside a pattern's span.
+threshold. What is on the allow list (examples, placeholders, alphabets in order, identifiers in UUID form)
+cuts a run, so that no window touches it and the rest is judged; spans are suppressed if they lie inside a pattern's span.
 
 All of it is DataFrame expressions over a row. Positions count code points: a text is split at the
 pattern, and a match begins after the parts and matches before it.
@@ -21,8 +23,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import ascii_lower
-
 WINDOW = 20
 
 #: The base patterns. The hex and access patterns match greedily, so that the least
@@ -41,6 +41,9 @@ CLASSES = (("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[0-9A-Za-z]+$", 3.7), (
 ALLOWED = (
     "example", "placeholder", "changeme", "your_", "xxxxxxxx", "00000000", "0123456789", "abcdefghij", "lorem",
 )
+ALLOWED_INSIDE = r"(?<![0-9A-Za-z])(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})(?![0-9A-Za-z])"
+#: Hex in groups: with a letter and a separator.
+GROUPED = r"^(?=.*[a-fA-F])[0-9a-fA-F=_-]+$"
 ALLOWED_FORM = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 _SPAN = "array<struct<start:int,kind:int,stop:int>>"
@@ -76,8 +79,16 @@ def _gain(count: Column) -> Column:
     return term(count) - term(count - 1)
 
 
-def entropy_windows(candidate: Column, least: Column) -> Column:
-    """(first, last): starts of the first and the last window of ``candidate`` with ``least`` bits; null without one.
+def _least(window: Column) -> Column:
+    """The bits that a window of a candidate needs."""
+    least = F.lit(CLASSES[-1][2])
+    for _, alphabet, bits in reversed(CLASSES[:-1]):
+        least = F.when(window.rlike(alphabet), F.lit(bits)).otherwise(least)
+    return F.when(window.rlike(GROUPED), F.lit(CLASSES[0][2])).otherwise(least)
+
+
+def entropy_windows(candidate: Column) -> Column:
+    """(first, last): starts of the first and the last window of ``candidate`` with enough bits; null without one.
 
     ``S`` follows the window: the entering character raises its count, the leaving one lowers its own.
     """
@@ -95,7 +106,8 @@ def entropy_windows(candidate: Column, least: Column) -> Column:
         rest = F.when(full, F.substring(state["window"], 2, WINDOW)).otherwise(state["window"])
         s = state["s"] - lowered + _gain(count(rest, c) + 1)
         at = state["at"] + 1
-        hit = (at >= WINDOW) & (math.log2(WINDOW) - s / WINDOW >= least)
+        bits = math.log2(WINDOW) - s / WINDOW
+        hit = (at >= WINDOW) & (bits >= min(b for _, _, b in CLASSES)) & (bits >= _least(F.concat(rest, c)))
         return F.struct(
             at.alias("at"), s.alias("s"), F.concat(rest, c).alias("window"),
             F.when(hit & state["first"].isNull(), at - WINDOW).otherwise(state["first"]).alias("first"),
@@ -105,31 +117,38 @@ def entropy_windows(candidate: Column, least: Column) -> Column:
     return F.aggregate(chars, start, step, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
 
 
-def entropy_spans(text: Column) -> Column:
-    """Array of (start, kind, stop) of the candidates' high-entropy stretches."""
+def _without_allowed(text: Column) -> Column:
+    """``text`` with spaces for what is on the allow list; nothing else moves."""
+    for word in ALLOWED:
+        text = F.regexp_replace(text, F.lit(f"(?i){word}"), F.lit(" " * len(word)))
+    return F.regexp_replace(text, F.lit(ALLOWED_INSIDE), F.lit(" " * 36))
+
+
+def entropy_spans(text: Column, letters: bool = False) -> Column:
+    """Array of (start, kind, stop) of the candidates' high-entropy stretches.
+
+    ``letters``: whether candidates without a digit or without a letter count, too.
+    """
     kind = KINDS.index("entropy")
-    places = pattern_spans(text, CANDIDATE, kind)
-
-    def stretch(place: Column) -> Column:
-        candidate = F.substring(text, place["start"] + 1, place["stop"] - place["start"])
-        low = ascii_lower(candidate)
-        allowed = low.rlike(ALLOWED_FORM)
-        for word in ALLOWED:
-            allowed = allowed | low.contains(word)
-        least = F.lit(None).cast("double")
-        for _, alphabet, bits in reversed(CLASSES):
-            least = F.when(candidate.rlike(alphabet), F.lit(bits)).otherwise(least)
-        mixed = candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]")
-        window = F.when(mixed & ~allowed, entropy_windows(candidate, least))
-        return F.struct(
-            (place["start"] + window["first"]).alias("start"), F.lit(kind).alias("kind"),
-            (place["start"] + window["last"] + WINDOW).alias("stop"),
-        )
 
-    return F.filter(F.transform(places, stretch), lambda s: s["start"].isNotNull()).cast(_SPAN)
+    def spans(clear: Column) -> Column:
+        def stretch(place: Column) -> Column:
+            candidate = F.substring(clear, place["start"] + 1, place["stop"] - place["start"])
+            window = entropy_windows(candidate)
+            if not letters:
+                window = F.when(candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]"), window)
+            return F.struct(
+                (place["start"] + window["first"]).alias("start"), F.lit(kind).alias("kind"),
+                (place["start"] + window["last"] + WINDOW).alias("stop"),
+            )
+
+        return F.filter(F.transform(pattern_spans(clear, CANDIDATE, kind), stretch), lambda s: s["start"].isNotNull()).cast(_SPAN)
+
+    found = F.get(F.transform(F.array(_without_allowed(text)), spans), F.lit(0))
+    return F.when(text.rlike(CANDIDATE), found).otherwise(_none())
 
 
-def scan_secrets(docs: DataFrame) -> DataFrame:
+def scan_secrets(docs: DataFrame, letters: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, ``base`` and ``entropy``, arrays of (start, kind, stop)."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     long_enough = lambda m: F.length(F.regexp_replace(m, ASSIGN_HEAD, "")) >= ASSIGN_LEAST
@@ -138,7 +157,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
         pattern_spans(F.col("text"), ASSIGN, 0, long_enough).alias("assign"),
         pattern_spans(F.col("text"), ACCESS, 1).alias("access"),
         pattern_spans(F.col("text"), HEX, 2).alias("hex"),
-        entropy_spans(F.col("text")).alias("dense"),
+        entropy_spans(F.col("text"), letters).alias("dense"),
     )
     rows = rows.select("doc_id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "dense")
     inside = lambda s: F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["stop"] >= s["stop"]))
@@ -151,9 +170,9 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def secret_digest(docs: DataFrame) -> DataFrame:
+def secret_digest(docs: DataFrame, letters: bool = False) -> DataFrame:
     """The scan as counts, a digest of the base spans, and all spans as text."""
-    found = scan_secrets(docs)
+    found = scan_secrets(docs, letters)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
