@@ -1,4 +1,4 @@
-"""Training-data operators: ten document operators and their registered queries.
+"""Training-data operators: document operators and their registered queries.
 
 Nothing else in the package imports this folder. Its functions go to the executors by value, so
 that a cluster needs no copy of the package there.

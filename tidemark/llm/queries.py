@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, each over its whole table."""
+"""The registered queries of the operators and the pipeline, each over its whole table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    decontaminate, fingerprints, language_id, licenses, line_dedup, near_dedup, pieces, quality, secrets, warc,
+    decontaminate, fingerprints, language_id, lexical_search, licenses, line_dedup, near_dedup, pieces, quality, secrets,
+    warc,
 )
 from tidemark.llm.common import table
 
@@ -66,11 +67,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lone=True)
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_quality, op3_minhash, op4_pieces, op5_licenses, op6_lines, op7_language, op8_secrets,
-        op9_fingerprints, op10_decontaminate,
+        op9_fingerprints, op10_decontaminate, op13_search,
     )
 }
 
@@ -161,5 +166,26 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n
 FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 
+_TERMS = f"""regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+_OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS words FROM documents),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+total AS (SELECT count(*) AS n_docs, sum(len(words)) AS n_terms FROM d WHERE len(words) > 0),
+held AS (SELECT r, unnest(words) AS term FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term
+), m AS (SELECT r, doc_id, 50 + (50 * CAST(len(words) AS HUGEINT) * n_docs) // n_terms AS m FROM d, total WHERE len(words) > 0),
+impacts AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS points
+            FROM tf JOIN m USING (r) JOIN weights USING (term)),
+scores AS (SELECT item_id, r, doc_id, CAST(sum(points) AS BIGINT) AS score
+           FROM impacts JOIN asked USING (term) GROUP BY item_id, r, doc_id HAVING sum(points) > 0)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER best <= 50
+"""
+
 
-ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op5_licenses": _op5(), "op6_lines": _OP6}
+ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op5_licenses": _op5(), "op6_lines": _OP6, "op13_search": _OP13}
