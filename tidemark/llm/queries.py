@@ -7,8 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    decontaminate, fingerprints, language_id, lexical_search, licenses, line_dedup, near_dedup, pieces, quality, secrets,
-    warc,
+    decontaminate, fingerprints, language_id, lexical_search, licenses, line_dedup, near_dedup, periodic_runs, pieces,
+    quality, secrets, warc,
 )
 from tidemark.llm.common import table
 
@@ -67,6 +67,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), lone=True)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents")))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(listed, "\n"), F.lit("\n"))).otherwise("")
+    best = found.withColumn("best", periodic_runs.longest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.encode(lines, "utf-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "utf-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -75,7 +89,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_quality, op3_minhash, op4_pieces, op5_licenses, op6_lines, op7_language, op8_secrets,
-        op9_fingerprints, op10_decontaminate, op13_search,
+        op9_fingerprints, op10_decontaminate, op11_runs, op13_search,
     )
 }
 
