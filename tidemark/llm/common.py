@@ -51,6 +51,23 @@ def spread_join(rows: DataFrame, keyed: DataFrame, key: str, spread: Column, how
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def fan_join(rows: DataFrame, keyed: DataFrame, keys: list[str], spread: Column, share: int = 1024) -> DataFrame:
+    """Join ``rows`` with ``keyed`` on ``keys``, with the rows of a hot key spread over tasks.
+
+    ``keyed`` is repeated only for keys that have more than ``share`` rows, once for each ``share`` of them;
+    so a key's rows meet in ever more tasks as it grows, and other keys cost nothing. ``spread`` is any
+    column of ``rows`` that varies inside a key.
+    """
+    heat = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("_parts")).where("_parts > 1")
+    copies = heat.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
+    parts = F.coalesce("_parts", F.lit(1))
+    marked = salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    marked = marked.withColumn("_part", F.pmod(F.xxhash64(spread), parts).cast("int")).drop("_parts")
+    fanned = keyed.join(heat, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return marked.join(fanned, [*keys, "_part"]).drop("_part")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

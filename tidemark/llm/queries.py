@@ -7,8 +7,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    decontaminate, fingerprints, language_id, lexical_search, licenses, line_dedup, near_dedup, periodic_runs, pieces,
-    quality, secrets, warc,
+    decontaminate, fingerprints, language_id, lexical_search, licenses, line_dedup, near_dedup, ngram_join,
+    periodic_runs, pieces, quality, secrets, warc,
 )
 from tidemark.llm.common import table
 
@@ -81,6 +81,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_ngrams(table(spark, sf_dir, "documents"))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -89,7 +93,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_warc, op2_quality, op3_minhash, op4_pieces, op5_licenses, op6_lines, op7_language, op8_secrets,
-        op9_fingerprints, op10_decontaminate, op11_runs, op13_search,
+        op9_fingerprints, op10_decontaminate, op11_runs, op12_ngrams,
+        op13_search,
     )
 }
 
@@ -107,14 +112,17 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p JOIN f USING (payload_digest)
 """
 
-_OP3 = rf"""
+
+def _near(words: int, columns: str) -> str:
+    """Components of documents whose shingle sets are alike, by comparing all pairs that share a shingle."""
+    return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'),
                              lambda x: x <> '') AS words FROM documents
 ), s AS (
   SELECT doc_id, list_distinct(CASE
-    WHEN len(words) >= {OP3_WORDS} THEN list_transform(range(1, len(words) - {OP3_WORDS - 2}),
-                                          lambda i: array_to_string(words[i:i + {OP3_WORDS - 1}], ' '))
+    WHEN len(words) >= {words} THEN list_transform(range(1, len(words) - {words - 2}),
+                                          lambda i: array_to_string(words[i:i + {words - 1}], ' '))
     WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS grams FROM w
 ), g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
 shared AS (
@@ -127,10 +135,13 @@ shared AS (
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, b.y FROM reach r JOIN edges b ON b.x = r.other
 ), lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
-SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, {columns}
 FROM s JOIN lowest USING (doc_id)
 """
 
+_OP3 = _near(OP3_WORDS, "component_id, doc_id = component_id AS kept")
+_OP12 = _near(5, "component_id")
+
 _OP6 = f"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -202,4 +213,4 @@ QUALIFY row_number() OVER best <= 50
 """
 
 
-ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op5_licenses": _op5(), "op6_lines": _OP6, "op13_search": _OP13}
+ORACLES = {"op1_warc": _OP1, "op3_minhash": _OP3, "op5_licenses": _op5(), "op6_lines": _OP6, "op12_ngrams": _OP12, "op13_search": _OP13}
