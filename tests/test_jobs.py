@@ -81,6 +81,9 @@ def test_full_load_registers_the_table(spark, tmp_path, log):
 
 def test_one_failing_table_does_not_stop_the_others(spark, tmp_path, log):
     class Broken:
+        def bounds(self, spark, topic):
+            return {0: (0, 1)} if topic == "broken" else log.bounds(spark, topic)
+
         def read(self, spark, topic, start=None, end=None):
             if topic == "broken":
                 raise OSError("unreachable")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 # Columns of the run log. The status is SUCCESS, SKIPPED or ERROR.
 RUN_LOG = (
     "table STRING, status STRING, kafka_messages BIGINT, final_records BIGINT, "
-    "processing_time DOUBLE, error STRING"
+    "lost_messages BIGINT, processing_time DOUBLE, error STRING"
 )
 
 

@@ -8,12 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.model import TableSpec
 from tidemark.operators.decode import decode_changes, split_dead_letters
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.offsets import next_offsets
+from tidemark.operators.offsets import plan_slice
 from tidemark.operators.totals import RUN_LOG
 from tidemark.session import small_frame
 from tidemark.sources import files
@@ -23,6 +23,10 @@ from tidemark.sources.row_level import RowLevelTable
 from tidemark.sources.state_table import StateTable
 
 
+class DataLoss(RuntimeError):
+    """The source no longer holds messages that come after the saved position."""
+
+
 @dataclass(frozen=True)
 class Bronze:
     """Where bronze tables live and how changes are applied.
@@ -31,6 +35,9 @@ class Bronze:
     later run not applied, malformed payloads kept. ``dead_letters`` names a folder that
     receives rows without key or with an unknown operation instead, each message once. ``database`` publishes each table there.
 
+    ``fail_on_data_loss`` fails a run whose next messages expired unread; otherwise the run log
+    says how many they were.
+
     ``keep_snapshots`` expires older ones after each run; None keeps all.
 
     ``row_level`` names a ``catalog.database`` whose tables, of format ``provider``, support
@@ -47,6 +54,7 @@ class Bronze:
     row_level: str | None = None
     provider: str = "delta"
     keep_snapshots: int | None = None
+    fail_on_data_loss: bool = True
 
     @property
     def offsets_path(self) -> str:
@@ -99,23 +107,25 @@ def _load(
 ) -> dict:
     """One run over one table, from ``start`` to the end of the topic as of now.
 
-    The end is fixed first, by an aggregate over partition and offset only. Everything after
-    it reads the same slice once. The position is saved last: a crash before that repeats the
-    slice, which the version test of the merge absorbs.
+    Start and end of every partition come from the source's own bounds before any message is
+    read; the one scan that follows counts the messages as they pass. The position is saved
+    last: a crash before that repeats the slice, which the version test of the merge absorbs.
     """
-    positions = next_offsets(source.read(spark, spec.name, start=start)).collect()
-    if not positions:
-        return {"status": "SKIPPED", "kafka_messages": 0, "final_records": 0}
-    end = {r["partition"]: r["next_offset"] for r in positions}
-    # A partition that was quiet in this run keeps its position.
-    end = {**(start or {}), **end}
-    messages = source.read(spark, spec.name, start=start, end=end)
+    piece = plan_slice(source.bounds(spark, spec.name), start)
+    if piece.lost and bronze.fail_on_data_loss:
+        raise DataLoss(f"{spec.name}: never read and gone (partition, from, to): {piece.lost}")
+    if piece.empty:
+        return {"status": "SKIPPED", "kafka_messages": 0, "final_records": 0, "lost_messages": piece.lost_messages}
+    passed = Observation()
+    messages = source.read(spark, spec.name, start=piece.start, end=piece.end)
+    messages = messages.observe(passed, F.count(F.lit(1)).alias("messages"))
     table = apply_messages(spark, messages, spec, bronze)
-    OffsetLog(spark, bronze.offsets_path).save(spec.name, end)
+    OffsetLog(spark, bronze.offsets_path).save(spec.name, piece.end)
     return {
         "status": "SUCCESS",
-        "kafka_messages": sum(r["messages"] for r in positions),
+        "kafka_messages": passed.get["messages"],
         "final_records": table.count(),
+        "lost_messages": piece.lost_messages,
     }
 
 
@@ -139,7 +149,7 @@ def run_incremental(
 def _logged(spec: TableSpec, load: Callable[[], dict]) -> dict:
     """A run log row. An error is recorded, so that the other tables still run."""
     began = time.monotonic()
-    row = {"kafka_messages": None, "final_records": None, "error": None}
+    row = {"kafka_messages": None, "final_records": None, "lost_messages": None, "error": None}
     try:
         row.update(load())
     except Exception as error:  # noqa: BLE001 - the message goes into the run log

@@ -9,7 +9,7 @@ from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.operators.offsets import next_offsets
+from tidemark.operators.offsets import Bounds, next_offsets
 from tidemark.sources import files
 from tidemark.sources.kafka import MESSAGE
 
@@ -46,6 +46,12 @@ class MessageLog:
             )
         self.write(events)
 
+    def bounds(self, spark: SparkSession, topic: str) -> Bounds:
+        """First and next offset of each partition that has messages."""
+        rows = spark.read.schema(SCHEMA).parquet(self.path).where(F.col("topic") == F.lit(topic))
+        held = rows.groupBy("partition").agg(F.min("offset").alias("first"), F.max("offset").alias("last"))
+        return {r["partition"]: (r["first"], r["last"] + 1) for r in held.collect()}  # one row per partition
+
     def read(
         self,
         spark: SparkSession,
