@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.keys import all_equal
+from tidemark.operators.latest import VERSION
 
 MODES = ("upsert", "upsert_delete")
 FORMS = ("outer", "split")
@@ -70,3 +71,41 @@ def _resolve(pairs: DataFrame, columns: Sequence[str], guard_deletes: bool) -> D
         return F.when(replaced, F.col(f"new.{column}")).otherwise(F.col(f"old.{column}"))
 
     return pairs.where(~removed).select(*[pick(c).alias(c) for c in columns])
+
+
+def merge_keeping_deletes(
+    state: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    forget_before_ms: Column | int | None = None,
+    version: Sequence[str] = VERSION,
+) -> DataFrame:
+    """The state after the changes, with a row for deleted keys, too (``is_deleted``).
+
+    Of a key's row and its change the newer version stays, whatever either is; the row stays if
+    they are equal, and a NULL version is the oldest. A deleted key so keeps its version, and an
+    older change that comes again neither brings the row back nor deletes a newer one.
+
+    ``forget_before_ms`` ends that for deletes with an older ``cdc_timestamp_ms``: their rows go,
+    and with them the memory of the key. A delete that is older than that on arrival still
+    removes the row. ``changes`` has one row per key at most; a NULL key matches nothing.
+    Both sides are shuffled once, on the key.
+    """
+    columns = state.columns
+    old = state.withColumn("_there", F.lit(True)).alias("old")
+    new = changes.select(columns).withColumn("_there", F.lit(True)).alias("new")
+    pairs = old.join(new, all_equal(keys, "old", "new"), "full_outer")
+    # Structs compare field by field, and NULL sorts first.
+    at = {side: F.struct(*[F.col(f"{side}.{v}") for v in version]) for side in ("old", "new")}
+    replaced = F.col("old._there").isNull() | (F.col("new._there").isNotNull() & (at["new"] > at["old"]))
+    kept = pairs.select(*[F.when(replaced, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in columns])
+    if forget_before_ms is None:
+        return kept
+    limit = F.lit(forget_before_ms) if isinstance(forget_before_ms, int) else forget_before_ms
+    old_delete = F.col("is_deleted") & (F.coalesce("cdc_timestamp_ms", F.lit(0)) < limit)
+    return kept.where(~old_delete)
+
+
+def live(state: DataFrame) -> DataFrame:
+    """The rows that are there: without deleted keys and without the flag."""
+    return state.where(~F.col("is_deleted")).drop("is_deleted")

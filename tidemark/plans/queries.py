@@ -25,7 +25,7 @@ from tidemark.sources.csv import load_csv
 from tidemark.sources.message_log import MessageLog
 from tidemark.sources.offset_log import newest_per_topic
 from tidemark.sources.state_table import StateTable
-from tidemark.streaming.fanout import start_changes
+from tidemark.streaming import latest_rows, start_changes, start_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,6 +261,37 @@ def merge_guarded_delete(spark, sf_dir):
     return _user_rows(_stale_replay(spark, sf_dir, guard=True))
 
 
+def _replay_with_tombstones(spark, sf_dir, forget_before_ms: int | None = None) -> DataFrame:
+    """Both runs, then the first one again, with deleted keys kept."""
+    first, second = _runs(spark, sf_dir)
+    state = first
+    for changes in (second, first):
+        state = op.merge_keeping_deletes(state, changes, samples.USERS.keys, forget_before_ms)
+    return op.live(state)
+
+
+@_query(_LATEST_LIVE)
+def merge_tombstones(spark, sf_dir):
+    """An older change that comes again does not bring a deleted row back."""
+    return _user_rows(_replay_with_tombstones(spark, sf_dir))
+
+
+_FORGET_MS = 1_707_350_400_000  # 2024-02-08 00:00:00
+
+
+@_query(
+    f"""WITH {oracles.users_log()}, newest AS {oracles.latest('log')},
+first_changes AS {oracles.latest('log', where='first_run')}
+SELECT {oracles.COLUMNS} FROM newest WHERE NOT is_deleted
+UNION ALL
+SELECT {oracles.COLUMNS} FROM first_changes WHERE NOT is_deleted AND user_id IN (
+  SELECT user_id FROM newest WHERE is_deleted AND ts_ms < {_FORGET_MS})"""
+)
+def merge_tombstones_expired(spark, sf_dir):
+    """Deletes before a date are forgotten, so for their keys the older change is applied again."""
+    return _user_rows(_replay_with_tombstones(spark, sf_dir, _FORGET_MS))
+
+
 @_query(
     f"""WITH {oracles.LINEITEM_LOG},
 first_changes AS {oracles.latest('log', 'l_orderkey, l_linenumber', "l_shipdate < DATE '1999-01-01'")},
@@ -357,6 +388,32 @@ def offsets_parse_document(spark, sf_dir):
     return document_positions(newest_per_topic(_saved_documents(spark, sf_dir)))
 
 
+@_query(
+    """WITH held AS (SELECT event_id % 4 AS p, event_id // 4 AS o FROM events),
+bounds AS (SELECT p, max(o) + 3 AS n FROM held GROUP BY p),
+missing AS (
+  SELECT p, o FROM (SELECT p, unnest(range(2, n)) AS o FROM bounds)
+  EXCEPT SELECT p, o FROM held WHERE o >= 5 AND o NOT BETWEEN 20 AND 34 AND (4 * o + p) % 61 <> 7),
+islands AS (SELECT p, o, o - row_number() OVER (PARTITION BY p ORDER BY o) AS island FROM missing)
+SELECT 'events' AS topic, CAST(p AS INTEGER) AS "partition", min(o) AS first_lost, max(o) AS last_lost,
+       count(*) AS messages_lost
+FROM islands GROUP BY p, island"""
+)
+def offsets_lost_ranges(spark, sf_dir):
+    """A log with expired messages, a hole in all partitions, single holes, and two messages not there yet."""
+    offset, partition = F.floor(F.col("event_id") / 4), (F.col("event_id") % 4).cast("int")
+    numbered = samples.table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"), partition.alias("partition"), offset.alias("offset"),
+        F.col("event_type").alias("value"), (F.col("event_id") % 61 == 7).alias("hole"),
+    )
+    log = MessageLog(new_folder(spark, "holes"))
+    log.write(numbered.where("offset >= 5 AND offset NOT BETWEEN 20 AND 34 AND NOT hole"))
+    positions = numbered.groupBy("topic", "partition")
+    saved = positions.agg(F.lit(2).cast("bigint").alias("next_offset"))
+    until = positions.agg((F.max("offset") + 3).alias("next_offset"))
+    return op.lost_ranges(log.read(spark, "events"), saved, until)
+
+
 # -- bounded, incremental and streaming loads ------------------------------------------------
 
 
@@ -445,6 +502,24 @@ def stream_rate_limited(spark, sf_dir):
     return _user_rows(bronze.table(spark, samples.USERS).read())
 
 
+@_query(_LATEST_LIVE)
+def stream_latest_state(spark, sf_dir):
+    """The newer half first, then the older half in a second start: the state knows what is newer."""
+    root = new_folder(spark, "latest-state")
+    log = MessageLog(files.join(root, "log"))
+    messages = samples.event_messages(spark, sf_dir)
+    for part in ("NOT first_run", "first_run"):
+        log.write(messages.where(part))
+        start_latest(
+            log.stream(spark, ["events"]),
+            samples.USERS,
+            files.join(root, "checkpoint"),
+            files.join(root, "rows"),
+            interval=None,
+        ).awaitTermination()
+    return _user_rows(latest_rows(spark, files.join(root, "rows"), samples.USERS))
+
+
 _SNAPSHOT_LABELS = {
     "orders": ("o_orderkey", "o_orderstatus", "o_totalprice"),
     "customer": ("c_custkey", "c_name", "c_acctbal"),
@@ -664,8 +739,7 @@ def _order_versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-@_query(
-    f"""WITH old AS (SELECT * FROM orders WHERE o_orderdate < DATE '2000-01-01'),
+_ORDER_DIFF = f"""WITH old AS (SELECT * FROM orders WHERE o_orderdate < DATE '2000-01-01'),
 new AS (SELECT * REPLACE (CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'F'
                                ELSE o_orderstatus END AS o_orderstatus)
         FROM orders WHERE o_orderdate >= DATE '1996-01-01')
@@ -676,15 +750,27 @@ SELECT {_ORDER}, 'DELETE' FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FR
 UNION ALL
 SELECT {', '.join('new.' + c.strip() for c in _ORDER.split(','))}, 'UPDATE'
 FROM new JOIN old USING (o_orderkey) WHERE new.o_orderstatus <> old.o_orderstatus"""
-)
-def capture_diff(spark, sf_dir):
+
+
+def _captured_diff(spark, sf_dir, diff) -> DataFrame:
     old, new = _order_versions(spark, sf_dir)
     log = MessageLog(new_folder(spark, "diff"))
-    log.write(op.diff_events(old, new, samples.ORDERS.keys, "orders", ts_ms=F.lit(2)))
+    log.write(diff(old, new, samples.ORDERS.keys, "orders", ts_ms=F.lit(2)))
     messages = log.read(spark, "orders")
     return _order_rows(op.decode_changes(messages, samples.ORDERS.columns, "strict"))
 
 
+@_query(_ORDER_DIFF)
+def capture_diff(spark, sf_dir):
+    return _captured_diff(spark, sf_dir, op.diff_events)
+
+
+@_query(_ORDER_DIFF)
+def capture_diff_pruned(spark, sf_dir):
+    """The same events, with only those key buckets joined whose hashes differ."""
+    return _captured_diff(spark, sf_dir, op.diff_events_pruned)
+
+
 @_query(
     """SELECT o_orderkey, o_custkey,
               CASE WHEN o_orderdate < DATE '1997-01-01' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
