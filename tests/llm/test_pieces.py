@@ -1,5 +1,6 @@
 import hashlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,48 @@ def test_samples_follow_the_lattice(vocabulary):
         assert abs(drawn[path] / n - share) < 5 * (share * (1 - share) / n) ** 0.5 + 1e-4
 
 
+def usable(vocabulary):
+    """Each piece's text and id, without the byte pieces."""
+    found = enumerate(vocabulary.text)
+    return {t: i for i, t in reversed(list(found)) if t and vocabulary.weights[i] and i not in set(vocabulary.byte_ids.tolist())}
+
+
+def last_piece_shares(vocabulary, word):
+    """For each end inside ``word``, each last piece's exact share of all segmentations up to there."""
+    ids = usable(vocabulary)
+    longest = max(map(len, ids))
+    sums, shares = [Fraction(1)], {}
+    for end in range(1, len(word) + 1):
+        ways = {}
+        for k in range(1, min(end, longest) + 1):
+            if word[end - k : end] in ids and sums[end - k]:
+                piece = ids[word[end - k : end]]
+                ways[piece] = sums[end - k] * Fraction(vocabulary.weights[piece])
+        sums.append(sum(ways.values(), Fraction(0)))
+        shares[end] = {p: float(w / sums[-1]) for p, w in ways.items()}
+    return shares
+
+
+@pytest.mark.parametrize("word", [b"theinternationalization" * 9, b" " * 100, b"      indented", b" plain"])
+def test_shares_are_exact_for_words_of_any_length(vocabulary, word):
+    first, last, heads, start, piece, upto = P._lattice(vocabulary, pa.array([word], pa.large_binary()))
+    expected = last_piece_shares(vocabulary, word)
+    assert (first[0], last[0]) == (0, len(word))
+    for end, shares in expected.items():
+        edges = range(heads[end], heads[end + 1])
+        drawn = dict(zip((int(piece[e]) for e in edges), np.diff([0.0, *np.minimum(upto[list(edges)], 1.0)]), strict=True))
+        assert drawn.keys() == shares.keys()
+        assert all(abs(drawn[p] - shares[p]) < 1e-9 for p in shares)
+
+
+def test_pieces_of_several_spaces_and_over_64_bytes_are_drawn(vocabulary):
+    spaces = {i for t, i in usable(vocabulary).items() if len(t) > 1 and not t.strip(b" ")}
+    drawn = {int(i) for x in sampled(vocabulary, ["        x = 1"] * 3000) for i in x}
+    assert spaces & drawn
+    words, counts = P.words_of(pa.array([b"a  bc " + b"x" * 300 + b"   ", b"", b"   "], pa.large_binary()))
+    assert words.to_pylist() == [b"a", b"  bc", b" " + b"x" * 300, b"   ", b"   "] and counts.tolist() == [4, 0, 1]
+
+
 def test_rows_are_seeded_by_key_alone(vocabulary):
     texts = ["the reproducible segmentation of this sentence"] * 50
     keys = P.mix(np.arange(50, dtype=np.uint64))

@@ -6,11 +6,11 @@ proportion to its share of that weight, so whole segmentations are drawn from th
 distribution. The draws come from a counter-based hash of (row key, word number, draw number): a row
 always gets the same pieces, wherever and however often it runs.
 
-Only pieces with at most one space, at their start, are used (the vocabulary has no others but runs of
-spaces), so a text's lattice is the product of the lattices of its words (a space, if any, and the
-characters up to the next one): forward filtering is done
-once for each distinct word of a batch, and all occurrences are sampled together, draw by draw.
-Words of over ``WORD_BYTES`` bytes are cut there, at a character's start. Piece weights come
+A piece has spaces at its start only, one before other characters or a run of nothing else, so a text's
+lattice is the product of the lattices of its words (the spaces before it, if any, and the characters up
+to the next space): forward filtering is done once for each distinct word of a batch, and all occurrences
+are sampled together, draw by draw. Words may have any length: up to ``WORD_BYTES`` bytes their weights
+are summed together, place by place; longer ones one by one, on a logarithmic scale. Piece weights come
 from the model's ranks by Zipf's rule, raised to ``theta``. Characters without a piece become byte
 pieces, and so does a literal U+2581, which stands for the space inside pieces: decoding joins the
 pieces' bytes and gives back exactly the text.
@@ -23,9 +23,9 @@ ignored or kept.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +35,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidemark.llm.common import GOLDEN, bytes_of, cut, mix
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+#: Words of more bytes are filtered on a logarithmic scale.
 WORD_BYTES = 64
 THETA = 1.0
-#: Keeps products of up to WORD_BYTES weights inside a double; it cancels out, for all
-#: segmentations of a word have the same bytes.
+#: Keeps products of the weights of up to WORD_BYTES bytes inside a double; it cancels out, for
+#: all segmentations of a word have the same bytes.
 _PER_BYTE = 100.0
 _SLICE = 1 << 20
 _U64 = np.uint64
@@ -74,7 +75,8 @@ def load_pieces(path: str = VOCABULARY, theta: float = THETA) -> Pieces:
             weights[i] = _PER_BYTE * (1 / (model.vocab_size() + 10.0)) ** theta
             continue
         raw = piece.replace("▁", " ").encode()
-        usable = not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)) and b" " not in raw[1:]
+        usable = not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
+        usable = usable and (b" " not in raw[1:] or not raw.strip(b" "))
         text.append(raw if usable else b"")
         if not usable or not raw:
             continue
@@ -97,33 +99,19 @@ def load_pieces(path: str = VOCABULARY, theta: float = THETA) -> Pieces:
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, and how many each text has; a text's words joined are the text.
 
-    A text is cut before each space, and every WORD_BYTES bytes inside a longer word.
+    A text is cut before each run of spaces.
     """
     marked = pc.replace_substring(texts, pattern=b" ", replacement=b"\xff ")  # 0xFF is in no UTF-8 text
+    marked = pc.replace_substring(marked, pattern=b" \xff", replacement=b" ")  # none inside a run
     parts = pc.split_pattern(marked, pattern=b"\xff")
     words = parts.flatten()
     sizes = pc.binary_length(words).to_numpy()
     text = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy())
-    if sizes.max(initial=0) > WORD_BYTES:
-        cut_up = [[x] if len(x) <= WORD_BYTES else list(_short(x)) for x in words.to_pylist()]
-        text = np.repeat(text, [len(x) for x in cut_up])
-        words = pa.array(chain.from_iterable(cut_up), words.type)
-        sizes = pc.binary_length(words).to_numpy()
     if not sizes.all():
         words, text = words.filter(pa.array(sizes > 0)), text[sizes > 0]
     return words, np.bincount(text, minlength=len(texts))
 
 
-def _short(word: bytes) -> Iterator[bytes]:
-    while len(word) > WORD_BYTES:
-        at = WORD_BYTES
-        while word[at] & 0xC0 == 0x80:
-            at -= 1
-        yield word[:at]
-        word = word[at:]
-    yield word
-
-
 def _lattice(pieces: Pieces, words: pa.Array) -> tuple[np.ndarray, ...]:
     """Forward filtering over distinct words.
 
@@ -171,12 +159,14 @@ def _lattice(pieces: Pieces, words: pa.Array) -> tuple[np.ndarray, ...]:
     spot = heads[np.concatenate(ends)] + np.concatenate(ranks)  # by end node, then in the order found
     start, piece = np.empty(len(spot), np.int32), np.empty(len(spot), np.int32)
     start[spot], piece[spot] = np.concatenate(starts), np.concatenate(found)
-    place = np.arange(len(flat), dtype=np.int32) - np.repeat(base[:-1], sizes + 1)
-    by_place = np.argsort(place.astype(np.uint8), kind="stable")
-    alpha = np.zeros(len(flat))
+    alpha, share = np.zeros(len(flat)), pieces.weights[piece]
     alpha[base[:-1]] = 1.0
-    share = pieces.weights[piece]
-    cuts = np.cumsum(np.bincount(place))
+    short = np.flatnonzero(sizes <= WORD_BYTES)
+    width = sizes[short] + 1
+    inner = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
+    nodes = np.repeat(base[short], width) + inner.astype(np.int32)
+    by_place = nodes[np.argsort(inner.astype(np.uint8), kind="stable")]
+    cuts = np.cumsum(np.bincount(inner, minlength=1))
     for a, b in zip(cuts, cuts[1:], strict=False):
         to = by_place[a:b]
         to = to[counts[to] > 0]  # no edge ends inside a character
@@ -185,12 +175,34 @@ def _lattice(pieces: Pieces, words: pa.Array) -> tuple[np.ndarray, ...]:
         part = alpha[start[edge]] * share[edge]
         share[edge] = part
         alpha[to] = np.add.reduceat(part, np.cumsum(size) - size)
+    for word in np.flatnonzero(sizes > WORD_BYTES).tolist():
+        _filter_long(int(base[word]), int(base[word + 1]), heads, start, share, alpha)
     total = np.cumsum(share / np.repeat(alpha, counts))
     upto = total - np.repeat(np.concatenate([[0.0], total])[heads[:-1]], counts)
     upto[heads[1:][counts > 0] - 1] = 2.0  # the last edge of a node takes the rest
     return base[:-1], base[1:] - 1, heads, start, piece, upto
 
 
+def _filter_long(first: int, end: int, heads: np.ndarray, start: np.ndarray, share: np.ndarray, alpha: np.ndarray) -> None:
+    """Forward filtering over the nodes of one word of any length: ``share`` becomes each edge's part of its node."""
+    edges = slice(int(heads[first]), int(heads[end]))
+    begins, weights = (start[edges] - first).tolist(), np.log(share[edges]).tolist()
+    limits = (heads[first : end + 1] - heads[first]).tolist()
+    logs, parts = [0.0] * (end - first), [0.0] * len(begins)
+    for node in range(1, end - first):
+        a, b = limits[node], limits[node + 1]
+        if a == b:  # no edge ends inside a character
+            continue
+        terms = [logs[begins[k]] + weights[k] for k in range(a, b)]
+        top = max(terms)
+        scaled = [math.exp(t - top) for t in terms]
+        total = sum(scaled)
+        logs[node] = top + math.log(total)
+        parts[a:b] = [x / total for x in scaled]
+    share[edges] = parts
+    alpha[first:end] = 1.0
+
+
 def sample(pieces: Pieces, texts: pa.Array, keys: np.ndarray) -> list[np.ndarray]:
     """The sampled ids of each text (binary, not null); ``keys``: a 64-bit seed for each text."""
     words, counts = words_of(texts.cast(pa.large_binary()))
