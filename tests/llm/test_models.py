@@ -66,6 +66,8 @@ def test_odd_texts_and_missing_labels(spark, documents, odd_rows, corpus):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({1, 2, 3, 4, 12})
     none = L.fit_language_model(frame(spark, [(1, "text", None), (2, None, "aa")]))
     assert {r["lang_pred"] for r in L.detect_language(documents(odd_rows), none).collect()} == {"und"}
+    stay = sorted((r["doc_id"], r["text"]) for r in L.keep_known_language(documents(odd_rows), none).collect() if r["doc_id"])
+    assert stay == sorted((i, t) for i, t in odd_rows if i and L.has_letter((t or "").encode()))
     assert L.detect_language(documents([]), model).collect() == []
 
 
@@ -91,6 +93,32 @@ def test_quality_on_held_out_rows(spark):
     assert held and all((found[i] >= Q.THRESHOLD) == bool(q) for i, q in held)
 
 
+def test_threshold_is_the_share_of_bad_texts_among_all_labels(spark):
+    """A small sample gives the threshold of the whole, and so the same decisions."""
+    draw = random.Random(4)
+    rows = []
+    for i in range(2000):
+        noise = draw.randint(0, 30)  # from clean to marked all over
+        words = [w + ("!!" if draw.random() < noise / 30 else "") for w in sentence(draw, 60).split(" ")]
+        rows.append((i, " ".join(words), int(noise > 3)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows] + [(7, 1 - rows[7][2]), (9, 5)], "doc_id BIGINT, quality INT")
+    share = {}
+    for per_label in (60, 100_000):
+        model = Q.fit_quality_model(docs, labels, per_label)
+        scores = [r["score"] for r in Q.score_quality(docs, model).collect()]
+        share[per_label] = sum(s < Q.THRESHOLD for s in scores) / len(rows)
+    bad = sum(not q for _, _, q in rows) / len(rows)
+    assert bad < 0.2 and all(abs(s - bad) < 0.05 for s in share.values()), (bad, share)
+
+
+def test_weighted_quantile():
+    scores = np.array([5.0, 1.0, 3.0, 2.0, 4.0])
+    assert Q.quantile(scores, np.ones(5), 0.4) == 2.5
+    assert Q.quantile(scores, np.array([1, 1, 1, 7, 0.0]), 0.8) == 2.5  # the 1 and the 2 weigh 8 of 10
+    assert Q.quantile(scores, np.ones(5), 1.0) == 4.5
+
+
 def test_quality_of_odd_texts(documents, odd_rows):
     model = Q.fit_pairs(np.eye(len(Q.FEATURES)), -np.eye(len(Q.FEATURES)))
     for used in (model, None):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +69,16 @@ def fan_join(rows: DataFrame, keyed: DataFrame, keys: list[str], spread: Column,
     return marked.join(fanned, [*keys, "_part"]).drop("_part")
 
 
+def hash_below(value: Column, wanted: int, total: int) -> Column:
+    """Whether a 64-bit hash is among the smallest of ``total`` ones, so that at least ``wanted`` are.
+
+    A few more than ``wanted`` pass, whatever ``total`` is, and fewer with a chance below 10^-9; whoever
+    wants exactly the ``wanted`` smallest ranks those that pass.
+    """
+    share = (wanted + 6 * math.sqrt(wanted) + 40) / max(total, 1)
+    return value <= F.lit(min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -168,14 +168,20 @@ def detect_language(docs: DataFrame, model: KernelModel) -> DataFrame:
 
 
 def keep_known_language(docs: DataFrame, model: KernelModel) -> DataFrame:
-    """The rows of ``docs`` that have a language, all columns as they are; ``und`` rows go."""
+    """The rows of ``docs`` that have a language, all columns as they are; ``und`` rows go.
+
+    Those are the texts without a letter. A model that learned no language rejects nothing else:
+    without any label every text with a letter stays.
+    """
     mark = free_name(docs, "_known")
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut(batches, "text"):
             text = batch.column(batch.schema.get_field_index("text"))
-            labels, _ = predict(model, bytes_of(text))
-            kept = pa.array([x != NONE for x in labels], pa.bool_())
+            texts = bytes_of(text)
+            labels, _ = predict(model, texts)
+            known_one = [x != NONE for x in labels] if model.languages else [has_letter(t or b"") for t in texts]
+            kept = pa.array(known_one, pa.bool_())
             yield pa.RecordBatch.from_arrays([*batch.columns, kept], [*batch.schema.names, mark])
 
     schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
