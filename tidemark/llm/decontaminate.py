@@ -13,9 +13,9 @@ so that some passage holds the whole of any run of an item's length.
 Found items are verified on the whole text: the last line of an item (or its last sentence) is its
 answer, the rest its question; enough of the distinct word grams of both must occur in the text. Grams have
 ``GRAM`` words, and fewer in a short question or answer, so that one changed word never takes more than half
-of them (but for a part of a single word, which must stand in the text). With ``lone``, a question of
+of them (but for a part of a single word, which must stand in the text). A question of
 ``LONE`` words or more is indexed once more on its own, and its item is also found when all grams of the question
-occur, whatever became of the answer; its score is then the question's. The registered queries ask for that.
+occur, whatever became of the answer; its score is then the question's.
 
 The items are taken in shards of at most ``SHARD`` rows, each small enough to go to every task;
 term statistics cover all items.
@@ -91,7 +91,7 @@ class ItemIndex:
     home: list  # of an entry that is a question on its own: the place of its item; else None
 
 
-def build_index(items: list[tuple], frequency: dict, total: int, mean_length: float, window: int | None = None, lone: bool = False) -> ItemIndex:
+def build_index(items: list[tuple], frequency: dict, total: int, mean_length: float, window: int | None = None) -> ItemIndex:
     """``items``: (item_id, text bytes); ``frequency``: items that hold a term, over all shards.
 
     ``window``: words of the longest item of all shards; None: of ``items``.
@@ -100,10 +100,9 @@ def build_index(items: list[tuple], frequency: dict, total: int, mean_length: fl
     window = window or max((len(w) for _, _, w in items), default=1)
     split = [question_answer(t) for _, t, _ in items]
     home: list[int | None] = [None] * len(items)
-    if lone:
-        home += [at for at, (question, answer) in enumerate(split) if answer and len(question) >= LONE]
-        items += [(items[at][0], items[at][1], split[at][0]) for at in home[len(items) :]]
-        split += [split[at] for at in home[len(split) :]]
+    home += [at for at, (question, answer) in enumerate(split) if answer and len(question) >= LONE]
+    items += [(items[at][0], items[at][1], split[at][0]) for at in home[len(items) :]]
+    split += [split[at] for at in home[len(split) :]]
     vocabulary: dict[bytes, int] = {}
     postings: list[dict] = []
     for at, (_, _, words) in enumerate(items):
@@ -215,7 +214,7 @@ def leaks(index: ItemIndex, texts: list[bytes | None], threshold: float, overlap
     return out
 
 
-def item_shards(benchmark: DataFrame, shard: int = SHARD, lone: bool = False) -> Iterator[ItemIndex]:
+def item_shards(benchmark: DataFrame, shard: int = SHARD) -> Iterator[ItemIndex]:
     """The index, one shard after the other; statistics are those of all items."""
     items = benchmark.select("item_id", F.encode("text", "utf-8").alias("t")).where("t IS NOT NULL")
     row = T.StructType([T.StructField("term", T.BinaryType()), T.StructField("words", T.LongType())])
@@ -244,7 +243,7 @@ def item_shards(benchmark: DataFrame, shard: int = SHARD, lone: bool = False) ->
         else:
             words = part.select("t").mapInArrow(split, row).select("term").distinct()
             held = stats.join(words, "term", "left_semi").collect()
-        yield build_index(rows, {bytes(r["term"]): r["n"] for r in held if bytes(r["term"]) in mine}, total, mean, whole["longest"], lone)
+        yield build_index(rows, {bytes(r["term"]): r["n"] for r in held if bytes(r["term"]) in mine}, total, mean, whole["longest"])
 
 
 _FOUND = [
@@ -253,13 +252,13 @@ _FOUND = [
 ]
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP, lone: bool = False) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
     """One row for each document row and item that it holds: doc_id, item_id, passage, bm25, overlaps."""
     kinds = [docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType]
     schema = T.StructType([*map(T.StructField, ("doc_id", "item_id"), kinds), *_FOUND])
     item_type = to_arrow_type(kinds[1])
     found = None
-    for index in item_shards(benchmark, lone=lone):
+    for index in item_shards(benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in cut(batches, "text"):
@@ -283,10 +282,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE,
     return found
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP, lone: bool = False) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = SCORE, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs`` that hold no item, all columns as they are."""
     mark = free_name(docs, "_clean")
-    for index in item_shards(benchmark, lone=lone):
+    for index in item_shards(benchmark):
         schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.BooleanType())])
 
         def judge(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:

@@ -3,9 +3,8 @@
 A candidate is a run of at least ``WINDOW`` characters of a key alphabet. A window's class is the narrowest
 alphabet that holds it (hex, letters and digits, base64 and URL-safe base64), and each class has its
 threshold in bits. Separators inside hex groups (``=``, ``_``, ``-``) leave a window with a letter in the hex class;
-digits with separators alone (dates, phone numbers) need the bits of base64. Candidates of letters alone or
-digits alone count with ``letters`` only, which the registered query sets. The window's entropy is ``log2(w) - S / w`` with ``S`` the sum of ``c log2 c`` over its
-character counts; moving the window by one changes two counts, so ``S`` is updated by two
+digits with separators alone (dates, phone numbers) need the bits of base64. The window's entropy is
+``log2(w) - S / w`` with ``S`` the sum of ``c log2 c`` over its character counts; moving the window by one changes two counts, so ``S`` is updated by two
 differences and never recomputed. A span reaches from the first to the last window above the
 threshold. What is on the allow list (examples, placeholders, alphabets in order, identifiers in UUID form)
 cuts a run, so that no window touches it and the rest is judged; spans are suppressed if they lie inside a pattern's span.
@@ -124,19 +123,14 @@ def _without_allowed(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(ALLOWED_INSIDE), F.lit(" " * 36))
 
 
-def entropy_spans(text: Column, letters: bool = False) -> Column:
-    """Array of (start, kind, stop) of the candidates' high-entropy stretches.
-
-    ``letters``: whether candidates without a digit or without a letter count, too.
-    """
+def entropy_spans(text: Column) -> Column:
+    """Array of (start, kind, stop) of the candidates' high-entropy stretches."""
     kind = KINDS.index("entropy")
 
     def spans(clear: Column) -> Column:
         def stretch(place: Column) -> Column:
             candidate = F.substring(clear, place["start"] + 1, place["stop"] - place["start"])
             window = entropy_windows(candidate)
-            if not letters:
-                window = F.when(candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]"), window)
             return F.struct(
                 (place["start"] + window["first"]).alias("start"), F.lit(kind).alias("kind"),
                 (place["start"] + window["last"] + WINDOW).alias("stop"),
@@ -148,7 +142,7 @@ def entropy_spans(text: Column, letters: bool = False) -> Column:
     return F.when(text.rlike(CANDIDATE), found).otherwise(_none())
 
 
-def scan_secrets(docs: DataFrame, letters: bool = False) -> DataFrame:
+def scan_secrets(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, ``base`` and ``entropy``, arrays of (start, kind, stop)."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     long_enough = lambda m: F.length(F.regexp_replace(m, ASSIGN_HEAD, "")) >= ASSIGN_LEAST
@@ -157,7 +151,7 @@ def scan_secrets(docs: DataFrame, letters: bool = False) -> DataFrame:
         pattern_spans(F.col("text"), ASSIGN, 0, long_enough).alias("assign"),
         pattern_spans(F.col("text"), ACCESS, 1).alias("access"),
         pattern_spans(F.col("text"), HEX, 2).alias("hex"),
-        entropy_spans(F.col("text"), letters).alias("dense"),
+        entropy_spans(F.col("text")).alias("dense"),
     )
     rows = rows.select("doc_id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), "dense")
     inside = lambda s: F.exists("base", lambda b: (b["start"] <= s["start"]) & (b["stop"] >= s["stop"]))
@@ -170,9 +164,9 @@ def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def secret_digest(docs: DataFrame, letters: bool = False) -> DataFrame:
+def secret_digest(docs: DataFrame) -> DataFrame:
     """The scan as counts, a digest of the base spans, and all spans as text."""
-    found = scan_secrets(docs, letters)
+    found = scan_secrets(docs)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
