@@ -102,14 +102,15 @@ def _twice(rows: DataFrame) -> DataFrame:
     return rows.groupBy("gram").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
 
 
-def _may_link(classes: DataFrame, percent: int) -> DataFrame:
-    """The classes (without ``head``) that have enough n-grams in common with others by their heads alone."""
-    grams = classes.select("id", "n", F.explode("head").alias("gram"))
-    common = grams.join(_twice(grams), "gram").groupBy("id").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"))
+def _may_link(classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The classes that have enough n-grams in common with others by the heads of ``rows`` alone."""
+    heads = rows.select("id", "head").join(classes.select("id"), "id", "left_semi")
+    grams = heads.select("id", F.explode("head").alias("gram"))
+    common = grams.join(_twice(grams), "gram").groupBy("id").agg(F.count(F.lit(1)).alias("common"))
     # The partner may be smaller, and then its own head has fewer n-grams in excess.
     smaller = F.ceil(F.col("n") * percent / 100)
     enough = F.col("common") >= F.greatest(F.lit(1), F.floor(smaller / HEAD))
-    return classes.drop("head").join(common.where(enough).select("id"), "id", "left_semi")
+    return classes.join(common, "id").where(enough).drop("common")
 
 
 def _fragment(gram: Column, level: Column) -> Column:
@@ -120,11 +121,15 @@ def _fragment(gram: Column, level: Column) -> Column:
 
 def _ordered(sets: DataFrame, percent: int) -> DataFrame:
     """Classes with their common n-grams in the global order: ``common``, an array of (level, gram), and ``weight``."""
-    grams = sets.select("id", "n", F.explode("grams").alias("gram"))
+    grams = sets.select("id", F.explode("grams").alias("gram"))
     level = F.floor(F.log2("holders")).cast("int")
-    held = grams.join(_twice(grams), "gram").select("id", "n", "holders", F.struct(level.alias("level"), "gram").alias("g"))
-    listed = held.groupBy("id", "n").agg(F.sort_array(F.collect_list("g")).alias("common"), F.sum("holders").alias("weight"))
-    return listed.where(100 * F.size("common") >= percent * F.col("n"))
+    held = grams.join(_twice(grams), "gram").select("id", "holders", F.struct(level.alias("level"), "gram").alias("g"))
+    listed = held.groupBy("id").agg(F.sort_array(F.collect_list("g")).alias("listed"), F.sum("holders").alias("weight"))
+    # A repeated row brings its set twice; that only raises the numbers of holders. Equal ones stand side by side.
+    first = lambda g, i: (i == 0) | (g != F.get(F.col("listed"), i - 1))
+    listed = listed.select("id", "weight", F.filter("listed", first).alias("common"))
+    sizes = sets.select("id", "n").dropDuplicates(["id"])
+    return listed.join(sizes, "id").where(100 * F.size("common") >= percent * F.col("n"))
 
 
 def _segments(ordered: DataFrame) -> DataFrame:
@@ -190,36 +195,33 @@ def _remaining(ordered: DataFrame, percent: int) -> DataFrame:
     return pair.distinct()
 
 
-def _close(ordered: DataFrame, links: DataFrame) -> DataFrame:
-    """``ordered`` with the components (``root``) that all ``links`` so far make of the classes."""
+def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the components (``root``) that ``links`` make of them."""
     roots = components(links).select(F.col("node").alias("id"), F.col("root").alias("into"))
-    return ordered.join(roots, "id", "left").withColumn("root", F.coalesce("into", "id")).drop("into")
+    return classes.join(roots, "id", "left").withColumn("root", F.coalesce("into", "id")).drop("into")
 
 
 def join_ngrams(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``."""
-    rows = stored(_heads(docs, words, percent), "heads")
+    # The number of a row stands once for all, as the table is written.
+    rows = stored(_heads(docs, words, percent).withColumn("id", F.monotonically_increasing_id()), "heads")
     listed = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("head").alias("head"))
-    classes = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
-    linked = stored(_may_link(classes, percent), "may-link")
+    classes = listed.groupBy("set_key").agg(F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.min("id").alias("id"))
+    classes = stored(classes, "classes")
+    linked = stored(_may_link(classes, rows, percent), "may-link")
 
     texts = docs.select("doc_id", "text").join(linked.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = _whole_sets(texts, words).join(linked.select("set_key", "id", "n"), "set_key").dropDuplicates(["id"])
+    sets = _whole_sets(texts, words).join(linked.select("set_key", "id", "n"), "set_key")
     ordered = stored(_ordered(stored(sets.select("id", "n", "grams"), "sets"), percent), "ordered")
     segments = stored(_segments(ordered), "segments")
 
-    ordered = ordered.withColumn("root", F.col("id"))
-    tried = stored(_offered(ordered, percent), "pairs")
+    tried = stored(_offered(ordered.withColumn("root", F.col("id")), percent), "pairs")
     links = stored(_links(tried, segments, percent), "links")
-    ordered = stored(_close(ordered, links), "components")
     both = tried.select("a", "b").union(tried.select("b", "a"))
-    rest = stored(_remaining(ordered, percent).join(both, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(_links(rest, segments, percent))
+    rest = _remaining(_rooted(ordered, links), percent).join(both, ["a", "b"], "left_anti")
+    links = links.union(_links(stored(rest, "pairs"), segments, percent))
 
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    named = classes.select("id", "set_key", "first_id").join(roots, "id", "left")
-    named = named.select("set_key", "first_id", F.coalesce("root", "id").alias("root"))
+    named = _rooted(classes, links).select("set_key", "first_id", "root")
     lowest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = spread_join(named.select("root", "set_key"), lowest, "root", F.col("set_key")).select("set_key", "component_id")
     of_class = stored(of_class, "class-components")
