@@ -9,6 +9,7 @@ from tidemark.operators.quality import (
     duplicate_keys,
     key_violations,
     orphans,
+    reference_deltas,
     reference_violations,
     row_violations,
     surrogate_key,
@@ -35,6 +36,7 @@ __all__ = [
     "offsets_document",
     "orphans",
     "plan_slice",
+    "reference_deltas",
     "reference_violations",
     "route_topics",
     "row_violations",

@@ -21,12 +21,13 @@ def decode_changes(
     messages: DataFrame,
     columns: Sequence[str],
     image_policy: str = "coalesce",
-    keep_value: bool = False,
+    keep_value: bool | str = False,
 ) -> DataFrame:
     """Decode ``(topic, partition, offset, value)`` into business columns plus lineage.
 
     Tombstones disappear. Malformed text stays as a row of NULLs with operation UNKNOWN; see
-    ``split_dead_letters``. ``keep_value`` keeps the payload text for dead letters.
+    ``split_dead_letters``. ``keep_value`` keeps the payload text for dead letters, as ``value`` or under a name of the
+    caller's, where the table has a column of that name.
 
     Each payload is decoded once, also under a later filter: Catalyst would move such a filter
     below a projection and decode again there, and a generator in between stops it.
@@ -46,7 +47,7 @@ def decode_changes(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        *(["value"] if keep_value else []),
+        *([F.col("value").alias(keep_value if isinstance(keep_value, str) else "value")] if keep_value else []),
     )
 
 

@@ -126,6 +126,59 @@ def reference_violations(tables: Mapping[str, DataFrame], specs: Iterable[TableS
     return reduce(DataFrame.unionByName, reports)
 
 
+def reference_deltas(
+    tables: Mapping[str, DataFrame],
+    changed: Mapping[str, DataFrame],
+    deleted: Mapping[str, DataFrame],
+    specs: Iterable[TableSpec],
+) -> DataFrame:
+    """FOREIGN KEY violations that one slice of changes brought about, without a pass over all children.
+
+    ``tables`` are the contents after the slice, ``changed`` the rows it inserted or updated, and
+    ``deleted`` the rows it removed; a table may be absent from the last two. Reports
+    ``(table_name, rule, column_name, cause, violations)`` for every reference that the slice could break:
+
+    * ``changed``: new or updated children whose parent is not there;
+    * ``deleted``: other children, unchanged by the slice, that point at a parent which the slice removed.
+
+    The slice's keys are counted or made distinct first and are the small side of each join. If all
+    references held before the slice, none of the others is broken after it.
+    """
+    reports = []
+    for spec in specs:
+        for ref in spec.references:
+            absent = {spec.name, ref.parent} - set(tables)
+            if absent:
+                raise ValueError(f"{spec.name} refers to {ref.parent}: {sorted(absent)} not given")
+            found = []
+            if spec.name in changed:
+                new = changed[spec.name]
+                missing = orphans(new, ref.columns, tables[ref.parent], ref.parent_columns)
+                found.append(("changed", missing.select("child_rows")))
+            if ref.parent in deleted:
+                gone = deleted[ref.parent].select(*[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)])
+                # A parent that was deleted and came back is there.
+                back = tables[ref.parent].select(*[F.col(p).alias(c) for c, p in zip(ref.columns, ref.parent_columns)])
+                gone = gone.distinct().join(back, list(ref.columns), "left_anti")
+                left = tables[spec.name].join(gone, list(ref.columns), "left_semi")
+                if spec.name in changed:
+                    left = left.join(changed[spec.name].select(*spec.keys), list(spec.keys), "left_anti")
+                found.append(("deleted", left.select(F.lit(1).alias("child_rows"))))
+            for cause, rows in found:
+                reports.append(
+                    rows.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("violations")).select(
+                        F.lit(spec.name).alias("table_name"),
+                        F.lit(f"reference_{ref.parent}").alias("rule"),
+                        F.lit(",".join(ref.columns)).alias("column_name"),
+                        F.lit(cause).alias("cause"),
+                        "violations",
+                    )
+                )
+    if not reports:
+        raise ValueError("the slice has neither changed children nor deleted parents of any reference")
+    return reduce(DataFrame.unionByName, reports)
+
+
 def surrogate_key(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Number the rows of a landed Parquet table 1, 2, 3 … in load order.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,7 +16,7 @@ from tidemark.operators.decode import decode_changes, split_dead_letters
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.offsets import plan_slice
 from tidemark.operators.totals import RUN_LOG
-from tidemark.session import small_frame
+from tidemark.session import new_folder, small_frame
 from tidemark.sources import files
 from tidemark.sources.catalog import publish
 from tidemark.sources.offset_log import OffsetLog
@@ -33,7 +34,7 @@ class Bronze:
 
     The defaults give the plain behaviour of a load: images merged per column, deletes of a
     later run not applied, malformed payloads kept. ``dead_letters`` names a folder that
-    receives rows without key or with an unknown operation instead, each message once. ``database`` publishes each table there.
+    receives rows without key or with an unknown operation instead (read it with ``dead_letters``). ``database`` publishes each table there.
 
     ``fail_on_data_loss`` fails a run whose next messages expired unread; otherwise the run log
     says how many they were.
@@ -67,13 +68,43 @@ class Bronze:
         return StateTable(spark, files.join(self.root, spec.name), spec.keys, self.buckets)
 
 
-def _keep_dead_letters(spark: SparkSession, dead: DataFrame, path: str) -> None:
-    """Add the messages that are not there yet: a repeated run or micro-batch adds none twice."""
-    position = ["kafka_topic", "kafka_partition", "kafka_offset"]
-    dead = dead.select(*position, "value", "reason").dropDuplicates(position)
-    if files.exists(spark, path):
-        dead = dead.join(spark.read.schema(dead.schema).parquet(path), position, "left_anti")
-    dead.write.mode("append").parquet(path)
+# The payload next to a table's own columns, one of which may be called ``value``.
+_PAYLOAD = "_payload"
+_POSITION = ["kafka_topic", "kafka_partition", "kafka_offset"]
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """The messages that could not be applied, each once, with their payload and the reason.
+
+    Slices of a table may overlap after a reset, so a position counts once.
+    """
+    return spark.read.parquet(path).dropDuplicates(["table", *_POSITION])
+
+
+def _part_name(changes: DataFrame, batch: tuple[str, int] | None) -> str:
+    """The name under which a slice keeps its dead letters: the same for the same slice."""
+    if batch:
+        return f"{batch[0]}-{batch[1]}"
+    ends = changes.groupBy("kafka_partition").agg(F.min("kafka_offset").alias("lo"), F.max("kafka_offset").alias("hi"))
+    span = [(r["kafka_partition"], r["lo"], r["hi"]) for r in ends.collect()]  # one row per partition
+    return f"slice-{hashlib.sha256(repr(sorted(span)).encode()).hexdigest()[:16]}"
+
+
+def _without_dead_letters(
+    spark: SparkSession, changes: DataFrame, spec: TableSpec, path: str, batch: tuple[str, int] | None
+) -> tuple[DataFrame, str]:
+    """The changes that can be applied, and the folder they are staged in.
+
+    The slice is decoded once, into the folder; both outputs read that. The dead letters go to a
+    folder of the slice's own name, which a repetition overwrites; what others left is not read.
+    """
+    staged_at = new_folder(spark, "decoded")
+    changes.write.parquet(staged_at)
+    staged = spark.read.schema(changes.schema).parquet(staged_at)
+    good, dead = split_dead_letters(staged, spec.keys)
+    target = files.join(path, f"table={spec.name}", f"slice={_part_name(staged, batch)}")
+    dead.select(*_POSITION, F.col(_PAYLOAD).alias("value"), "reason").write.mode("overwrite").parquet(target)
+    return good.drop(_PAYLOAD), staged_at
 
 
 def apply_messages(
@@ -86,14 +117,17 @@ def apply_messages(
     """Decode, keep the latest change per key, and apply it to the table."""
     table = bronze.table(spark, spec)
     split = bronze.dead_letters is not None
-    changes = decode_changes(messages, spec.columns, bronze.image_policy, keep_value=split)
+    changes = decode_changes(messages, spec.columns, bronze.image_policy, keep_value=_PAYLOAD if split else False)
+    staged_at = None
     if split:
-        changes, dead = split_dead_letters(changes, spec.keys)
-        _keep_dead_letters(spark, dead, files.join(bronze.dead_letters, f"table={spec.name}"))
-        changes = changes.drop("value")
-    table.apply(
-        latest_per_key(changes, spec.keys), bronze.mode, bronze.guard_deletes, batch=batch
-    )
+        changes, staged_at = _without_dead_letters(spark, changes, spec, bronze.dead_letters, batch)
+    try:
+        table.apply(
+            latest_per_key(changes, spec.keys), bronze.mode, bronze.guard_deletes, batch=batch
+        )
+    finally:
+        if staged_at:
+            files.delete(spark, staged_at)
     if isinstance(table, StateTable):
         if bronze.database:
             publish(spark, bronze.database, spec.name, table)

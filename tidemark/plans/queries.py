@@ -14,8 +14,9 @@ from tidemark import operators as op
 from tidemark.operators.decode import dead_letter_reason
 from tidemark.operators.offsets import document_positions, offsets_map
 from tidemark.plans import oracles, samples
-from tidemark.plans.gold import totals_by_window
-from tidemark.plans.jobs import Bronze, apply_messages, run_full, run_incremental, run_tables
+from tidemark.plans.gold import images, maintain_windows, totals_by_window, window_changes, window_totals
+from tidemark.plans.jobs import Bronze, apply_messages, dead_letters, run_full, run_incremental, run_tables
+from tidemark.plans.seeds import SEEDS, load_seeds
 from tidemark.plans.silver import silver, silver_rejects
 from tidemark.model import TABLES, TableSpec
 from tidemark.session import new_folder
@@ -131,6 +132,21 @@ def cdc_dead_letters(spark, sf_dir):
     )
 
 
+@_query(_DAMAGE_SQL + "SELECT p, o, outcome AS reason FROM changes WHERE outcome <> 'applied'")
+def dead_letters_two_runs(spark, sf_dir):
+    """Two runs and a reset over a log with damaged payloads: every bad message once."""
+    root = new_folder(spark, "dead-letters")
+    log = MessageLog(files.join(root, "log"))
+    bronze = Bronze(files.join(root, "bronze"), dead_letters=files.join(root, "dead"))
+    messages = _damaged(spark, sf_dir)
+    for part in ("first_run", "NOT first_run"):
+        log.write(messages.where(part))
+        _expect_success(run_incremental(spark, samples.USERS, log, bronze))
+    _expect_success(run_incremental(spark, samples.USERS, log, bronze, reset=True))
+    dead = dead_letters(spark, bronze.dead_letters)
+    return dead.select(F.col("kafka_partition").alias("p"), F.col("kafka_offset").alias("o"), "reason")
+
+
 # -- latest version per key ----------------------------------------------------------------
 
 
@@ -954,6 +970,38 @@ def dq_references(spark, sf_dir):
     return op.reference_violations(tables, [samples.LINEITEM, samples.ORDERS])
 
 
+@_query(
+    """WITH late AS (SELECT * FROM lineitem WHERE l_shipdate >= DATE '2000-01-01'),
+early AS (SELECT * FROM lineitem l WHERE NOT EXISTS (
+  SELECT 1 FROM late n WHERE n.l_orderkey = l.l_orderkey AND n.l_linenumber = l.l_linenumber)),
+pending AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P'),
+builders AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+SELECT 'lineitem' AS table_name, 'reference_orders' AS rule, 'l_orderkey' AS column_name, 'changed' AS cause,
+       count(*) AS violations FROM late WHERE l_orderkey IN (FROM pending)
+UNION ALL SELECT 'lineitem', 'reference_orders', 'l_orderkey', 'deleted', count(*) FROM early
+WHERE l_orderkey IN (FROM pending)
+UNION ALL SELECT 'lineitem', 'reference_part', 'l_partkey', 'changed', count(*) FROM late
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <= 45)
+UNION ALL SELECT 'lineitem', 'reference_supplier', 'l_suppkey', 'changed', count(*) FROM late
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'orders', 'reference_customer', 'o_custkey', 'deleted', count(*) FROM orders
+WHERE o_orderstatus <> 'P' AND o_custkey IN (FROM builders)"""
+)
+def dq_references_delta(spark, sf_dir):
+    """One slice: the lines since 2000 changed, the pending orders and one customer segment were deleted."""
+    lines, orders, customers, part, supplier = (
+        samples.table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "part", "supplier")
+    )
+    pending, builders = F.col("o_orderstatus") == "P", F.col("c_mktsegment") == "BUILDING"
+    tables = {
+        "lineitem": lines, "orders": orders.where(~pending), "customer": customers.where(~builders),
+        "part": part.where("p_size <= 45"), "supplier": supplier,
+    }
+    changed = {"lineitem": lines.where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))}
+    deleted = {"orders": orders.where(pending), "customer": customers.where(builders)}
+    return op.reference_deltas(tables, changed, deleted, [samples.LINEITEM, samples.ORDERS])
+
+
 @_query(
     """SELECT row_number() OVER () AS line_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
        FROM lineitem"""
@@ -1067,6 +1115,31 @@ def csv_load_free_text(spark, sf_dir):
     )
 
 
+_SEED_SOURCES = (
+    "region", "customer", "supplier", "part", "orders", "lineitem", "orders", "documents", "events",
+)
+
+
+@_query(
+    " UNION ALL ".join(
+        f"SELECT CAST({n} AS INTEGER) AS load_order, '{seed.table}' AS table_name, 'LOADED' AS status, "
+        f"count(*) AS file_rows, count(*) AS stored_rows FROM {source}"
+        for n, (seed, source) in enumerate(zip(SEEDS, _SEED_SOURCES, strict=True), 1)
+    )
+)
+def seed_load_all(spark, sf_dir):
+    """All nine seed files, in order, with the key that one of them lacks."""
+    folder = new_folder(spark, "seeds")
+    shop = samples.shop_tables(spark, sf_dir)
+    for seed in SEEDS:
+        rows = shop[seed.table]
+        rows = rows.drop(seed.generated) if seed.generated else rows
+        writer = rows.write.option("header", True).option("escape", '"').option("emptyValue", "")
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.csv(files.join(folder, seed.file))
+    return load_seeds(spark, folder, new_folder(spark, "landed")).drop("error")
+
+
 # -- silver and gold ---------------------------------------------------------------------------
 
 
@@ -1128,6 +1201,42 @@ def gold_daily(spark, sf_dir):
     return daily.withColumn("total", F.col("total").cast("double"))
 
 
+_THIRTY_DAYS = "time_bucket(INTERVAL '30 days', l_shipdate, TIMESTAMP '1970-01-01')"
+
+
+@_query(
+    f"""WITH {oracles.LINEITEM_LOG},
+first_changes AS {oracles.latest('log', 'l_orderkey, l_linenumber', "l_shipdate < DATE '1999-01-01'")},
+second_changes AS {oracles.latest('log', 'l_orderkey, l_linenumber', "l_shipdate >= DATE '1999-01-01'")},
+base AS (SELECT * FROM first_changes WHERE NOT is_deleted),
+state AS ({oracles.merged('base', 'second_changes', _LINE, 'l_orderkey, l_linenumber')})
+SELECT {_THIRTY_DAYS} AS window_start, {_THIRTY_DAYS} + INTERVAL 30 DAY AS window_end, l_returnflag,
+       count(l_extendedprice) AS n_values,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS DOUBLE) AS total,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(10,2))) AS DOUBLE) / count(l_extendedprice) AS average
+FROM state GROUP BY ALL"""
+)
+def gold_incremental(spark, sf_dir):
+    """Totals kept through two runs, the second one twice: only the windows of its changes are rewritten."""
+    root, spec = new_folder(spark, "gold"), samples.LINEITEM
+    gold, by, width = files.join(root, "totals"), ["l_returnflag"], "30 days"
+    table = StateTable(spark, files.join(root, "lines"), spec.keys)
+    messages = samples.lineitem_messages(spark, sf_dir)
+    early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
+    for number, part in enumerate((early, ~early)):
+        changes = op.latest_per_key(op.decode_changes(messages.where(part), spec.columns), spec.keys)
+        before = table.read() if table.exists() else None
+        table.apply(changes, "upsert_delete")
+        after = table.read()
+        before = after.limit(0) if before is None else before
+        old, new = (silver(rows, spec) for rows in images(before, changes, after, spec.keys))
+        sums = window_changes(old, new, "l_shipdate", "l_extendedprice", by, width)
+        for _ in range(number + 1):
+            maintain_windows(spark, gold, sums, number, by)
+    kept = window_totals(spark.read.parquet(gold), by, width)
+    return kept.withColumn("total", F.col("total").cast("double"))
+
+
 def current_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the current state of every user from the whole change log."""
     return cdc_dedup_latest(spark, sf_dir)
