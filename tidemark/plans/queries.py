@@ -1066,10 +1066,13 @@ _SEEDS = {
 
 def _seed_csv(spark, sf_dir, spec: TableSpec) -> str:
     path = new_folder(spark, f"csv-{spec.name}")
-    rows = samples.table(spark, sf_dir, spec.name).select(spec.columns)
+    _write_csv(samples.table(spark, sf_dir, spec.name).select(spec.columns), path)
+    return path
+
+
+def _write_csv(rows: DataFrame, path: str) -> None:
     writer = rows.write.option("header", True).option("escape", '"').option("emptyValue", "")
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return path
 
 
 @_query(
@@ -1106,7 +1109,10 @@ def csv_load_free_text(spark, sf_dir):
     """Texts with quotes, commas and line breaks come back unchanged."""
     landing = new_folder(spark, "documents")
     load_csv(spark, _seed_csv(spark, sf_dir, _TEXTS), _TEXTS, landing)
-    texts = silver(spark.read.parquet(landing), _TEXTS)
+    return _text_rows(silver(spark.read.parquet(landing), _TEXTS))
+
+
+def _text_rows(texts: DataFrame) -> DataFrame:
     return texts.select(
         "doc_id",
         "lang",
@@ -1115,6 +1121,14 @@ def csv_load_free_text(spark, sf_dir):
     )
 
 
+@_query("SELECT doc_id, lang, md5(text) AS text_md5, length(text) AS n_chars FROM documents")
+def csv_load_split(spark, sf_dir):
+    """The same texts from files that are split, wherever their line breaks stand."""
+    landing = new_folder(spark, "documents")
+    load_csv(spark, _seed_csv(spark, sf_dir, _TEXTS), _TEXTS, landing, split=True)
+    return _text_rows(silver(spark.read.parquet(landing), _TEXTS))
+
+
 _SEED_SOURCES = (
     "region", "customer", "supplier", "part", "orders", "lineitem", "orders", "documents", "events",
 )
@@ -1134,9 +1148,7 @@ def seed_load_all(spark, sf_dir):
     for seed in SEEDS:
         rows = shop[seed.table]
         rows = rows.drop(seed.generated) if seed.generated else rows
-        writer = rows.write.option("header", True).option("escape", '"').option("emptyValue", "")
-        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        writer.csv(files.join(folder, seed.file))
+        _write_csv(rows, files.join(folder, seed.file))
     return load_seeds(spark, folder, new_folder(spark, "landed")).drop("error")
 
 

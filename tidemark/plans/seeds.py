@@ -16,11 +16,15 @@ from tidemark.sources.csv import read_csv
 
 @dataclass(frozen=True)
 class Seed:
-    """A table's file. ``generated`` names a key column that the file lacks; rows are numbered 1, 2, 3 …"""
+    """A table's file. ``generated`` names a key column that the file lacks; rows are numbered 1, 2, 3 …
+
+    ``split`` lets many tasks read a large file; its rows are then numbered in another order than theirs.
+    """
 
     table: str
     file: str
     generated: str | None = None
+    split: bool = False
 
 
 # The public data set's file of each table. Tables that others refer to come first.
@@ -52,7 +56,7 @@ def check_order(seeds: Sequence[Seed], tables: Mapping[str, TableSpec]) -> None:
 
 def load_seed(spark: SparkSession, seed: Seed, spec: TableSpec, folder: str, landing: str) -> dict:
     """Land one file as text; rows are counted as they leave the file, and once more where they were stored."""
-    rows = read_csv(spark, files.join(folder, seed.file), spec)
+    rows = read_csv(spark, files.join(folder, seed.file), spec, split=seed.split)
     if rows is None:
         return {"status": "MISSING"}
     counted = Observation()
