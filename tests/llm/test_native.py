@@ -30,6 +30,8 @@ def license_rows(draw):
         words = draw.choice(list(L.TEMPLATES.values())).split(" ")
         if i % 3 == 0:
             lines.append(" ".join(w for w in words if draw.random() > 0.15))
+        if i % 4 == 0:
+            lines.append(textwrap.fill(" ".join(w for w in words if draw.random() > 0.1), draw.choice([12, 30, 60])))
         if i % 5 == 0:
             lines.append(draw.choice(["MIT\nLicense", "cc-by, CC BY!", "the GNU  General Public License", "apache license apache license"]))
         rows.append((i, "\n".join(lines)))
@@ -40,11 +42,13 @@ def license_brute(text):
     words = WORD.findall((text or "").translate(LOWER))
     places = [(label, k) for p, label in L.PHRASES.items() for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
     found = []
-    for line in (text or "").split("\n"):
-        own = set(WORD.findall(line.translate(LOWER)))
-        for label, template in L.TEMPLATES.items():
-            need = set(L.template_words(template))
-            if len(own & need) >= math.ceil(L.CONTAINMENT * len(need) - 1e-9):
+    for label, template in L.TEMPLATES.items():
+        spoken = WORD.findall(template.translate(LOWER))
+        need, longest = set(spoken), math.ceil(len(spoken) / L.CONTAINMENT - 1e-9)
+        blocks = [WORD.findall(line.translate(LOWER)) for line in (text or "").split("\n")]
+        blocks += [words[k : k + longest] for k in range(len(words))]
+        for own in map(set, blocks):
+            if len(own & need) >= math.ceil(L.CONTAINMENT * len(need) - 1e-9) and own >= set(L.KEY_WORDS.get(label, ())):
                 found.append((label, len(own & need) / len(need)))
     at = [k for _, k in places]
     base = {x for x, _ in places}
@@ -61,6 +65,19 @@ def test_licenses_match_brute_force(documents, odd_rows):
     assert L.license_digest(documents([])).collect() == []
 
 
+def test_other_licenses_with_the_same_words(documents):
+    lines = ["Released under the BSD License", "Licensed under CC BY 4.0", "Licensed under the MIT License, Version 2.0"]
+    lines += ["Released under the\nApache License", "released\nunder\nthe\nMIT"]
+    rows = L.license_blocks(documents(list(enumerate(lines)))).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in rows) == [(2, "mit-notice"), (4, "mit-notice")]
+
+
+def test_long_texts_of_notices(documents):
+    notice = textwrap.fill(" ".join(L.TEMPLATES.values()), 40) + "\n"
+    (row,) = L.license_digest(documents([(1, notice * 1000)])).collect()
+    assert row["labels"].count(",") == len(L.TEMPLATES) + len(L.PHRASES) - 1 and row["score"] == 1.0
+
+
 def test_license_blocks_and_no_templates(documents):
     rows = [(1, "x\n" + L.TEMPLATES["mit-notice"]), (2, "nothing")]
     assert [tuple(r) for r in L.license_blocks(documents(rows)).collect()] == [(1, 1, "mit-notice", 1.0)]

@@ -1,11 +1,12 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words. A
-block is a line, or, so that wrapped notices are found, a stretch of words over several lines that is at most
-``1 / CONTAINMENT`` times as long as the template. At each line break the stretch must go on as the template
-does: the template words on both sides of the break follow each other there, with no more words left out than a
-match may lack. Words of lines that match by themselves are not counted in a stretch; of stretches that overlap, the fullest is reported, then the shortest. Template words are ordered by how many documents of the corpus hold them, rarest first. The
-join filters by
+A block matches a template when it holds at least ``CONTAINMENT`` of the template's distinct words, its
+key words among them (``KEY_WORDS``: the words that tell the license from others). A block is a line, or, so that
+wrapped notices are found, a stretch: any run of words at most ``1 / CONTAINMENT`` times as long as the template,
+wherever its line breaks stand. A stretch is reported if it covers more than one line and is fuller than each
+line it touches; those lines are then not reported themselves. Of stretches that overlap, read in order, the fullest is
+reported, then the one that ends first, then the shortest. Template words are ordered by how many documents of the corpus hold them, rarest
+first. The join filters by
 
 * prefix: a match must hold one of the ``n - need + 1`` rarest words of the template (n words, ``need``
   of them needed), so only blocks with such a word are looked at;
@@ -13,8 +14,8 @@ join filters by
 * position: with the first held word at place ``p`` of the template's order, at most ``n - p`` words can be
   held, so ``p`` must be at most ``n - need``. The first held word of a prefix decides this;
 
-and what is left is counted exactly. For stretches the first two filters hold for the text; then each
-template word of the text begins one stretch. Templates are few and given by the caller: at most
+and what is left is counted exactly. For stretches the filters hold for the text; then each
+template word of the text begins one stretch, which stops at the last word that is new to it. Templates are few and given by the caller: at most
 ``MAX_TEMPLATE_WORDS`` words in all, which bounds what each task gets.
 
 All of it is DataFrame expressions over a row, without a shuffle of texts; only the counts of
@@ -29,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,6 +61,54 @@ TEMPLATES = {
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+#: Words of those templates without which a notice states another license.
+KEY_WORDS = {
+    "apache-notice": ("apache",),
+    "cc-by-nc-notice": ("cc", "nc"),
+    "gpl-notice": ("gnu",),
+    "mit-notice": ("mit",),
+    "mpl-notice": ("mozilla",),
+}
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What a block must hold for one template: ``need`` of the words ``ordered``, all of ``keys``."""
+
+    label: str
+    ordered: list[str]
+    need: int
+    keys: list[str]
+    longest: int
+
+    @property
+    def prefix(self) -> list[str]:
+        return self.ordered[: len(self.ordered) - self.need + 1]
+
+    def share(self, own: Column) -> Column:
+        """The share of the template's words in distinct words, null without a match."""
+        # Prefix and position in one: a match has a word among the first n - need + 1.
+        early = F.arrays_overlap(own, _strings(self.prefix))
+        shared = F.size(F.array_intersect(own, _strings(self.ordered)))
+        enough = (F.size(own) >= self.need) & early & self.keyed(own) & (shared >= self.need)
+        return F.when(enough, shared / F.lit(float(len(self.ordered))))
+
+    def keyed(self, own: Column) -> Column:
+        return F.lit(True) if not self.keys else F.size(F.array_except(_strings(self.keys), own)) == 0
+
+
+def rules(templates: dict[str, str], ranks: dict[str, int], containment: float) -> list[Rule]:
+    """The rule of each template that has words; ``ranks``: documents that hold each word."""
+    found = []
+    for label, template in sorted(templates.items()):
+        ordered = sorted(template_words(template), key=lambda w: (ranks.get(w, 0), w))
+        need = math.ceil(containment * len(ordered) - 1e-9)
+        spoken = sum(bool(w) for w in re.split(_GAPS, template.lower()))
+        longest = math.ceil(spoken / containment - 1e-9) if need else 0
+        if need:
+            found.append(Rule(label, ordered, need, sorted(KEY_WORDS.get(label, ())), longest))
+    return found
+
 
 def words(text: Column) -> Column:
     """The text's words, in order."""
@@ -89,48 +139,23 @@ def license_matches(text: Column, held: Column, ranks: dict[str, int], templates
 
     ``block`` is the number of the block's first line.
     """
-    found, prefixes = [], set()
-    for label, template in sorted(templates.items()):
-        ordered = sorted(template_words(template), key=lambda w: (ranks[w], w))
-        need = math.ceil(containment * len(ordered) - 1e-9)
-        if need:
-            spoken = [w for w in re.split(_GAPS, template.lower()) if w]
-            gap = 1 + len(ordered) - need
-            follow = sorted({f"{a} {b}" for k, a in enumerate(spoken) for b in spoken[k + 1 : k + 1 + gap]})
-            found.append((label, ordered, need, math.ceil(len(spoken) / containment - 1e-9), follow))
-            prefixes |= set(ordered[: len(ordered) - need + 1])
     kind = "array<struct<block:int,label:string,containment:double>>"
+    nothing = F.array().cast(kind)
+    found = rules(templates, ranks, containment)
     if not found:
-        return F.array().cast(kind)
-    prefix = _strings(sorted(prefixes))
-
-    def matches(block: Column) -> Column:
-        own = block["words"]
-        hits = []
-        for label, ordered, need, *_ in found:
-            n = len(ordered)
-            # Prefix and position in one: a match has a word among the first n - need + 1.
-            early = F.arrays_overlap(own, _strings(ordered[: n - need + 1]))
-            shared = F.size(F.array_intersect(own, _strings(ordered)))
-            share = F.when((F.size(own) >= need) & early & (shared >= need), shared / F.lit(float(n)))
-            hits.append(F.struct(block["at"].alias("block"), F.lit(label).alias("label"), share.alias("containment")))
-        return F.filter(F.array(*hits), lambda h: h["containment"].isNotNull())
-
-    lines = F.transform(F.split(text, "\n", -1), lambda line, at: F.struct(at.alias("at"), F.array_distinct(words(line)).alias("words")))
-    near = F.filter(lines, lambda b: F.arrays_overlap(b["words"], prefix))
-    blocks = F.flatten(F.transform(near, matches)).cast(kind)
-    tokens = F.flatten(F.transform(F.split(text, "\n", -1), lambda line, at: F.transform(words(line), lambda w: F.struct(at.alias("at"), w.alias("word")))))
-
-    def wrapped(both: Column, label: str, ordered: list[str], need: int, longest: int, follow: list[str]) -> Column:
-        early = F.arrays_overlap(held, _strings(ordered[: len(ordered) - need + 1]))
-        enough = F.size(F.array_intersect(held, _strings(ordered))) >= need
-        spans = _stretches(both["tokens"], both["own"], label, ordered, need, longest, follow)
-        hits = F.transform(spans, lambda s: F.struct(s["block"].alias("block"), F.lit(label).alias("label"), s["share"].alias("containment")))
-        return F.when(early & enough, hits.cast(kind)).otherwise(F.array().cast(kind))
-
-    both = F.struct(blocks.alias("own"), tokens.alias("tokens"))
-    every = _let(both, lambda b: F.concat(b["own"], *(wrapped(b, *x) for x in found)))
-    return F.when(F.arrays_overlap(held, prefix), every).otherwise(F.array().cast(kind))
+        return nothing
+    lines = F.transform(F.split(text, "\n", -1), lambda line, at: F.struct(at.alias("at"), words(line).alias("words")))
+
+    def matches(rule: Rule, lines: Column) -> Column:
+        shares = F.transform(lines, lambda b: F.struct(b["at"], b["words"], F.coalesce(rule.share(F.array_distinct(b["words"])), F.lit(0.0)).alias("own")))
+        return _let(shares, lambda b: _let(_stretches(b, rule), lambda spans: _reported(b, spans, rule.label)))
+
+    def one(rule: Rule, lines: Column) -> Column:
+        return F.when(rule.share(held).isNotNull(), matches(rule, lines)).otherwise(nothing)
+
+    early = _strings(sorted({w for rule in found for w in rule.prefix}))
+    every = _let(lines, lambda b: F.concat(*(one(rule, b) for rule in found)))
+    return F.when(F.arrays_overlap(held, early), every).otherwise(nothing)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -138,43 +163,59 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _stretches(tokens: Column, own: Column, label: str, ordered: list[str], need: int, longest: int, follow: list[str]) -> Column:
-    """Array of (start, stop, block, share) of the stretches of ``tokens`` that match one template.
+def _reported(lines: Column, spans: Column, label: str) -> Column:
+    """Array of (block, label, containment): the stretches, and the matching lines that none of them touches."""
+    hit = lambda at, share: F.struct(at.alias("block"), F.lit(label).alias("label"), share.alias("containment"))
+    touched = F.flatten(F.transform(spans, lambda s: F.sequence(s["block"], s["until"])))
+    alone = F.filter(lines, lambda b: (b["own"] > 0) & ~F.array_contains(touched, b["at"]))
+    return F.concat(F.transform(alone, lambda b: hit(b["at"], b["own"])), F.transform(spans, lambda s: hit(s["block"], s["share"])))
 
-    ``own``: matches of single lines; ``follow``: the pairs of words that may stand around a line break. A stretch starts at a template word and stops at the last word that
-    is new to it.
-    """
-    mine = F.transform(F.filter(own, lambda m: m["label"] == label), lambda m: m["block"])
-    placed = F.transform(tokens, lambda t, i: F.struct(t["at"].alias("at"), t["word"].alias("word"), i.alias("i")))
-    held = F.filter(placed, lambda t: F.array_contains(_strings(ordered), t["word"]))
-    free = _let(mine, lambda lines: F.filter(held, lambda t: ~F.array_contains(lines, t["at"])))
 
-    def broken(t: Column, before: Column) -> Column:
-        return (t["at"] != before["at"]) & ~F.array_contains(_strings(follow), F.concat(before["word"], F.lit(" "), t["word"]))
+def _stretches(lines: Column, rule: Rule) -> Column:
+    """Array of (start, stop, block, until, share) of the stretches that match one template.
+
+    ``lines``: (at, words, own) with the containment of each line by itself. ``start`` and ``stop`` are
+    words of the text, ``block`` and ``until`` the lines where those stand.
+    """
+    tokens = F.flatten(F.transform(lines, lambda b: F.transform(b["words"], lambda w: F.struct(b["at"].alias("at"), w.alias("word"), b["own"].alias("own")))))
+    placed = F.transform(tokens, lambda t, i: F.struct(t["at"].alias("at"), t["word"].alias("word"), t["own"].alias("own"), i.alias("i")))
+    free = F.filter(placed, lambda t: F.array_contains(_strings(rule.ordered), t["word"]))
 
     def reach(free: Column) -> Column:
         def ahead(t: Column, k: Column) -> Column:
-            near = F.filter(F.slice(free, k + 1, longest), lambda x: x["i"] < t["i"] + longest)
-            ends = _let(near, lambda n: F.array_position(F.transform(n, lambda x, j: F.coalesce(broken(x, F.get(n, j - 1)), F.lit(False))), True))
-            whole = F.when(ends > 0, F.slice(near, 1, ends.cast("int") - 1)).otherwise(near)
-            return F.struct(t["i"].alias("start"), t["at"].alias("block"), whole.alias("ahead"))
+            near = F.filter(F.slice(free, k + 1, rule.longest), lambda x: x["i"] < t["i"] + rule.longest)
+            return F.struct(t["i"].alias("start"), t["at"].alias("block"), near.alias("ahead"))
 
-        return F.filter(F.transform(free, ahead), lambda c: F.size(F.array_distinct(c["ahead"]["word"])) >= need)
+        return F.filter(F.transform(free, ahead), lambda c: rule.share(F.array_distinct(c["ahead"]["word"])).isNotNull())
 
     def measured(c: Column) -> Column:
         fresh = F.filter(c["ahead"], lambda x, k: F.array_position(c["ahead"]["word"], x["word"]) == k + 1)
-        share = F.size(fresh) / F.lit(float(len(ordered)))
-        return F.struct(c["start"].alias("start"), F.element_at(fresh, -1)["i"].alias("stop"), c["block"].alias("block"), share.alias("share"))
+
+        def whole(fresh: Column) -> Column:
+            last = F.element_at(fresh, -1)
+            inner = F.filter(c["ahead"], lambda x: x["i"] <= last["i"])
+            share = F.size(fresh) / F.lit(float(len(rule.ordered)))
+            return F.struct(
+                c["start"].alias("start"), last["i"].alias("stop"), c["block"].alias("block"), last["at"].alias("until"),
+                share.alias("share"), F.array_max(F.transform(inner, lambda x: x["own"])).alias("own"),
+            )
+
+        return _let(fresh, whole)
+
+    kind = "struct<start:int,stop:int,block:int,until:int,share:double,own:double>"
+    spans = F.filter(F.transform(_let(free, reach), measured), lambda s: (s["until"] > s["block"]) & (s["share"] > s["own"]))
 
     def fullest(state: Column, c: Column) -> Column:
-        last = F.get(state, F.size(state) - 1)
-        tighter = (c["share"] == last["share"]) & (c["stop"] - c["start"] < last["stop"] - last["start"])
-        swapped = F.concat(F.slice(state, 1, F.size(state) - 1), F.array(c))
+        last = state["last"]
         apart = last.isNull() | (c["start"] > last["stop"])
-        return F.when(apart, F.concat(state, F.array(c))).when((c["share"] > last["share"]) | tighter, swapped).otherwise(state)
-
-    kind = "array<struct<start:int,stop:int,block:int,share:double>>"
-    return F.aggregate(F.transform(_let(free, reach), measured).cast(kind), F.array().cast(kind), fullest)
+        tighter = (c["share"] == last["share"]) & (c["stop"] <= last["stop"])
+        better = (c["share"] > last["share"]) | tighter
+        done = F.when(apart & last.isNotNull(), F.concat(state["done"], F.array(last))).otherwise(state["done"])
+        return F.struct(done.alias("done"), F.when(apart | better, c).otherwise(last).alias("last"))
+
+    start = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("last"))
+    closed = lambda state: F.when(state["last"].isNull(), state["done"]).otherwise(F.concat(state["done"], F.array(state["last"])))
+    return F.aggregate(spans.cast(f"array<{kind}>"), start, fullest, closed)
 
 
 def _phrase_places(held: Column, phrase: str, label: str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
@@ -164,12 +162,11 @@ def _op5() -> str:
     listed = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
     phrases = ", ".join(f"({listed(p.split())}, '{label}')" for p, label in licenses.PHRASES.items())
     templates = ", ".join(
-        f"('{label}', {listed(words)}, {math.ceil(licenses.CONTAINMENT * len(words) - 1e-9)})"
-        for label, text in licenses.TEMPLATES.items()
-        for words in [licenses.template_words(text)]
+        f"('{r.label}', {listed(sorted(r.ordered))}, {r.need}, CAST({listed(r.keys)} AS VARCHAR[]), {r.longest})"
+        for r in licenses.rules(licenses.TEMPLATES, {}, licenses.CONTAINMENT)
     )
     return f"""
-WITH p(phrase, label) AS (VALUES {phrases}), t(label, words, need) AS (VALUES {templates}),
+WITH p(phrase, label) AS (VALUES {phrases}), t(label, words, need, keys, longest) AS (VALUES {templates}),
 w AS (SELECT doc_id, {split("coalesce(text, '')")} AS words FROM documents),
 i AS (SELECT doc_id, words, unnest(range(0, len(words))) AS place FROM w),
 f AS (SELECT doc_id, label, place FROM i JOIN p ON words[place + 1:place + len(phrase)] = phrase),
@@ -178,9 +175,18 @@ base AS (
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM f GROUP BY doc_id
 ), l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents),
 b AS (SELECT doc_id, list_distinct({split("line")}) AS words FROM l),
-m AS (
-  SELECT doc_id, label, len(list_intersect(b.words, t.words)) / len(t.words) AS share
-  FROM b JOIN t ON len(list_intersect(b.words, t.words)) >= need
+near AS (
+  SELECT doc_id, w.words AS own, t.*, unnest(range(0, len(w.words))) AS place
+  FROM w JOIN t ON list_has_all(w.words, keys) AND len(list_intersect(list_distinct(w.words), t.words)) >= need
+), stretches AS (
+  SELECT doc_id, label, words, need, keys, list_distinct(own[place + 1:place + longest]) AS own
+  FROM near WHERE list_contains(words, own[place + 1])
+), blocks AS (
+  SELECT doc_id, label, t.words, need, keys, b.words AS own FROM b JOIN t ON list_has_all(b.words, keys)
+  UNION ALL SELECT doc_id, label, words, need, keys, own FROM stretches WHERE list_has_all(own, keys)
+), m AS (
+  SELECT doc_id, label, len(list_intersect(own, words)) / len(words) AS share
+  FROM blocks WHERE len(list_intersect(own, words)) >= need
 ), found AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM
     (SELECT doc_id, label FROM f UNION ALL SELECT doc_id, label FROM m) GROUP BY doc_id
