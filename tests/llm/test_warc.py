@@ -1,6 +1,7 @@
 import hashlib
 import io
 import random
+import re
 
 import pyarrow as pa
 import pyarrow.fs
@@ -45,6 +46,21 @@ def test_round_trip_matches_brute_force(spark):
         assert hashlib.sha256(bytes(r["payload"])).hexdigest() == r["payload_digest"]
 
 
+def test_records_have_the_fields_that_the_format_demands():
+    digest = hashlib.sha256(b"x" * 100).hexdigest()
+    first = W.record(5, "http://x/a b\r\nWARC-Type: c", b"x" * 100, digest, "response", None, "2024-05-01T10:00:00Z")
+    second = W.record(9, None, b"x" * 100, digest, "revisit", 5)
+    (_, a, body), (_, b, empty) = W.parse(first + second)
+    for fields in (a, b):
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f-]{36}>", fields["WARC-Record-ID"])
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+        assert fields["WARC-Target-URI"] and " " not in fields["WARC-Target-URI"]
+    assert (a["WARC-Type"], a["WARC-Date"], a["Content-Length"], body) == ("response", "2024-05-01T10:00:00Z", "100", b"x" * 100)
+    assert (b["WARC-Type"], b["WARC-Refers-To"], b["Content-Length"], empty) == ("revisit", a["WARC-Record-ID"], "0", b"")
+    assert b["WARC-Profile"].endswith("/revisit/identical-payload-digest") and "WARC-Profile" not in a
+    assert a["WARC-Record-ID"] != b["WARC-Record-ID"]
+
+
 def test_lookup_reads_only_the_named_records(spark):
     rows = [(i, f"page {i} " * 400) for i in range(300)]
     folder = W.new_folder(spark, "warc")

@@ -12,6 +12,8 @@ Bundles go to the shared folder through Arrow's file systems (local, HDFS, S3, G
 Payloads that occur more than once and have at least ``MIN_SHARED`` bytes are stored once, as the
 response of the smallest page id; other pages revisit it.
 
+Rows that are equal in page id and payload have equal record ids.
+
 Cases: null html is an empty payload. Rows that repeat the response's page id are responses too. Rows
 with a null page id are responses unless an equal payload has an id. Empty tables give an empty
 index and no bundle. Extra columns are ignored.
@@ -20,6 +22,7 @@ index and no bundle. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -38,6 +41,10 @@ FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 #: Neighbouring frames that are read by one task.
 FRAMES_A_TASK = 16
+#: The records' date unless the caller gives the crawl's, so that archives of equal pages have equal records.
+DATE = "1970-01-01T00:00:00Z"
+#: Fixed value of the WARC 1.1 format: revisits that are known by an equal payload digest.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Fixed values of the seekable Zstandard format.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -67,18 +74,35 @@ def read_seek_table(source: pa.NativeFile, size: int) -> list[tuple[int, int, in
     return [(int(e - c), int(c), int(p)) for e, (c, p) in zip(ends, table, strict=True)]
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
-    """One WARC record; a revisit has no block and names the page it refers to."""
+def urn(page_id: int | None, digest: str) -> str:
+    """The record id of a page with a payload: a UUID made of both, so that reruns are equal."""
+    return uuid.uuid5(uuid.NAMESPACE_OID, f"{page_id}:{digest}").urn
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None, date: str = DATE) -> bytes:
+    """One WARC/1.1 record; a revisit has no block and names the record and the page it refers to.
+
+    A page without url gets its record id for one. Control characters of a url are percent-encoded.
+    """
+    own = urn(page_id, digest)
+    target = re.sub(r"[\x00-\x20\x7F]", lambda m: f"%{ord(m[0]):02X}", url or own)
     block = payload if kind == "response" else b""
     fields = [
         ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
-        ("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")),
+        ("WARC-Record-ID", f"<{own}>"),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", target),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("X-Payload-Length", str(len(payload))),
     ]
+    if page_id is not None:
+        fields.append(("X-Page-ID", str(page_id)))
     if refers_to is not None:
-        fields.append(("WARC-Refers-To", f"<urn:page:{refers_to}>"))
+        fields += [
+            ("WARC-Profile", REVISIT_PROFILE),
+            ("WARC-Refers-To", f"<{urn(refers_to, digest)}>"),
+            ("X-Refers-To-Page", str(refers_to)),
+        ]
     fields += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     return head.encode() + block + b"\r\n\r\n"
@@ -115,8 +139,11 @@ def decide(pages: DataFrame) -> DataFrame:
     )
 
 
-def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """Write the rows of ``decide`` as bundles under ``folder``; returns the stored index."""
+def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES, date: str = DATE) -> DataFrame:
+    """Write the rows of ``decide`` as bundles under ``folder``; returns the stored index.
+
+    ``date``: when the pages were fetched, in the format's form of ISO 8601.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pyarrow.fs.FileSystem.from_uri(folder)
@@ -160,7 +187,7 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME_BYTE
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.zst"
                     out = files.open_output_stream(f"{root}/{name}", compression=None)
-                data = record(*row)
+                data = record(*row, date)
                 places.append((row[0], filled, len(data)))
                 frame.append(data)
                 filled += len(data)
@@ -185,8 +212,7 @@ _RECORD = T.StructType([
 
 
 def _page(field: str | None) -> int | None:
-    text = (field or "")[len("<urn:page:") : -1]
-    return int(text) if text else None
+    return None if field is None else int(field)
 
 
 def read_bundles(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
@@ -223,7 +249,7 @@ def read_bundles(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
                     if fields["WARC-Type"] == "response" and hashlib.sha256(block).hexdigest() != digest:
                         raise ValueError(f"{name}: the payload at {place} does not have its digest")
-                    found.append((place, _page(fields["WARC-Record-ID"]), int(fields["X-Payload-Length"]), digest, fields["WARC-Type"], _page(fields.get("WARC-Refers-To")), block))
+                    found.append((place, _page(fields.get("X-Page-ID")), int(fields["X-Payload-Length"]), digest, fields["WARC-Type"], _page(fields.get("X-Refers-To-Page")), block))
                 if [x[0] for x in found] != row["places"]:
                     raise ValueError(f"{name}: frame {row['frame']} does not hold the records that the index names")
                 _, page, size, digest, kind, refers, block = zip(*found, strict=True)
@@ -248,7 +274,7 @@ def lookup(index: DataFrame, folder: str, ids: DataFrame) -> DataFrame:
     return read_bundles(index.join(frames, ["bundle", "frame"], "left_semi"), folder).join(wanted, "page_id", "left_semi")
 
 
-def archive(pages: DataFrame) -> tuple[DataFrame, str]:
+def archive(pages: DataFrame, date: str = DATE) -> tuple[DataFrame, str]:
     """Write all pages; returns the index and the folder of the bundles."""
     folder = new_folder(pages.sparkSession, "warc")
-    return write_bundles(decide(pages), folder), folder
+    return write_bundles(decide(pages), folder, date=date), folder
