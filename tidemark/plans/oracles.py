@@ -31,8 +31,8 @@ log AS (
 
 LINEITEM_LOG = """
 log AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-         l_returnflag, l_shipdate, l_returnflag = 'R' AS is_deleted,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+         l_tax, l_returnflag, l_linestatus, l_shipdate, l_returnflag = 'R' AS is_deleted,
          epoch_us(l_shipdate) // 1000 AS ts_ms,
          CAST(l_suppkey % 4 AS INTEGER) AS p, l_partkey AS o
   FROM lineitem)"""

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import operators as op
 from tidemark.operators.decode import dead_letter_reason
@@ -172,23 +172,21 @@ def cdc_dedup_keep_deletes(spark, sf_dir):
 
 
 _LINE = (
-    "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
-    "l_returnflag, l_shipdate"
+    "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_returnflag, l_linestatus, l_shipdate"
 )
 
 
+def _whole_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every column of a table, typed; decimals as the doubles that the given tables have."""
+    typed = silver(rows, spec)
+    amount = lambda c: F.col(c).cast("double").alias(c)
+    decimals = {f.name for f in spec.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    return typed.select(*(amount(c) if c in decimals else c for c in spec.columns))
+
+
 def _line_rows(rows: DataFrame) -> DataFrame:
-    typed = silver(rows, samples.LINEITEM)
-    return typed.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.col("l_quantity").cast("double").alias("l_quantity"),
-        F.col("l_extendedprice").cast("double").alias("l_extendedprice"),
-        "l_returnflag",
-        "l_shipdate",
-    )
+    return _whole_rows(rows, samples.LINEITEM)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -536,14 +534,6 @@ def stream_latest_state(spark, sf_dir):
     return _user_rows(latest_rows(spark, files.join(root, "rows"), samples.USERS))
 
 
-_SNAPSHOT_LABELS = {
-    "orders": ("o_orderkey", "o_orderstatus", "o_totalprice"),
-    "customer": ("c_custkey", "c_name", "c_acctbal"),
-    "part": ("p_partkey", "p_name", "p_retailprice"),
-    "supplier": ("s_suppkey", "s_name", "s_acctbal"),
-}
-
-
 def _load_snapshots(spark, sf_dir) -> tuple[Bronze, DataFrame]:
     log = samples.snapshot_log(spark, sf_dir)
     bronze = Bronze(new_folder(spark, "full-load"))
@@ -552,26 +542,16 @@ def _load_snapshots(spark, sf_dir) -> tuple[Bronze, DataFrame]:
 
 
 @_query(
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, {k} AS key, {label} AS label, {amount} AS amount FROM {t}"
-        for t, (k, label, amount) in _SNAPSHOT_LABELS.items()
-    )
+    " UNION ALL BY NAME ".join(f"SELECT '{spec.name}' AS table_name, * FROM {spec.name}" for spec in samples.SNAPSHOTS)
 )
 def full_load_all_tables(spark, sf_dir):
+    """Four tables loaded in one run, every column; a row is NULL in the columns of other tables."""
     bronze, _ = _load_snapshots(spark, sf_dir)
-    loaded = []
-    for spec in samples.SNAPSHOTS:
-        key, label, amount = _SNAPSHOT_LABELS[spec.name]
-        rows = silver(bronze.table(spark, spec).read(), spec)
-        loaded.append(
-            rows.select(
-                F.lit(spec.name).alias("table_name"),
-                F.col(key).alias("key"),
-                F.col(label).alias("label"),
-                F.col(amount).cast("double").alias("amount"),
-            )
-        )
-    return reduce(DataFrame.unionByName, loaded)
+    loaded = [
+        _whole_rows(bronze.table(spark, spec).read(), spec).withColumn("table_name", F.lit(spec.name))
+        for spec in samples.SNAPSHOTS
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
 
 
 @_query(
@@ -876,6 +856,7 @@ def dq_not_null(spark, sf_dir):
                 )
             ),
             ("length", "l_returnflag", "length(l_returnflag) > 1"),
+            ("length", "l_linestatus", "length(l_linestatus) > 1"),
             ("check", "l_quantity", "l_quantity NOT BETWEEN 1 AND 40"),
         ],
     )
@@ -1003,12 +984,10 @@ def dq_references_delta(spark, sf_dir):
 
 
 @_query(
-    """SELECT row_number() OVER () AS line_id, l_orderkey, l_linenumber, l_partkey, l_suppkey
-       FROM lineitem"""
+    "SELECT row_number() OVER () AS line_id, * FROM lineitem"
 )
 def surrogate_key(spark, sf_dir):
-    numbered = op.surrogate_key(spark, f"{sf_dir}/lineitem.parquet", "line_id")
-    return numbered.select("line_id", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return op.surrogate_key(spark, f"{sf_dir}/lineitem.parquet", "line_id")
 
 
 # -- counts, catalog, seed files -----------------------------------------------------------------

@@ -50,7 +50,8 @@ LINEITEM = TableSpec(
     ("l_orderkey", "l_linenumber"),
     """l_orderkey BIGINT NOT NULL, l_linenumber INT NOT NULL, l_partkey BIGINT NOT NULL,
        l_suppkey BIGINT NOT NULL, l_quantity DECIMAL(10,2) NOT NULL,
-       l_extendedprice DECIMAL(10,2) NOT NULL, l_returnflag VARCHAR(1), l_shipdate TIMESTAMP_NTZ""",
+       l_extendedprice DECIMAL(10,2) NOT NULL, l_discount DECIMAL(10,2), l_tax DECIMAL(10,2),
+       l_returnflag VARCHAR(1), l_linestatus VARCHAR(1), l_shipdate TIMESTAMP_NTZ""",
     checks={"l_quantity": lambda quantity: quantity.between(1, 40)},
     references=(
         Reference(("l_orderkey",), "orders", ("o_orderkey",)),
