@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from conftest import values
 
 from tidemark.sources import files
@@ -97,6 +98,31 @@ def test_published_table_follows_the_commits(spark, table, changes):
     assert spark.table("shelf.k").count() == 10
 
 
+def test_published_table_shows_new_columns_and_keeps_two_versions(spark, table, changes):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shelf")
+    spark.sql(f"CREATE TABLE shelf.grown (x INT) USING parquet LOCATION '{table.path}-before'")  # a table of that name
+    for version in range(1, 5):
+        rows_ = changes([(f"k{i}", str(version), version, i, False) for i in range(8)])
+        table.apply(rows_ if version < 3 else rows_.withColumn("more", F.lit(version)))
+        begun = spark.table("shelf.grown") if version > 1 else None
+        publish(spark, "shelf", "grown", table)
+        if begun is not None:  # a reader of the commit before goes on
+            assert {r["v"] for r in begun.collect()} == {str(version - 1)}
+    assert values(spark.table("shelf.grown"), "id", "v", "more") == [(f"k{i}", "4", 4) for i in range(8)]
+    assert "bucket" not in spark.table("shelf.grown").columns
+    left = {t.name for t in spark.catalog.listTables("shelf") if t.name.startswith("grown_at_")}
+    assert left == {"grown_at_2", "grown_at_3"}
+
+
+@pytest.mark.parametrize("form", ["outer", "split", None])
+def test_every_merge_form_gives_the_same_rows(spark, tmp_path, changes, form):
+    table = StateTable(spark, str(tmp_path / "t"), ["id"], 4, form)
+    table.apply(changes([(f"k{i}", "1", 1, i, False) for i in range(20)]))
+    table.apply(changes([(f"k{i}", "2", 2, i, i % 2 == 0) for i in range(10, 30)]), "upsert_delete")
+    expected = {f"k{i}": "1" for i in range(10)} | {f"k{i}": "2" for i in range(11, 30, 2)}
+    assert rows(table) == sorted(expected.items())
+
+
 def test_publish_text_is_written_once(spark, tmp_path):
     path = str(tmp_path / "x" / "1.json")
     assert files.publish_text(spark, path, "é")

@@ -5,6 +5,7 @@ A query takes the session and the folder of the driver's tables and reads those
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,7 +27,7 @@ from tidemark.sources.csv import load_csv
 from tidemark.sources.message_log import MessageLog
 from tidemark.sources.offset_log import newest_per_topic
 from tidemark.sources.state_table import StateTable
-from tidemark.streaming import latest_rows, start_changes, start_latest
+from tidemark.streaming import apply_micro_batch, latest_rows, start_changes, start_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +194,16 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.decode_changes(samples.lineitem_messages(spark, sf_dir), samples.LINEITEM.columns)
 
 
+@_query("SELECT user_id, count(*) AS changes, TRUE AS stamped, CAST(1 AS BIGINT) AS stamps FROM events GROUP BY user_id")
+def cdc_processed_at(spark, sf_dir):
+    """All changes of one reading have one processing time, that of the reading."""
+    began = datetime.datetime.now()
+    at = F.col("processed_at")
+    fresh = F.bool_and((at >= F.lit(began)) & (at <= F.now())).alias("stamped")
+    changes = _users(spark, sf_dir).groupBy(F.col("user_id").cast("bigint").alias("user_id"))
+    return changes.agg(F.count(F.lit(1)).alias("changes"), fresh, F.count_distinct("processed_at").alias("stamps"))
+
+
 @_query(
     f"""WITH {oracles.LINEITEM_LOG}
 SELECT {_LINE} FROM {oracles.latest('log', 'l_orderkey, l_linenumber')} WHERE NOT is_deleted"""
@@ -516,6 +527,27 @@ def stream_rate_limited(spark, sf_dir):
     return _user_rows(bronze.table(spark, samples.USERS).read())
 
 
+@_query(oracles.two_runs() + _STATE)
+def stream_timed_batches(spark, sf_dir):
+    """The same two parts through one running stream with a timer; what is quiet in between applies nothing."""
+    root = new_folder(spark, "timed")
+    log = MessageLog(files.join(root, "log"))
+    bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
+    messages = samples.event_messages(spark, sf_dir)
+    log.write(messages.where("first_run"))
+    running = start_changes(
+        log.stream(spark, ["events"]), files.join(root, "checkpoint"), bronze, {"events": samples.USERS}, interval="1 second"
+    )
+    try:
+        running.processAllAvailable()
+        log.write(messages.where("NOT first_run"))
+        running.processAllAvailable()
+        apply_micro_batch(messages.limit(0), 10**6, bronze, {"events": samples.USERS})  # an empty batch
+    finally:
+        running.stop()
+    return _user_rows(bronze.table(spark, samples.USERS).read())
+
+
 @_query(_LATEST_LIVE)
 def stream_latest_state(spark, sf_dir):
     """The newer half first, then the older half in a second start: the state knows what is newer."""
@@ -595,57 +627,67 @@ def stream_cdc_fanout(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
-# The shop tables after a load: key, one text and one number of each table.
-_SHOP_COLUMNS = {
-    "customers": ("customer_id", "customer_city", "customer_zip_code_prefix"),
-    "sellers": ("seller_id", "seller_city", "seller_zip_code_prefix"),
-    "products": ("product_id", "product_category_name", "product_weight_g"),
-    "orders": ("order_id", "order_status", "customer_id"),
-    "order_items": ("order_id || ':' || order_item_id", "seller_id", "price"),
-    "order_payments": ("order_id || ':' || payment_sequential", "payment_type", "payment_value"),
-    "order_reviews": ("review_id", "md5(review_comment_message)", "review_score"),
-    "geolocation": ("geolocation_id", "geolocation_city", "geolocation_lat"),
-    "product_category_name_translation": (
-        "product_category_name",
-        "product_category_name_english",
-        "length(product_category_name)",
-    ),
-}
-
+# The nine shop tables after a load, every column; a row is NULL in the columns of other tables.
 _SHOP_SQL = """
 WITH newest_lines AS (
   SELECT * FROM lineitem QUALIFY row_number() OVER (
-    PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1),
-shop AS (
-  SELECT 'customers' AS table_name, CAST(c_custkey AS VARCHAR) AS key, c_mktsegment AS label,
-         CAST(c_nationkey AS DOUBLE) AS amount FROM customer
-  UNION ALL SELECT 'sellers', CAST(s_suppkey AS VARCHAR), s_name, s_nationkey FROM supplier
-  UNION ALL SELECT 'products', CAST(p_partkey AS VARCHAR), p_type, p_retailprice FROM part
-  UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR), o_orderstatus, o_custkey FROM orders
-  UNION ALL SELECT 'order_items', l_orderkey || ':' || l_linenumber, CAST(l_suppkey AS VARCHAR),
-                   l_extendedprice FROM newest_lines
-  UNION ALL SELECT 'order_payments', o_orderkey || ':1', o_orderpriority, o_totalprice FROM orders
-  UNION ALL SELECT 'order_reviews', CAST(doc_id AS VARCHAR), md5(text), 1 + n_chars % 5 FROM documents
-  UNION ALL SELECT 'geolocation', CAST(event_id AS VARCHAR), event_type,
-                   CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) FROM events
-  UNION ALL SELECT 'product_category_name_translation', r_name, lower(r_name), length(r_name)
-            FROM region)
-SELECT table_name, key, label, amount FROM shop"""
+    PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC) = 1)
+SELECT 'customers' AS table_name, CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+       lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix, c_mktsegment AS customer_city,
+       lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS customer_state FROM customer
+UNION ALL BY NAME
+SELECT 'sellers' AS table_name, CAST(s_suppkey AS VARCHAR) AS seller_id,
+       lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix, s_name AS seller_city,
+       lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS seller_state FROM supplier
+UNION ALL BY NAME
+SELECT 'products' AS table_name, CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category_name,
+       CAST(length(p_name) AS DOUBLE) AS product_name_lenght, CAST(length(p_brand) AS DOUBLE) AS product_description_lenght,
+       CAST(p_size AS DOUBLE) AS product_photos_qty, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS product_weight_g,
+       CAST(p_size AS DOUBLE) AS product_length_cm, CAST(p_size + 1 AS DOUBLE) AS product_height_cm,
+       CAST(p_size + 2 AS DOUBLE) AS product_width_cm FROM part
+UNION ALL BY NAME
+SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+       o_orderstatus AS order_status, CAST(o_orderdate AS VARCHAR) AS order_purchase_timestamp,
+       CAST(o_orderdate + INTERVAL 1 HOUR AS VARCHAR) AS order_approved_at,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate + INTERVAL 2 DAY AS VARCHAR) END AS order_delivered_carrier_date,
+       CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate + INTERVAL 9 DAY AS VARCHAR) END AS order_delivered_customer_date,
+       CAST(o_orderdate + INTERVAL 14 DAY AS VARCHAR) AS order_estimated_delivery_date FROM orders
+UNION ALL BY NAME
+SELECT 'order_items' AS table_name, CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+       CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+       CAST(l_shipdate AS VARCHAR) AS shipping_limit_date,
+       CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price,
+       CAST(CAST(l_quantity AS DECIMAL(10,2)) AS DOUBLE) AS freight_value FROM newest_lines
+UNION ALL BY NAME
+SELECT 'order_payments' AS table_name, CAST(o_orderkey AS VARCHAR) AS order_id, CAST(1 AS BIGINT) AS payment_sequential,
+       o_orderpriority AS payment_type, CAST(1 AS BIGINT) AS payment_installments,
+       CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS payment_value FROM orders
+UNION ALL BY NAME
+SELECT 'order_reviews' AS table_name, CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id AS VARCHAR) AS order_id,
+       CAST(1 + n_chars % 5 AS INTEGER) AS review_score, source AS review_comment_title,
+       md5(text) AS review_comment_message, '2020-01-01 00:00:00' AS review_creation_date,
+       CAST(NULL AS VARCHAR) AS review_answer_timestamp FROM documents
+UNION ALL BY NAME
+SELECT 'geolocation' AS table_name, CAST(event_id AS INTEGER) AS geolocation_id,
+       lpad(CAST(user_id AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS geolocation_lat, CAST(user_id AS DOUBLE) AS geolocation_lng,
+       event_type AS geolocation_city, CAST(NULL AS VARCHAR) AS geolocation_state FROM events
+UNION ALL BY NAME
+SELECT 'product_category_name_translation' AS table_name, r_name AS product_category_name,
+       lower(r_name) AS product_category_name_english FROM region"""
 
 
 def _shop_state(spark, bronze: Bronze) -> DataFrame:
+    """Times as text; of the long review texts their digest."""
     loaded = []
-    for name, (key, label, amount) in _SHOP_COLUMNS.items():
-        rows = silver(bronze.table(spark, TABLES[name]).read(), TABLES[name])
-        loaded.append(
-            rows.selectExpr(
-                f"'{name}' AS table_name",
-                f"CAST({key} AS STRING) AS key",
-                f"{label} AS label",
-                f"CAST({amount} AS DOUBLE) AS amount",
-            )
-        )
-    return reduce(DataFrame.unionByName, loaded)
+    for name, spec in TABLES.items():
+        rows = _whole_rows(bronze.table(spark, spec).read(), spec)
+        times = [f.name for f in spec.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+        rows = rows.withColumns({c: F.col(c).cast("string") for c in times})
+        if name == "order_reviews":
+            rows = rows.withColumn("review_comment_message", F.md5("review_comment_message"))
+        loaded.append(rows.select(F.lit(name).alias("table_name"), "*"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), loaded)
 
 
 @_query(_SHOP_SQL)
@@ -1008,7 +1050,7 @@ def table_counts(spark, sf_dir):
     return op.table_counts({t: samples.table(spark, sf_dir, t) for t in _TABLE_NAMES})
 
 
-@_query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders")
+@_query("SELECT * FROM orders")
 def catalog_roundtrip(spark, sf_dir):
     """Land a table, register it twice (create, then refresh) and read it by name."""
     path = new_folder(spark, "orders")
@@ -1016,9 +1058,19 @@ def catalog_roundtrip(spark, sf_dir):
     spark.sql("DROP TABLE IF EXISTS bronze.landed_orders")
     for _ in range(2):
         register(spark, "bronze", "landed_orders", path)
-    return spark.sql(
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM bronze.landed_orders"
-    )
+    return spark.table("bronze.landed_orders")
+
+
+@_query("SELECT * FROM orders")
+def catalog_new_columns(spark, sf_dir):
+    """A table registered with some of its columns shows the others once they are written."""
+    path = new_folder(spark, "orders")
+    orders = samples.table(spark, sf_dir, "orders")
+    spark.sql("DROP TABLE IF EXISTS bronze.grown_orders")
+    for rows in (orders.select("o_orderkey", "o_custkey"), orders):
+        rows.write.mode("overwrite").parquet(path)
+        register(spark, "bronze", "grown_orders", path)
+    return spark.table("bronze.grown_orders")
 
 
 @_query(oracles.two_runs() + _STATE)
@@ -1026,8 +1078,6 @@ def catalog_state_table(spark, sf_dir):
     """Publish a state table after each of two commits and read it by name."""
     first, second = _runs(spark, sf_dir)
     state = StateTable(spark, new_folder(spark, "users"), samples.USERS.keys)
-    spark.sql("CREATE DATABASE IF NOT EXISTS bronze")
-    spark.sql("DROP TABLE IF EXISTS bronze.users_now")
     for changes in (first, second):
         state.apply(changes, "upsert_delete")
         publish(spark, "bronze", "users_now", state)

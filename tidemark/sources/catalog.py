@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tidemark.sources import files
-from tidemark.sources.state_table import StateTable
+from tidemark.sources.state_table import BUCKET, StateTable
 
 
 def _quoted(*names: str) -> str:
@@ -15,51 +15,50 @@ def _quoted(*names: str) -> str:
 def register(
     spark: SparkSession, database: str, table: str, path: str, provider: str = "parquet"
 ) -> None:
-    """An external table over ``path``; one that is already there is refreshed, or moved to ``path``."""
+    """An external table over ``path``.
+
+    One that is already there is refreshed; if ``path`` or the columns written there are others by
+    now, it is declared again.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
     name = _quoted(database, table)
     if spark.catalog.tableExists(name):
         described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
         if files.same(spark, described["data_type"], path):
             spark.sql(f"REFRESH TABLE {name}")
-            return
+            declared = {(f.name.lower(), f.dataType) for f in spark.table(name).schema}
+            if declared == {(f.name.lower(), f.dataType) for f in spark.read.format(provider).load(path).schema}:
+                return
         spark.sql(f"DROP TABLE {name}")  # external: the files stay
     spark.sql(f"CREATE TABLE {name} USING {provider} LOCATION '{path}'")
 
 
-_PUBLISHED = "tidemark.snapshot"
-
-
 def publish(spark: SparkSession, database: str, table: str, state: StateTable) -> None:
-    """Point an external table, partitioned by bucket, at a state table's newest snapshot.
+    """Show a state table's newest snapshot as the view ``table``.
 
-    The files stay where they are; only the locations of changed buckets move, one after the
-    other, so a reader never misses a bucket but may see two commits side by side.
+    Each snapshot gets an external table of its own over the files as they lie, with all buckets
+    named in one statement; the view then moves to it at once, with whatever columns it has. So a
+    reader sees one commit, the old one or the new one. The table of the commit before stays for
+    readers that have begun; older ones are dropped, without their files.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
-    name = _quoted(database, table)
     snapshot = state.snapshot()
-    now, before = state.locations(), {}
-    if spark.catalog.tableExists(name):
-        properties = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-        before = state.locations(int(properties[_PUBLISHED]))
-        known = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    else:
-        known = set()
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema)
-        anchor = files.join(state.path, "published")
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}, bucket INT) USING parquet "
-            f"PARTITIONED BY (bucket) LOCATION '{anchor}'"
-        )
-    added = " ".join(f"PARTITION (bucket={b}) LOCATION '{p}'" for b, p in now.items() if b not in known)
-    if added:
-        spark.sql(f"ALTER TABLE {name} ADD {added}")
-    for bucket, path in now.items():
-        if bucket in known and before.get(bucket) != path:
-            spark.sql(f"ALTER TABLE {name} PARTITION (bucket={bucket}) SET LOCATION '{path}'")
-    emptied = ", ".join(f"PARTITION (bucket={b})" for b in known if b not in now)
-    if emptied:
-        spark.sql(f"ALTER TABLE {name} DROP {emptied}")
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PUBLISHED}' = '{snapshot.number}')")
-    spark.sql(f"REFRESH TABLE {name}")
+    name, prefix = _quoted(database, table), f"{table}_at_"
+    version = _quoted(database, f"{prefix}{snapshot.number}")
+    spark.sql(f"DROP TABLE IF EXISTS {version}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema)
+    spark.sql(
+        f"CREATE TABLE {version} ({columns}, `{BUCKET}` INT) USING parquet "
+        f"PARTITIONED BY (`{BUCKET}`) LOCATION '{files.join(state.path, 'published')}'"
+    )
+    places = " ".join(f"PARTITION (`{BUCKET}`={b}) LOCATION '{p}'" for b, p in state.locations(snapshot.number).items())
+    if places:
+        spark.sql(f"ALTER TABLE {version} ADD {places}")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # external, by its own name
+    listed = ", ".join(f"`{c}`" for c in snapshot.schema.names)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {version}")
+    shown = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {_quoted(database)} LIKE '{prefix}*'").collect()]
+    numbers = sorted(int(n[len(prefix) :]) for n in shown if n[len(prefix) :].isdigit())
+    for number in numbers[: max(0, numbers.index(snapshot.number) - 1)]:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(database, f'{prefix}{number}')}")

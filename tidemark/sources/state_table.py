@@ -20,7 +20,7 @@ from tidemark.operators.merge import merge
 from tidemark.session import new_folder
 from tidemark.sources import files
 
-_BUCKET = "bucket"
+BUCKET = "bucket"
 
 
 class CommitConflict(RuntimeError):
@@ -49,15 +49,25 @@ class StateTable:
     ``buckets`` counts when the table is created, and stays: about table size divided by the
     amount that a merge may rewrite per touched key, at most a few ten thousand. By default it
     is the session's shuffle width.
+
+    ``form`` is the merge's. By default it is ``split`` for changes that Catalyst may broadcast, so
+    that no row of the table is shuffled, and ``outer`` for larger ones, so that each side is
+    shuffled once; the rows are the same.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        buckets: int | None = None,
+        form: str | None = None,
     ):
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.buckets = buckets
+        self.form = form
 
     # -- reading -------------------------------------------------------------------------
 
@@ -164,7 +174,8 @@ class StateTable:
             in_bucket = bucket_of(self.keys, buckets)
             touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
             target = self._read(current, touched, _widened(current.schema, changes.schema))
-            merged = merge(target, staged, self.keys, mode, guard_deletes, form="split")
+            form = self.form or ("split" if self._broadcasts(staged_at) else "outer")
+            merged = merge(target, staged, self.keys, mode, guard_deletes, form)
             self._commit(merged, buckets, touched, current, batch)
         finally:
             files.delete(self.spark, staged_at)
@@ -196,12 +207,12 @@ class StateTable:
         folder = f"{number:09d}-{uuid.uuid4().hex}"
         target = files.join(self.path, "data", folder)
         # A bucket's rows meet in one task, so a small bucket is one file; a large one is split.
-        placed = rows.withColumn(_BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", F.col(_BUCKET))
-        placed.write.partitionBy(_BUCKET).parquet(target)
+        placed = rows.withColumn(BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", F.col(BUCKET))
+        placed.write.partitionBy(BUCKET).parquet(target)
         written = {
             int(name.split("=")[1])
             for name in files.names(self.spark, target)
-            if name.startswith(f"{_BUCKET}=")
+            if name.startswith(f"{BUCKET}=")
         }
         kept = current.folders if current else {}
         content = {
@@ -219,6 +230,10 @@ class StateTable:
         if not files.publish_text(self.spark, path, json.dumps(content)):
             raise CommitConflict(f"snapshot {number} of {self.path} already exists")
 
+    def _broadcasts(self, path: str) -> bool:
+        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return files.size(self.spark, path) <= limit
+
     def _shuffle_width(self) -> int:
         return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -227,4 +242,4 @@ class StateTable:
         return files.join(self.path, "snapshots")
 
     def _folder(self, commit: str, bucket: int) -> str:
-        return files.join(self.path, "data", commit, f"{_BUCKET}={bucket}")
+        return files.join(self.path, "data", commit, f"{BUCKET}={bucket}")
