@@ -47,11 +47,53 @@ def test_kernel_equals_its_definition(corpus):
         assert (rows == k).sum() == len(expected)
 
 
+def explicit(texts, names, chosen, ridge, asked):
+    """Nyström ridge regression straight from its definition, on sets of n-grams."""
+    languages = sorted(set(names))
+    grams = lambda t: {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+    pure = lambda ts: [{g for g in grams(t.translate(L._FOLD)) if 0 not in g} for t in ts]
+    kernel = lambda a, b: np.array([[len(x & y) / np.sqrt(max(len(x), 1) * max(len(y), 1)) for y in b] for x in a])
+    marks = pure([texts[i] for i in chosen])
+    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    keep = values > 1e-6 * values.max()
+    root = vectors[:, keep] / np.sqrt(values[keep])
+    phi = lambda ts: np.hstack([kernel(pure(ts), marks) @ root, np.ones((len(ts), 1))])
+    y = np.array([[1.0 if x == n else -1.0 for n in languages] for x in names])
+    x = phi(texts)
+    w = np.linalg.solve(x.T @ x + ridge * np.eye(x.shape[1]), x.T @ y)
+    raw = phi(asked) @ w
+    odds = np.exp(L._SLOPE * (raw - raw.max(1, keepdims=True)))
+    return [languages[k] for k in raw.argmax(1)], (odds / odds.sum(1, keepdims=True)).max(1)
+
+
 def test_scores_equal_the_explicit_kernel(corpus):
     texts, names = [t.encode() for _, t, _ in corpus[:60]], [x for _, _, x in corpus[:60]]
-    model = L.fit_kernel(texts, names, landmarks=9, ridge=0.1)
-    labels, scores = L.predict(model, texts)
-    assert labels == names and ((0 <= scores) & (scores <= 1)).all()
+    asked = [t.encode() for _, t, _ in corpus[60:120]] + [b"eau ka zu", b"q", texts[0] * 30]
+    chosen = [j for n in sorted(set(names)) for j in [i for i, x in enumerate(names) if x == n][:3]]
+    expected, odds = explicit(texts, names, chosen, 0.1, asked)
+    labels, scores = L.predict(L.fit_kernel(texts, names, landmarks=9, ridge=0.1), asked)
+    assert labels == expected and np.allclose(scores, odds, atol=1e-4)
+
+
+def test_spread_fit_equals_the_fit_in_one_place(spark, corpus):
+    docs = frame(spark, corpus + corpus[:50] + [(5, "zzz of the same id", corpus[5][2])])
+    model = L.fit_language_model(docs, per_language=20, landmarks=12)
+    names, sample = L.training_sample(docs, 20)
+    rows = sorted(tuple(r) for r in sample.select("lang", "rank", "text").collect())
+    assert [rank for _, rank, _ in rows] == list(range(1, 21)) * 3 and names == ("aa", "bb", "cc")
+    texts = dict((t, None) for _, t, _ in corpus)
+    assert all(t in texts for _, _, t in rows)
+    whole = L.fit_kernel([t.encode() for _, _, t in rows], [x for x, _, _ in rows], 12, 0.1)
+    assert np.array_equal(model.codes, whole.codes) and np.allclose(model.weights, whole.weights, atol=1e-5)
+    again = L.fit_language_model(docs.repartition(5), per_language=20, landmarks=12)
+    assert np.array_equal(model.weights, again.weights)
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 2)
+    rows = [(i, f"text {i}", f"l{i % 3}") for i in range(30)]
+    with pytest.raises(ValueError, match="languages"):
+        L.fit_language_model(frame(spark, rows))
 
 
 def test_odd_texts_and_missing_labels(spark, documents, odd_rows, corpus):

@@ -69,14 +69,19 @@ def fan_join(rows: DataFrame, keyed: DataFrame, keys: list[str], spread: Column,
     return marked.join(fanned, [*keys, "_part"]).drop("_part")
 
 
-def hash_below(value: Column, wanted: int, total: int) -> Column:
-    """Whether a 64-bit hash is among the smallest of ``total`` ones, so that at least ``wanted`` are.
+def hash_limit(wanted: int, total: int) -> int:
+    """The 64-bit hash up to which at least ``wanted`` of ``total`` hashes lie.
 
-    A few more than ``wanted`` pass, whatever ``total`` is, and fewer with a chance below 10^-9; whoever
+    A few more than ``wanted`` do, whatever ``total`` is, and fewer with a chance below 10^-9; whoever
     wants exactly the ``wanted`` smallest ranks those that pass.
     """
     share = (wanted + 6 * math.sqrt(wanted) + 40) / max(total, 1)
-    return value <= F.lit(min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))
+    return min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63))
+
+
+def hash_below(value: Column, wanted: int, total: int) -> Column:
+    """Whether a hash is among the smallest of ``total`` ones, as ``hash_limit`` says."""
+    return value <= F.lit(hash_limit(wanted, total))
 
 
 def ascii_lower(text: Column) -> Column:
