@@ -3,6 +3,7 @@ import math
 import random
 import re
 import textwrap
+import time
 
 import pytest
 
@@ -167,6 +168,19 @@ def test_secrets_match_brute_force(documents, odd_rows):
     assert S.secret_digest(documents([])).collect() == []
 
 
+def test_secrets_of_very_long_texts(documents):
+    """Many matches, and one candidate as long as the text, take a time that follows the length."""
+    draw = random.Random(18)
+    key = lambda alphabet, n: "".join(draw.choices(alphabet, k=n))
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    many = " ".join(f"token={key(base64, 12)} {key('0123456789abcdef', 16)}" for _ in range(16_000))
+    rows = [(1, many), (2, key(base64, 200_000)), (3, " ".join(f"é token={key(base64, k % 20)}" for k in range(256 * 3)))]
+    began = time.monotonic()
+    found = S.secret_digest(documents(rows)).collect()
+    assert time.monotonic() - began < 60
+    assert sorted((r["doc_id"], tuple(r)[1:]) for r in found) == [(i, secret_brute(t)) for i, t in rows]
+
+
 def test_secrets_beside_labels_paths_and_allowed_words(documents):
     draw = random.Random(16)
     key = lambda alphabet, n: "".join(draw.choices(alphabet, k=n))

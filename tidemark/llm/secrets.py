@@ -23,6 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 WINDOW = 20
+#: Matches that are placed one after the other.
+BLOCK = 256
 
 #: The base patterns. The hex and access patterns match greedily, so that the least
 #: length can stand in the pattern; an assignment's least length is tested after the match.
@@ -52,30 +54,50 @@ def _none() -> Column:
     return F.array().cast(_SPAN)
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _placed(sizes: Column, at: Column, kind: int) -> Column:
+    """Spans of a few parts (gap, match, valid) that follow each other from ``at``; the invalid ones are left out."""
+
+    def step(state: Column, part: Column) -> Column:
+        begin = state["at"] + part["gap"]
+        end = begin + part["match"]
+        span = F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("stop"))).cast(_SPAN)
+        return F.struct(end.alias("at"), F.when(part["valid"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+
+    return F.aggregate(sizes, F.struct(at.alias("at"), _none().alias("spans")), step, lambda state: state["spans"])
+
+
 def pattern_spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
-    """Array of (start, kind, stop) of the pattern's leftmost matches; ``keep`` tests a match's text."""
+    """Array of (start, kind, stop) of the pattern's leftmost matches; ``keep`` tests a match's text.
+
+    The matches are placed block by block, from running sums of the blocks' lengths, so that no array
+    longer than a block or than the number of blocks is built up piece by piece.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    both = F.zip_with(gaps, found, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
 
-    def step(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.length(part["gap"])
-        end = begin + F.coalesce(F.length(part["match"]), F.lit(0))
-        span = F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("stop"))).cast(_SPAN)
-        valid = part["match"].isNotNull()
+    def size(gap: Column, match: Column) -> Column:
+        valid = match.isNotNull()
         if keep is not None:
-            valid = valid & keep(part["match"])
-        return F.struct(end.alias("at"), F.when(valid, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+            valid = valid & keep(match)
+        return F.struct(F.length(gap).alias("gap"), F.coalesce(F.length(match), F.lit(0)).alias("match"), valid.alias("valid"))
+
+    def place(sizes: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(1), F.size(sizes), F.lit(BLOCK)), lambda first: F.slice(sizes, first, F.lit(BLOCK)))
+        length = lambda block: F.aggregate(block, F.lit(0), lambda n, part: n + part["gap"] + part["match"])
+        follow = lambda ends, block: F.concat(ends, F.array(F.element_at(ends, -1) + length(block)))
+        starts = lambda cut: F.slice(F.aggregate(cut, F.array(F.lit(0)), follow), F.lit(1), F.size(cut))
+        return F.flatten(_let(blocks, lambda cut: F.zip_with(cut, starts(cut), lambda block, at: _placed(block, at, kind))))
 
-    spans = F.aggregate(both, start, step, lambda state: state["spans"])
-    return F.when(text.rlike(pattern), spans).otherwise(_none())
+    return F.when(text.rlike(pattern), _let(F.zip_with(gaps, found, size), place)).otherwise(_none())
 
 
-def _gain(count: Column) -> Column:
-    """What S grows by when a count becomes ``count``."""
-    term = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(0.0)
-    return term(count) - term(count - 1)
+#: What S grows by when a count becomes 1, 2, ..., WINDOW.
+_GAINS = [c * math.log2(c) - (c - 1) * math.log2(max(c - 1, 1)) for c in range(1, WINDOW + 1)]
 
 
 def _least(window: Column) -> Column:
@@ -96,22 +118,33 @@ def entropy_windows(candidate: Column) -> Column:
         F.lit(0).alias("at"), F.lit(0.0).alias("s"), F.lit("").alias("window"),
         F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"),
     )
+    gains = F.array(*map(F.lit, _GAINS))
     count = lambda window, c: F.length(window) - F.length(F.replace(window, c, F.lit("")))
+    gain = lambda window, c: F.element_at(gains, count(window, c))
+    lowest = min(b for _, _, b in CLASSES)
 
     def step(state: Column, c: Column) -> Column:
         full = state["at"] >= WINDOW
-        leaving = F.substring(state["window"], 1, 1)
-        lowered = F.when(full, _gain(count(state["window"], leaving))).otherwise(0.0)
-        rest = F.when(full, F.substring(state["window"], 2, WINDOW)).otherwise(state["window"])
-        s = state["s"] - lowered + _gain(count(rest, c) + 1)
-        at = state["at"] + 1
-        bits = math.log2(WINDOW) - s / WINDOW
-        hit = (at >= WINDOW) & (bits >= min(b for _, _, b in CLASSES)) & (bits >= _least(F.concat(rest, c)))
-        return F.struct(
-            at.alias("at"), s.alias("s"), F.concat(rest, c).alias("window"),
-            F.when(hit & state["first"].isNull(), at - WINDOW).otherwise(state["first"]).alias("first"),
-            F.when(hit, at - WINDOW).otherwise(state["last"]).alias("last"),
-        )
+        window = F.concat(F.when(full, F.substring(state["window"], 2, WINDOW)).otherwise(state["window"]), c)
+        lowered = F.when(full, gain(state["window"], F.substring(state["window"], 1, 1))).otherwise(0.0)
+
+        def judge(x: Column) -> Column:
+            moved = F.struct((state["s"] - lowered + gain(x, c)).alias("s"), x.alias("window"))
+            return _let(moved, lambda m: _let(hit(m), lambda h: result(m, h)))
+
+        def hit(m: Column) -> Column:
+            bits = math.log2(WINDOW) - m["s"] / WINDOW
+            return (state["at"] >= WINDOW - 1) & (bits >= lowest) & (bits >= _least(m["window"]))
+
+        def result(m: Column, h: Column) -> Column:
+            place = state["at"] + 1 - WINDOW
+            return F.struct(
+                (state["at"] + 1).alias("at"), m["s"].alias("s"), m["window"].alias("window"),
+                F.when(h & state["first"].isNull(), place).otherwise(state["first"]).alias("first"),
+                F.when(h, place).otherwise(state["last"]).alias("last"),
+            )
+
+        return _let(window, judge)
 
     return F.aggregate(chars, start, step, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last")))
 
@@ -130,11 +163,10 @@ def entropy_spans(text: Column) -> Column:
     def spans(clear: Column) -> Column:
         def stretch(place: Column) -> Column:
             candidate = F.substring(clear, place["start"] + 1, place["stop"] - place["start"])
-            window = entropy_windows(candidate)
-            return F.struct(
+            return _let(entropy_windows(candidate), lambda window: F.struct(
                 (place["start"] + window["first"]).alias("start"), F.lit(kind).alias("kind"),
                 (place["start"] + window["last"] + WINDOW).alias("stop"),
-            )
+            ))
 
         return F.filter(F.transform(pattern_spans(clear, CANDIDATE, kind), stretch), lambda s: s["start"].isNotNull()).cast(_SPAN)
 
