@@ -172,3 +172,27 @@ def test_quality_of_odd_texts(documents, odd_rows):
 
 def test_numerals_are_no_letters():
     assert [L.has_letter(t.encode()) for t in ("", "12 ²½①_", "² é", "語", "\U0001f600")] == [False, False, True, True, False]
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """Cells smaller than the labels: moments and threshold are those of all rows, and copies cost no row its pairs."""
+    draw = random.Random(6)
+    rows = [(i, sentence(draw, 30) + "!!" * draw.randint(0, 9), int(i % 9 > 0)) for i in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id BIGINT, quality INT")
+    kept = [(Q.features(t), q) for i, t, q in rows if zlib.crc32(str(i).encode()) % 5]
+    x, q = np.array([f for f, _ in kept]), np.array([q for _, q in kept])
+    for per_label in (50, 4000):
+        model = Q.fit_quality_model(docs, labels, per_label)
+        assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, np.maximum(x.std(0), 1e-6))
+        assert np.isclose(model.threshold, Q.quantile(model.rank(x), np.ones(len(q)), (q == 0).mean()))
+    whole = Q.fit_pairs(x[q == 1], x[q == 0])  # one cell: the model of the rows in memory
+    assert np.allclose(model.weights, whole.weights, atol=1e-6) and np.isclose(model.threshold, whole.threshold)
+
+
+def test_values_at_a_place(spark):
+    values = [3.0, -1.5, 2.0, 2.0, 2.0, 1e300, 0.0, 5e-324]
+    frame = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    ordered = sorted(values)
+    for k in range(len(values) - 1):
+        assert Q._smallest(frame, "v", k, bins=3) == (ordered[k], ordered[k + 1])
