@@ -87,3 +87,16 @@ def test_surrogate_key_follows_the_load_order(spark, tmp_path):
     assert len(files) == 6
     # Only the per-file counts move.
     assert "SortMergeJoin" not in physical_plan(numbered)
+
+
+def test_no_file_of_a_numbered_table_meets_in_one_task(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 300, 1, 3).write.parquet(path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the table were large
+    try:
+        numbered = surrogate_key(spark, path, "key")
+        assert "SortMergeJoin" not in physical_plan(numbered) and "BroadcastHashJoin" in physical_plan(numbered)
+        assert sorted(r.key for r in numbered.collect()) == list(range(1, 301))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
