@@ -117,3 +117,11 @@ def test_silver_wants_what_the_source_wants(spark, messages):
     assert [(r.id, r.name, r.n) for r in silver(bronze, spec).collect()] == [(1, "a", None)]
     rejects = {r.kafka_offset: r.cast_failures for r in silver_rejects(bronze, spec).collect()}
     assert rejects == {0: ["id", "name"], 2: ["name", "n"]}
+
+
+def test_line_item_log_is_compressed_well(spark):
+    """The log is most of what the two-run merge writes."""
+    from tidemark.plans import samples
+
+    log = samples.lineitem_messages(spark, "/root/testdata/sf0.001")
+    assert all(f.endswith(".zstd.parquet") for f in log.inputFiles())

@@ -85,7 +85,7 @@ def _topic(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _WRITTEN or not files.exists(spark, _WRITTEN[key]):
         folder = new_folder(spark, f"topic-{name}")
-        build().write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(folder)
+        build().write.option("parquet.block.size", ROW_GROUP_BYTES).option("compression", "zstd").parquet(folder)
         _WRITTEN[key] = folder
     return spark.read.parquet(_WRITTEN[key])
 
