@@ -1,11 +1,11 @@
 import pytest
-from conftest import envelope, values
+from conftest import envelope, physical_plan, values
 from pyspark.errors import StreamingQueryException
 
 from tidemark.model import TableSpec
 from tidemark.plans.jobs import Bronze, run_full
 from tidemark.sources.message_log import MessageLog
-from tidemark.streaming import apply_micro_batch, start_changes
+from tidemark.streaming import apply_micro_batch, fanout, start_changes
 
 DDL = "id STRING NOT NULL, v STRING"
 TABLES = {name: TableSpec(name, ("id",), DDL) for name in ("left", "right")}
@@ -80,3 +80,19 @@ def test_empty_batch(spark, tmp_path, messages):
     bronze = Bronze(str(tmp_path / "s"))
     apply_micro_batch(messages([]), 0, bronze, TABLES)
     assert not bronze.table(spark, TABLES["left"]).exists()
+
+
+@pytest.mark.parametrize("stage", [True, False])
+def test_a_micro_batch_is_read_topic_by_topic_and_not_kept_in_memory(spark, tmp_path, messages, monkeypatch, stage):
+    log, plans = log_of(messages, str(tmp_path / "log")), []
+    apply = fanout.apply_messages
+    monkeypatch.setattr(fanout, "apply_messages", lambda s, m, *rest: (plans.append((physical_plan(m), m.inputFiles())), apply(s, m, *rest)))
+    bronze, loaded = Bronze(str(tmp_path / "s"), mode="upsert_delete"), Bronze(str(tmp_path / "b"), mode="upsert_delete")
+    batch = spark.read.schema("topic STRING, partition INT, offset BIGINT, value STRING").parquet(log.path)
+    apply_micro_batch(batch, 0, bronze, TABLES, stage=stage)
+    assert len(plans) == 2 and all("InMemoryTableScan" not in p and "FileScan" in p for p, _ in plans)
+    assert all(("/batch-" in f) == stage for _, files in plans for f in files)
+    for spec in TABLES.values():
+        run_full(spark, spec, log, loaded)
+    for name in TABLES:
+        assert state(spark, bronze, name) == state(spark, loaded, name)

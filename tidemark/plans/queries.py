@@ -709,7 +709,7 @@ def shop_stream(spark, sf_dir):
     log = samples.shop_log(spark, sf_dir)
     bronze = Bronze(files.join(root, "bronze"), mode="upsert_delete")
     start_changes(
-        log.stream(spark, list(TABLES)), files.join(root, "checkpoint"), bronze, TABLES, interval=None
+        log.stream(spark, list(TABLES)), files.join(root, "checkpoint"), bronze, TABLES, interval=None, stage=False
     ).awaitTermination()
     return _shop_state(spark, bronze)
 
