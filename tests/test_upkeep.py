@@ -128,3 +128,30 @@ def test_dead_letters_of_two_runs_and_a_repeated_batch(spark, messages, tmp_path
     # Both outputs read the staged slice; the payload is decoded before, once.
     assert len(plans) == 4 and not any("from_json" in p or "JsonToStructs" in p for p in plans)
     assert sorted(p.name for p in (tmp_path / "dead" / "table=accounts").glob("slice=s-*")) == ["slice=s-0", "slice=s-1"]
+
+
+def test_gold_decodes_each_run_once(spark, monkeypatch):
+    from conftest import physical_plan
+    from tidemark.plans import queries
+
+    plans, images = [], queries.images
+    monkeypatch.setattr(queries, "images", lambda old, changes, *rest: (plans.append(physical_plan(changes)), images(old, changes, *rest))[1])
+    assert queries.gold_incremental(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(plans) == 2 and all("from_json" not in p and "FileScan" in p for p in plans)
+
+
+def test_changes_staged_by_the_caller_are_not_staged_again(spark, changes, tmp_path):
+    from tidemark.sources import state_table
+
+    table = state_table.StateTable(spark, str(tmp_path / "t"), ["id"], 2)
+    table.apply(changes([("a", "1", 1, 1, False), ("b", "1", 1, 2, False)]), "upsert_delete")
+    path = str(tmp_path / "staged")
+    changes([("a", "2", 2, 3, False), ("b", None, 2, 4, True)]).write.parquet(path)
+    asked = []
+    original, state_table.new_folder = state_table.new_folder, lambda *a: asked.append(a) or original(*a)
+    try:
+        assert table.apply(spark.read.parquet(path), "upsert_delete", staged_at=path)
+    finally:
+        state_table.new_folder = original
+    assert not asked and spark.read.parquet(path).count() == 2
+    assert [(r["id"], r["v"]) for r in table.read().collect()] == [("a", "2")]

@@ -103,5 +103,5 @@ def window_totals(kept: DataFrame, by: Sequence[str] = (), width: str = "1 day")
 
 def images(state: DataFrame, changes: DataFrame, merged: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows of ``state``, rows of ``merged``) of the keys that ``changes`` names: the images before and after."""
-    named = changes.select(*keys).distinct()
+    named = changes.select(*keys)
     return tuple(side.join(named, list(keys), "left_semi") for side in (state, merged))

@@ -1245,6 +1245,11 @@ def gold_daily(spark, sf_dir):
 _THIRTY_DAYS = "time_bucket(INTERVAL '30 days', l_shipdate, TIMESTAMP '1970-01-01')"
 
 
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @_query(
     f"""WITH {oracles.LINEITEM_LOG},
 first_changes AS {oracles.latest('log', 'l_orderkey, l_linenumber', "l_shipdate < DATE '1999-01-01'")},
@@ -1266,12 +1271,16 @@ def gold_incremental(spark, sf_dir):
     early = F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz")
     for number, part in enumerate((early, ~early)):
         changes = op.latest_per_key(op.decode_changes(messages.where(part), spec.columns), spec.keys)
+        # The table, both images and the totals all need them: decoded once.
+        staged_at = files.join(root, f"changes-{number}")
+        changes = _staged(changes, staged_at)
         before = table.read() if table.exists() else None
-        table.apply(changes, "upsert_delete")
+        table.apply(changes, "upsert_delete", staged_at=staged_at)
         after = table.read()
         before = after.limit(0) if before is None else before
         old, new = (silver(rows, spec) for rows in images(before, changes, after, spec.keys))
         sums = window_changes(old, new, "l_shipdate", "l_extendedprice", by, width)
+        sums = _staged(sums, files.join(root, f"sums-{number}"))
         for _ in range(number + 1):
             maintain_windows(spark, gold, sums, number, by)
     kept = window_totals(spark.read.parquet(gold), by, width)

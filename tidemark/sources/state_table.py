@@ -152,11 +152,13 @@ class StateTable:
         mode: str = "upsert",
         guard_deletes: bool = False,
         batch: tuple[str, int] | None = None,
+        staged_at: str | None = None,
     ) -> bool:
         """Merge the latest change of each key (rows carry ``is_deleted``), or create the table.
 
         ``batch`` is (stream, micro-batch number): a micro-batch that was already committed
-        is not applied again. Returns whether anything was applied.
+        is not applied again. ``staged_at`` names the Parquet folder that ``changes`` were read from, if
+        the caller has staged them; it stays. Returns whether anything was applied.
         """
         current = self.snapshot()
         if current is None:
@@ -166,19 +168,21 @@ class StateTable:
             return False
         # The merge needs the changes several times. A written table survives the loss of an
         # executor, and its size lets Catalyst choose the join.
-        staged_at = new_folder(self.spark, "changes")
+        own = None if staged_at else new_folder(self.spark, "changes")
         try:
-            changes.write.parquet(staged_at)
-            staged = self.spark.read.schema(changes.schema).parquet(staged_at)
+            if own:
+                changes.write.parquet(own)
+            staged = self.spark.read.schema(changes.schema).parquet(own) if own else changes
             buckets = current.buckets
             in_bucket = bucket_of(self.keys, buckets)
             touched = {r[0] for r in staged.select(in_bucket).distinct().collect()}  # <= buckets
             target = self._read(current, touched, _widened(current.schema, changes.schema))
-            form = self.form or ("split" if self._broadcasts(staged_at) else "outer")
+            form = self.form or ("split" if self._broadcasts(own or staged_at) else "outer")
             merged = merge(target, staged, self.keys, mode, guard_deletes, form)
             self._commit(merged, buckets, touched, current, batch)
         finally:
-            files.delete(self.spark, staged_at)
+            if own:
+                files.delete(self.spark, own)
         return True
 
     def expire(self, keep: int = 2) -> None:
