@@ -1,4 +1,5 @@
-from conftest import values
+import pytest
+from conftest import physical_plan, values
 from pyspark.sql import functions as F
 
 from tidemark.functions import micros_of, millis_of, moment_of
@@ -48,3 +49,20 @@ def test_moments_do_not_depend_on_the_session_zone(spark):
         got.append(values(df.select(micros_of(F.col("at")), millis_of(F.col("at")), moment_of(micros_of(F.col("at"))) == F.col("at"))))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got[0] == got[1] == [(-1, -1, True), (1506933600123456, 1506933600123, True)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Australia/Lord_Howe"])
+def test_moments_in_whole_numbers(spark, zone):
+    """Exact in any zone, also where its clocks jump and before 1970; no decimal is made on the way."""
+    spring = 1_583_636_400_000_000  # 2020-03-08 03:00, half an hour into what New York skips below
+    micros = [None, 0, 1, -1, 999_999, -999_999, -1_000_000, -1_500_000, spring - 1_800_000_001, -2_208_988_800_000_001]
+    rows = spark.createDataFrame([(m,) for m in micros], "u BIGINT").withColumn("m", moment_of(F.col("u")))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        numbers = rows.select("u", micros_of(F.col("m")).alias("micros"), millis_of(F.col("m")).alias("millis"))
+        assert "secondwithfraction" not in physical_plan(numbers)
+        got = numbers.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [tuple(r) for r in got] == [(m, m, None if m is None else m // 1000) for m in micros]

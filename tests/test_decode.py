@@ -62,6 +62,11 @@ def test_payload_test_agrees_with_the_decoder(messages):
     assert [r.value for r in both.collect() if r.a != r.b] == []
 
 
+def test_payload_test_stops_at_the_first_character(messages):
+    plan = physical_plan(decode_changes(messages([("t", 0, 0, "x")]), ["id"]))
+    assert "ltrim(" in plan and " trim(" not in plan and "rtrim(" not in plan
+
+
 def test_binary_payload(spark, messages):
     df = messages([("t", 0, 0, envelope("c", after={"id": "é"}))])
     binary = df.withColumn("value", F.col("value").cast("binary"))

@@ -181,6 +181,22 @@ def test_buckets_follow_the_shuffle(spark, tmp_path):
         assert len([n for n in files.names(spark, folder) if n.endswith(".parquet")]) == 1
 
 
+@pytest.mark.parametrize("buckets, shuffles", [(8, 1), (16, 1), (5, 2)])
+def test_a_new_table_is_not_shuffled_again(spark, tmp_path, changes, buckets, shuffles):
+    """The latest changes come from a shuffle on the key; buckets that it keeps whole need no other."""
+    from tidemark.operators import latest_per_key
+
+    newest = latest_per_key(changes([(f"k{i % 40}", str(i), i, i, False) for i in range(200)]), ["id"])
+    table = StateTable(spark, str(tmp_path / "new"), ["id"], buckets=buckets)
+    next_shuffle = spark.sparkContext._jsc.sc().newShuffleId
+    before = next_shuffle()
+    table.apply(newest)
+    assert next_shuffle() - before - 1 == shuffles
+    assert rows(table) == sorted((f"k{i % 40}", str(i)) for i in range(160, 200))
+    for folder in table.locations().values():
+        assert len([n for n in files.names(spark, folder) if n.endswith(".parquet")]) == 1
+
+
 def test_bucket_count_and_key_are_those_of_the_table(spark, table, changes):
     table.apply(changes([(f"k{i}", "1", 1, i, False) for i in range(20)]))
     again = StateTable(spark, table.path, ["id"], buckets=7)

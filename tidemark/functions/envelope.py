@@ -42,9 +42,10 @@ def has_payload(text: Column) -> Column:
 
     This is the same test as "the decoded struct is not NULL", but it does not decode: a
     filter on the decoded struct would be pushed below the projection and decode every
-    payload a second time.
+    payload a second time. Only the left end is trimmed, which stops at the first other character;
+    trimming the right end walks through the whole text.
     """
-    return F.trim(text, F.lit(" \t\r\n")) != ""
+    return F.ltrim(text, F.lit(" \t\r\n")) != ""
 
 
 def row_image(column: str, policy: str = "coalesce") -> Column:

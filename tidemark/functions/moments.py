@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_DAY = 86_400_000_000
+_SECOND = 1_000_000
+
+
+def _parts(moment: Column) -> tuple[Column, Column]:
+    """Whole seconds since the epoch, rounded down, and the microseconds after them; no decimals.
+
+    The seconds of a TIMESTAMP_NTZ do not depend on the zone. The rest is taken from the moment in
+    the session's zone, which is whole seconds away.
+    """
+    moment = moment.cast("timestamp_ntz")
+    seconds = F.unix_timestamp(moment)  # rounded towards zero
+    rest = F.pmod(F.unix_micros(moment.cast("timestamp")), F.lit(_SECOND))
+    rounded_up = (moment < F.lit("1970-01-01").cast("timestamp_ntz")) & (rest > 0)
+    return seconds - rounded_up.cast("bigint"), rest
 
 
 def micros_of(moment: Column) -> Column:
     """TIMESTAMP_NTZ to microseconds."""
-    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
-    fraction = F.date_part(F.lit("SECOND"), moment)
-    return (
-        F.unix_date(moment.cast("date")).cast("bigint") * F.lit(_DAY)
-        + seconds.cast("bigint") * F.lit(1_000_000)
-        + (fraction * 1_000_000).cast("bigint")
-    )
+    seconds, rest = _parts(moment)
+    return seconds * F.lit(_SECOND) + rest
 
 
 def millis_of(moment: Column) -> Column:
     """TIMESTAMP_NTZ to milliseconds, rounded down."""
-    micros = micros_of(moment)
-    return F.call_function("div", micros - F.pmod(micros, F.lit(1000)), F.lit(1000))
+    seconds, rest = _parts(moment)
+    return seconds * F.lit(1000) + F.call_function("div", rest, F.lit(1000))
 
 
 def moment_of(micros: Column) -> Column:

@@ -28,8 +28,9 @@ class MessageLog:
 
     def write(self, messages: DataFrame, mode: str = "append") -> None:
         rows = messages.select(*MESSAGE[:3], F.col("value").cast("string"))
+        # Payloads hardly repeat: a dictionary of them would be built for each row group and given up.
         writer = rows.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES)
-        writer.partitionBy("topic").parquet(self.path)
+        writer.option("parquet.enable.dictionary#value", "false").partitionBy("topic").parquet(self.path)
 
     def append(self, events: DataFrame) -> None:
         """Add events behind those that their partitions hold.

@@ -144,7 +144,13 @@ class StateTable:
         current = self.snapshot()
         buckets = current.buckets if current else self.buckets or self._shuffle_width()
         everything = set(range(buckets))
-        self._commit(rows, buckets, everything, current, batch)
+        if buckets % self._shuffle_width() == 0:
+            # Buckets are cut from the hash of a shuffle on the key, so each is in one task after it. Rows
+            # that were shuffled so, as ``latest_per_key`` leaves them, are not shuffled again.
+            placed = rows.repartition(*self.keys)
+        else:
+            placed = self._by_bucket(rows, buckets)
+        self._commit(placed, buckets, everything, current, batch)
 
     def apply(
         self,
@@ -179,7 +185,7 @@ class StateTable:
             target = self._read(current, touched, _widened(current.schema, changes.schema))
             form = self.form or ("split" if self._broadcasts(own or staged_at) else "outer")
             merged = merge(target, staged, self.keys, mode, guard_deletes, form)
-            self._commit(merged, buckets, touched, current, batch)
+            self._commit(self._by_bucket(merged, buckets), buckets, touched, current, batch)
         finally:
             if own:
                 files.delete(self.spark, own)
@@ -199,6 +205,10 @@ class StateTable:
         for name in old:
             files.delete(self.spark, files.join(self._snapshots, name))
 
+    def _by_bucket(self, rows: DataFrame, buckets: int) -> DataFrame:
+        """A bucket's rows meet in one task, so a small bucket is one file; a large one is split."""
+        return rows.withColumn(BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", F.col(BUCKET)).drop(BUCKET)
+
     def _commit(
         self,
         rows: DataFrame,
@@ -210,9 +220,7 @@ class StateTable:
         number = current.number + 1 if current else 0
         folder = f"{number:09d}-{uuid.uuid4().hex}"
         target = files.join(self.path, "data", folder)
-        # A bucket's rows meet in one task, so a small bucket is one file; a large one is split.
-        placed = rows.withColumn(BUCKET, bucket_of(self.keys, buckets)).hint("rebalance", F.col(BUCKET))
-        placed.write.partitionBy(BUCKET).parquet(target)
+        rows.withColumn(BUCKET, bucket_of(self.keys, buckets)).write.partitionBy(BUCKET).parquet(target)
         written = {
             int(name.split("=")[1])
             for name in files.names(self.spark, target)
